@@ -1,30 +1,52 @@
 """Broadcast only behind a proven size bound.
 
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the candidate
-side (a bounded job on a dimension) and returns it wrapped in
-``F.broadcast`` only if it fits; otherwise the frame is returned unchanged
-and the join plans as a shuffle join, where AQE skew-join splitting covers
-hot keys.
+``bounded_broadcast`` measures at most ``max_rows + 1`` rows of the
+candidate side (one bounded job on a dimension): their count and their
+payload bytes (string bytes + 8 per non-string column).  The frame is
+wrapped in ``F.broadcast`` only if both are within bounds; otherwise it is
+returned unchanged and the join plans as a shuffle join, where AQE's
+skew-join splitting covers hot keys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_MAX_ROWS = 2_000_000
+DEFAULT_MAX_ROWS = 1_000_000
+DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, payload bytes) of the first ``max_rows + 1`` rows of ``df``."""
+    widths = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            widths.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        else:
+            widths.append(F.lit(8))
+    width = widths[0] if len(widths) == 1 else sum(widths[1:], widths[0])
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return int(row["n"]), int(row["b"] or 0)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
+    n, b = measure(df, max_rows)
+    return n <= max_rows and b <= max_bytes
+
+
+def bounded_broadcast(
+    df: DataFrame,
+    max_rows: int | None = DEFAULT_MAX_ROWS,
+    max_bytes: int = DEFAULT_MAX_BYTES,
+) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` is within both bounds, else ``df``.
 
     ``max_rows=None`` or ``0`` disables broadcasting.
     """
     if not max_rows or max_rows <= 0:
         return df
-    return F.broadcast(df) if fits(df, max_rows) else df
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df

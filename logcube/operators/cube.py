@@ -39,7 +39,7 @@ def rollup_counts(
     full_sets = [[date_col, *s] for s in sets]
     if pre_aggregate:
         base = df.groupBy(date_col, *keys, uid).agg(F.count(uid).alias("_n"))
-        play = F.sum("_n")
+        play = F.coalesce(F.sum("_n"), F.lit(0))
     else:
         base = df.select(date_col, *keys, uid)
         play = F.count(uid)

@@ -67,10 +67,13 @@ def parse_events(
     ``sources.raw_logs.read_raw_logs``), which is what the click stage of the
     install funnel uses.
     """
-    ev = explode_kinds(raw, kinds, passthrough=list(passthrough) + (["log_date"] if date_from == "log" else []))
+    has_log_date = "log_date" in raw.columns
+    ev = explode_kinds(raw, kinds, passthrough=list(passthrough) + (["log_date"] if has_log_date else []))
     if date_from == "event":
         date = local_date(F.col("rectime"), tz)
     elif date_from == "log":
+        if not has_log_date:
+            raise ValueError("date_from='log' needs a log_date column (see sources.raw_logs)")
         date = F.col("log_date")
     else:
         raise ValueError(f"date_from must be 'event' or 'log', not {date_from!r}")
@@ -81,6 +84,7 @@ def parse_events(
         "custom_uuid",
         optional[0],
         date.alias("date"),
+        (F.col("log_date") if has_log_date else F.lit(None).cast("date")).alias("log_date"),
         "device_name",
         optional[1],
         optional[2],

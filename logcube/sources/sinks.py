@@ -69,12 +69,15 @@ def write_report_jdbc(
     _jdbc_writer(df, url, staging, options).mode("overwrite").save()
     # Creates the target with the report's schema if it does not exist yet.
     _jdbc_writer(df.limit(0), url, table, options).mode("append").save()
-    cols = ", ".join(df.columns)
+    dialect = df.sparkSession.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+    q = dialect.quoteIdentifier
+    cols = ", ".join(q(c) for c in df.columns)
+    day = q(date_col)
     conn = _connect(df, url, options)
     try:
         conn.setAutoCommit(False)
         stmt = conn.createStatement()
-        stmt.executeUpdate(f"DELETE FROM {table} WHERE {date_col} IN (SELECT {date_col} FROM {staging})")
+        stmt.executeUpdate(f"DELETE FROM {table} WHERE {day} IN (SELECT {day} FROM {staging})")
         stmt.executeUpdate(f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}")
         conn.commit()
         stmt.close()

@@ -1,0 +1,81 @@
+from pyspark.sql import functions as F
+
+from logcube.operators.broadcast import bounded_broadcast, measure
+from logcube.operators.enrich import enrich
+from tests.conftest import rows
+from tests.fixtures import D0, catalog_frame, fact, facts_frame
+
+
+def facts(spark):
+    return facts_frame(
+        spark,
+        [
+            fact("u1", D0, "p1", "log1"),
+            fact("u2", D0, "p2", "log2"),  # catalog lists p2 twice
+            fact("u3", D0, "p404", "log3"),  # not in catalog
+            fact("u4", D0, None, "log4"),  # NULL package matches NULL fsk_pid
+            fact("u5", D0, "123", "log5"),  # a real "123" must not match NULL
+        ],
+    )
+
+
+def test_left_join_semantics_log_title(spark):
+    out = enrich(facts(spark), catalog_frame(spark), "log", "fsk_cid")
+    assert rows(out, ["custom_uuid", "package_id", "title", "fsk_cid"]) == [
+        ("u1", "p1", "log1", "c1"),
+        ("u2", "p2", "log2", "c2"),
+        ("u2", "p2", "log2", "c2"),
+        ("u3", "p404", "log3", None),
+        ("u4", None, "log4", "c0"),
+        ("u5", "123", "log5", None),
+    ]
+
+
+def test_catalog_title(spark):
+    out = enrich(facts(spark), catalog_frame(spark), "catalog", "fsk_catalog")
+    got = rows(out, ["custom_uuid", "title", "fsk_catalog"])
+    assert ("u2", "Cat Two", "tools") in got and ("u2", "Cat Two bis", "tools") in got
+    assert ("u3", None, None) in got and ("u4", "No Id", "none") in got
+
+
+def test_conditional_title(spark):
+    out = enrich(facts(spark), catalog_frame(spark), "conditional", "fsk_catalog")
+    got = {r["custom_uuid"]: r["title"] for r in out.collect()}
+    assert got["u1"] == "Cat One"  # package present -> catalog title
+    assert got["u3"] is None  # package present but unmatched -> NULL
+    assert got["u4"] == "log4"  # no package -> log title
+
+
+def test_dedupe_keeps_one_row_per_package(spark):
+    out = enrich(facts(spark), catalog_frame(spark), "catalog", "fsk_catalog", dedupe=True)
+    assert out.count() == 5
+    assert out.where(F.col("custom_uuid") == "u2").first()["title"] == "Cat Two"
+
+
+def test_broadcast_only_within_bound(spark):
+    cat = catalog_frame(spark)
+    assert measure(cat, 100) == (4, sum(len(s.encode()) for r in cat.collect() for s in r if s))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    f = facts(spark)
+    small = f.join(bounded_broadcast(cat, 10), f["package_id"].eqNullSafe(cat["fsk_pid"]), "left")
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    try:
+        f = facts(spark)
+        big = f.join(bounded_broadcast(cat, 2), f["package_id"].eqNullSafe(cat["fsk_pid"]), "left")
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert bounded_broadcast(cat, 4, max_bytes=10) is cat
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_shuffle_join_fallback_same_result(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = enrich(facts(spark), catalog_frame(spark), "log", "fsk_cid", broadcast_max_rows=1)
+        plan = a._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        b = enrich(facts(spark), catalog_frame(spark), "log", "fsk_cid")
+        assert rows(a) == rows(b.select(*a.columns))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
