@@ -1,10 +1,12 @@
 """Broadcast only behind a proven size bound.
 
-``bounded_broadcast`` measures at most ``max_rows + 1`` rows of the
-candidate side (one bounded job on a dimension): their count and their
-payload bytes (string bytes + 8 per non-string column).  The frame is
-wrapped in ``F.broadcast`` only if both are within bounds; otherwise it is
-returned unchanged and the join plans as a shuffle join, where AQE's
+``bounded_broadcast`` first asks the optimizer for its size estimate of the
+candidate side: an estimate far above the bound (a big table) ends the check
+without a job.  Otherwise one aggregation job measures the side exactly,
+its row count and payload bytes (string bytes + 8 per non-string column),
+with partial aggregation per partition (no single-task funnel).  The frame
+is wrapped in ``F.broadcast`` only if both measures are within bounds; else
+it is returned unchanged and the join plans as a shuffle join, where AQE's
 skew-join splitting covers hot keys.
 """
 
@@ -16,10 +18,22 @@ from pyspark.sql import types as T
 
 DEFAULT_MAX_ROWS = 1_000_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
+# An estimate this many times above max_bytes is taken as "too big" unmeasured.
+ESTIMATE_SLACK = 64
+_UNKNOWN = 2**63 - 1  # what sources without statistics (e.g. JDBC) report
 
 
-def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, payload bytes) of the first ``max_rows + 1`` rows of ``df``."""
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate, or None when the source has none."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # pragma: no cover - defensive: stats are best effort
+        return None
+    return None if size >= _UNKNOWN else size
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, payload bytes) of ``df``, by one partially aggregated job."""
     widths = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -27,14 +41,17 @@ def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
             widths.append(F.coalesce(F.octet_length(c), F.lit(0)))
         else:
             widths.append(F.lit(8))
-    width = widths[0] if len(widths) == 1 else sum(widths[1:], widths[0])
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    width = sum(widths[1:], widths[0]) if widths else F.lit(0)
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return int(row["n"]), int(row["b"] or 0)
 
 
 def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
-    n, b = measure(df, max_rows)
+    est = estimated_bytes(df)
+    if est is not None and est > ESTIMATE_SLACK * max_bytes:
+        return False
+    n, b = measure(df)
     return n <= max_rows and b <= max_bytes
 
 

@@ -64,3 +64,20 @@ def test_pre_aggregate_is_identical(spark):
         b = rollup_counts(frame(spark), spec.keys, spec.grouping_sets, pre_aggregate=True)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
         assert a.dtypes == b.dtypes
+
+
+def test_sql_form_equals_dataframe_form(spark):
+    from logcube.plans.sql_reports import cube_sql
+
+    for name in ("download_v1", "open_v2"):
+        spec = SPECS[name]
+        a = rollup_counts(frame(spark), spec.keys, spec.grouping_sets)
+        b = cube_sql(spark, frame(spark), spec)
+        assert a.columns == b.columns
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_empty_input_gives_no_rows(spark):
+    spec = SPECS["install_v2"]
+    empty = frame(spark).where("false")
+    assert rollup_counts(empty, spec.keys, spec.grouping_sets).count() == 0

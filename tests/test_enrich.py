@@ -54,7 +54,7 @@ def test_dedupe_keeps_one_row_per_package(spark):
 
 def test_broadcast_only_within_bound(spark):
     cat = catalog_frame(spark)
-    assert measure(cat, 100) == (4, sum(len(s.encode()) for r in cat.collect() for s in r if s))
+    assert measure(cat) == (4, sum(len(s.encode()) for r in cat.collect() for s in r if s))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     f = facts(spark)
     small = f.join(bounded_broadcast(cat, 10), f["package_id"].eqNullSafe(cat["fsk_pid"]), "left")
@@ -79,3 +79,12 @@ def test_shuffle_join_fallback_same_result(spark):
         assert rows(a) == rows(b.select(*a.columns))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_estimate_short_circuits_big_sides(spark):
+    from logcube.operators import broadcast as B
+
+    big = spark.range(10_000_000)
+    assert B.estimated_bytes(big) is not None
+    assert not B.fits(big, max_rows=10, max_bytes=1000)  # decided from the estimate, no job
+    assert B.fits(spark.range(5), max_rows=10, max_bytes=1000)
