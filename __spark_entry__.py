@@ -323,12 +323,12 @@ FROM app_log""",
         "enrich_catalog_title": _enrich_sql("catalog", "fsk_catalog"),
         "enrich_conditional_title": _enrich_sql("conditional", "fsk_catalog"),
         "three_day_scan": _with()
-        + f"""SELECT {_int_date('d.date')} AS report_date, l.lag, f.event_id, f.custom_uuid,
+        + f"""SELECT {_int_date('f.report_day')} AS report_date, f.lag, f.event_id, f.custom_uuid,
        {_int_date('f.date')} AS date, f.package_id, f.title, f.site
-FROM facts f
-CROSS JOIN (VALUES (0), (1), (7)) AS l(lag)
-JOIN (SELECT DISTINCT date FROM facts WHERE kind = 'download_fin') d ON d.date = f.date + l.lag
-WHERE f.kind = 'download_fin'""",
+FROM (SELECT f.*, l.lag, f.date + l.lag AS report_day
+      FROM facts f, (VALUES (0), (1), (7)) AS l(lag)
+      WHERE f.kind = 'download_fin') f
+WHERE f.report_day <= (SELECT max(date) FROM facts WHERE kind = 'download_fin')""",
         "download_cube_v1": _cube_sql(SPECS["download_v1"]),
         "download_cube_v2": _cube_sql(SPECS["download_v2"]),
         "open_cube_v1": _cube_sql(SPECS["open_v1"]),

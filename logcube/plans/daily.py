@@ -108,5 +108,5 @@ def run_range(
     days = [first + _dt.timedelta(i) for i in range((last - first).days + 1)]
     if ingest:
         for d in days:
-            ingest_day(spark, log_root, fact_root, d, tz)
+            ingest_day(spark, log_root, fact_root, d, tz, fmt=kw.get("fmt", "orc"))
     report_days(spark, fact_root, catalog, days, sink, **kw)

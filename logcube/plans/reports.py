@@ -168,15 +168,14 @@ def funnel_macro_micro(enriched: DataFrame, category: str = "fsk_catalog") -> tu
     return funnel_macro(enriched, category), funnel_micro(enriched)
 
 
-def report_day_scan(facts: DataFrame, kinds: Sequence[str], lags: Sequence[int] = (0, 1, 7)) -> DataFrame:
+def report_day_scan(facts: DataFrame, kinds: Sequence[str], lags: Sequence[int] = (0, 1, 7), last_day=None) -> DataFrame:
     """S4/U2/P15 for every report day at once: the rows a day's report reads
     (its own day and the days ``lags`` back), tagged ``report_day`` and
-    ``lag``.  Report days are the days present in the facts."""
-    from logcube.operators.broadcast import bounded_broadcast
-
+    ``lag``.  Report days run from the first day of the facts to
+    ``last_day`` (default: the last day present, as a scalar subquery, so
+    no join and no extra shuffle)."""
     rows = facts.where(F.col("kind").isin(list(kinds)))
+    last = rows.agg(F.max("date")).scalar() if last_day is None else F.lit(_to_date(last_day))
     tagged = rows.select("*", F.explode(F.array(*[F.lit(n) for n in lags])).alias("lag"))
     tagged = tagged.withColumn("report_day", F.date_add(F.col("date"), F.col("lag")))
-    present = rows.select(F.col("date").alias("report_day")).distinct()
-    # One row per calendar day present: bounded by the calendar, checked anyway.
-    return tagged.join(bounded_broadcast(present, 1_000_000), "report_day", "left_semi")
+    return tagged.where(F.col("report_day") <= last)

@@ -148,3 +148,25 @@ def test_growth_over_fact_table_days(spark, log_root, scratch):
     facts = read_facts(spark, fact_root, fmt="parquet")
     rep = reports.growth(facts, catalog_frame(spark), SPECS["download_v1"], days=[D0])
     assert {r["date"] for r in rep.collect()} == {20240110}
+
+
+def test_cli_backfill_end_to_end(spark, log_root, scratch):
+    from logcube.plans import cli
+
+    url = "jdbc:derby:memory:logcube_cli;create=true"
+    props_path = os.path.join(tempfile.mkdtemp(prefix="props-", dir=scratch), "db.properties")
+    with open(props_path, "w") as fh:
+        fh.write("# catalog connection\ndriver=org.apache.derby.iapi.jdbc.AutoloadedDriver\n")
+    write_report_jdbc(catalog_frame(spark), url, "APPS", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}, mode="overwrite")
+    fact_root = tempfile.mkdtemp(prefix="facts-", dir=scratch)
+    out = tempfile.mkdtemp(prefix="cli-", dir=scratch)
+    argv = [
+        "backfill", "--first-run-day", str(D0), "--last-run-day", str(D0 + dt.timedelta(1)),
+        "--log-root", log_root, "--fact-root", fact_root, "--tz", "UTC",
+        "--catalog-url", url, "--catalog-query", "SELECT * FROM APPS", "--catalog-props", props_path,
+        "--report-path", out, "--fact-format", "parquet", "--specs", "install_v1,download_v1",
+    ]
+    cli.main(argv)
+    got = spark.read.parquet(f"{out}/app_download_report")
+    assert {r["date"] for r in got.select("date").distinct().collect()} == {20240109, 20240110}
+    assert spark.read.parquet(f"{out}/funnel_app_install_report").count() > 0
