@@ -47,10 +47,20 @@ def enrich(
     category: str = "fsk_cid",
     dedupe: bool = False,
     broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Fact rows LEFT JOIN catalog; ``title`` is replaced per ``title_rule``
-    and the chosen category column is appended."""
-    cat = bounded_broadcast(prepare_catalog(catalog, category, dedupe), broadcast_max_rows)
+    and the chosen category column is appended.
+
+    ``broadcast=None`` measures the projected catalog against
+    ``broadcast_max_rows`` (see ``operators.broadcast``); ``True`` / ``False``
+    is a decision the caller already proved (e.g. measured once for many
+    reports)."""
+    cat = prepare_catalog(catalog, category, dedupe)
+    if broadcast is None:
+        cat = bounded_broadcast(cat, broadcast_max_rows)
+    elif broadcast:
+        cat = F.broadcast(cat)
     joined = facts.join(cat, facts["package_id"].eqNullSafe(cat["fsk_pid"]), "left")
     keep = [F.col(c) for c in facts.columns if c != "title"]
     return joined.select(*keep, title_column(title_rule).alias("title"), F.col(category))

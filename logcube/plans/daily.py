@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logcube.operators.broadcast import DEFAULT_MAX_ROWS, fits
 from logcube.operators.events import parse_events
 from logcube.operators.funnel import LIVE_STAGES
 from logcube.plans import reports
@@ -71,12 +72,13 @@ def report_days(
     lookback = sorted({d - _dt.timedelta(n) for d in days for n in (0, 1, 7)})
     facts = read_facts(spark, fact_root, days=lookback, fmt=fmt)
     cat = materialize(catalog.select("fsk_pid", "fsk_title", "fsk_cid", "fsk_catalog"))
+    small = fits(cat, DEFAULT_MAX_ROWS)  # measured once for every report below
     for spec in specs:
-        sink(GROWTH_TARGETS[spec.name], reports.growth(facts, cat, spec, days=days))
+        sink(GROWTH_TARGETS[spec.name], reports.growth(facts, cat, spec, days=days, broadcast=small))
     sink("device_app_download_report", reports.devices(facts, days=days))
-    sink("device_app_download_report_", reports.devices_rollup(facts, cat, days=days))
+    sink("device_app_download_report_", reports.devices_rollup(facts, cat, days=days, broadcast=small))
     sink("funnel_app_install_report", reports.funnel(_clicks_by_log_day(facts), days=days))
-    rich = reports.funnel_enriched(_clicks_by_log_day(facts), cat, LIVE_STAGES, days=days)
+    rich = reports.funnel_enriched(_clicks_by_log_day(facts), cat, LIVE_STAGES, days=days, broadcast=small)
     macro, micro = reports.funnel_macro_micro(rich)
     sink("funnel_app_install_report_macro", macro)
     sink("funnel_app_install_report_micro", micro)

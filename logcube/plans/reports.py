@@ -77,9 +77,13 @@ def enriched_for(
     spec: GrowthSpec,
     broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
     dedupe: bool = False,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     rows = facts.where(F.col("kind").isin(list(spec.kinds)))
-    return enrich(rows, catalog, spec.title_rule, spec.category, dedupe=dedupe, broadcast_max_rows=broadcast_max_rows)
+    return enrich(
+        rows, catalog, spec.title_rule, spec.category, dedupe=dedupe,
+        broadcast_max_rows=broadcast_max_rows, broadcast=broadcast,
+    )
 
 
 def cube(
@@ -92,11 +96,12 @@ def cube(
     pre_aggregate: bool = False,
     broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
     dedupe: bool = False,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """A1-A8 for a spec: ``date`` (int), keys, ``id_1``, ``playNum``,
     ``users``, ``avgPlayNum``."""
     scoped = restrict_days(facts, days, start, end)
-    rich = enriched_for(scoped, catalog, spec, broadcast_max_rows, dedupe)
+    rich = enriched_for(scoped, catalog, spec, broadcast_max_rows, dedupe, broadcast)
     out = rollup_counts(rich, spec.keys, spec.grouping_sets, pre_aggregate=pre_aggregate)
     return out.select(date_key(F.col("date")).alias("date"), *spec.keys, "id_1", "playNum", "users", "avgPlayNum")
 
@@ -112,10 +117,11 @@ def growth(
     pre_aggregate: bool = False,
     broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
     dedupe: bool = False,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """R1 (``fmt="percent"``) / R2 (``fmt="ratio"``) for a spec."""
     scoped = restrict_days(facts, days, start, end, lookback=LAGS)
-    rich = enriched_for(scoped, catalog, spec, broadcast_max_rows, dedupe)
+    rich = enriched_for(scoped, catalog, spec, broadcast_max_rows, dedupe, broadcast)
     cubed = rollup_counts(rich, spec.keys, spec.grouping_sets, pre_aggregate=pre_aggregate)
     report = growth_report(cubed, spec.keys, spec.key_names, fmt=fmt)
     return _keep_report_days(report, days, start, end)
@@ -135,10 +141,11 @@ def devices_rollup(
     end=None,
     category: str = "fsk_catalog",
     broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """R3 rolled up: on the v2-enriched download rows."""
     rows = restrict_days(facts, days, start, end).where(F.col("kind") == "download_fin")
-    rich = enrich(rows, catalog, "catalog", category, broadcast_max_rows=broadcast_max_rows)
+    rich = enrich(rows, catalog, "catalog", category, broadcast_max_rows=broadcast_max_rows, broadcast=broadcast)
     return device_rollup(rich, category)
 
 
@@ -156,10 +163,11 @@ def funnel_enriched(
     end=None,
     category: str = "fsk_catalog",
     broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """U3 + J4: stage rows of all stages, joined to the catalog once."""
     rows = stage_rows(restrict_days(facts, days, start, end), stages)
-    return enrich(rows, catalog, "catalog", category, broadcast_max_rows=broadcast_max_rows)
+    return enrich(rows, catalog, "catalog", category, broadcast_max_rows=broadcast_max_rows, broadcast=broadcast)
 
 
 def funnel_macro_micro(enriched: DataFrame, category: str = "fsk_catalog") -> tuple[DataFrame, DataFrame]:

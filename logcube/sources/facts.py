@@ -44,16 +44,24 @@ def _day(d) -> str:
     return d.isoformat() if isinstance(d, _dt.date) else str(d)
 
 
-def write_facts(facts: DataFrame, path: str, ingest_id, fmt: str = "orc") -> None:
-    """K1: replace the rows of one ingest run, partitioned by kind and day."""
+def write_facts(facts: DataFrame, path: str, ingest_id, fmt: str = "orc", rebalance: bool = True) -> None:
+    """K1: replace the rows of one ingest run, partitioned by kind and day.
+
+    ``rebalance`` (default) adds a REBALANCE on the partition columns: with
+    AQE it coalesces small shuffle partitions and splits skewed ones, so a
+    (kind, day) directory gets a few large files instead of one small file
+    per input gzip file, and a hot (kind, day) is still written by many tasks.
+    """
     out = f"{path.rstrip('/')}/ingest_id={_day(ingest_id)}"
     cols = [
         F.col(c) if c in facts.columns else F.lit(None).cast(FACT_SCHEMA[c].dataType).alias(c)
         for c in DATA_COLUMNS
     ]
+    rows = facts.select(*cols, *PARTITIONS)
+    if rebalance:
+        rows = rows.hint("rebalance", *PARTITIONS)
     (
-        facts.select(*cols, *PARTITIONS)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .partitionBy(*PARTITIONS)
         .format(fmt)
         .save(out)
