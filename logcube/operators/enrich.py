@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logcube.operators.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
+from logcube.operators.broadcast import DEFAULT_MAX_ROWS, fits
 
 TITLE_RULES = ("log", "catalog", "conditional")
+DEFAULT_SALT_BUCKETS = 16
 CATEGORIES = ("fsk_cid", "fsk_catalog")
 
 
@@ -48,6 +49,7 @@ def enrich(
     dedupe: bool = False,
     broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
     broadcast: bool | None = None,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """Fact rows LEFT JOIN catalog; ``title`` is replaced per ``title_rule``
     and the chosen category column is appended.
@@ -55,12 +57,32 @@ def enrich(
     ``broadcast=None`` measures the projected catalog against
     ``broadcast_max_rows`` (see ``operators.broadcast``); ``True`` / ``False``
     is a decision the caller already proved (e.g. measured once for many
-    reports)."""
+    reports).  Without a broadcast the join is salted ``salt_buckets`` ways
+    (see ``_salted_join``)."""
     cat = prepare_catalog(catalog, category, dedupe)
     if broadcast is None:
-        cat = bounded_broadcast(cat, broadcast_max_rows)
-    elif broadcast:
-        cat = F.broadcast(cat)
-    joined = facts.join(cat, facts["package_id"].eqNullSafe(cat["fsk_pid"]), "left")
+        broadcast = fits(cat, broadcast_max_rows) if broadcast_max_rows else False
     keep = [F.col(c) for c in facts.columns if c != "title"]
+    if broadcast:
+        cat = F.broadcast(cat)
+        joined = facts.join(cat, facts["package_id"].eqNullSafe(cat["fsk_pid"]), "left")
+    else:
+        joined = _salted_join(facts, cat, salt_buckets)
     return joined.select(*keep, title_column(title_rule).alias("title"), F.col(category))
+
+
+def _salted_join(facts: DataFrame, cat: DataFrame, buckets: int) -> DataFrame:
+    """Shuffle LEFT JOIN split ``buckets`` ways per package.
+
+    Each fact row draws a salt in [0, buckets) from its position (any salt is
+    correct: every catalog row is present under every salt), the catalog is
+    replicated once per salt, and the join key is (package, salt).  A package
+    holding a third of all fact rows, or the NULL package, is spread over
+    ``buckets`` reducers instead of one.
+    """
+    if buckets <= 1:
+        return facts.join(cat, facts["package_id"].eqNullSafe(cat["fsk_pid"]), "left")
+    f = facts.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
+    c = cat.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>")))
+    cond = f["package_id"].eqNullSafe(c["fsk_pid"]) & (f["_salt"] == c["_salt"])
+    return f.join(c, cond, "left").drop(f["_salt"]).drop(c["_salt"])

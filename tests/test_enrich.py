@@ -88,3 +88,24 @@ def test_estimate_short_circuits_big_sides(spark):
     assert B.estimated_bytes(big) is not None
     assert not B.fits(big, max_rows=10, max_bytes=1000)  # decided from the estimate, no job
     assert B.fits(spark.range(5), max_rows=10, max_bytes=1000)
+
+
+def test_salted_shuffle_join_same_rows(spark):
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot = facts(spark).unionByName(
+            spark.range(300).select(F.lit("h").alias("custom_uuid"), F.lit(None).cast("date").alias("date"),
+                                    F.lit("dev").alias("device_name"), F.lit("youku").alias("site"),
+                                    F.lit("p2").alias("package_id"), F.lit("t").alias("title"),
+                                    F.lit("download_fin").alias("kind"), F.lit(1).alias("source"))
+        )
+        plain = enrich(hot, catalog_frame(spark), "catalog", "fsk_catalog", broadcast=False, salt_buckets=1)
+        salted = enrich(hot, catalog_frame(spark), "catalog", "fsk_catalog", broadcast=False, salt_buckets=8)
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "_salt" in plan
+        assert salted.count() == 5 + 1 + 300 * 2  # p2 listed twice
+        assert rows(plain) == rows(salted.select(*plain.columns))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
