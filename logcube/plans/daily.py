@@ -22,8 +22,8 @@ from logcube.plans import reports
 from logcube.plans.checkpoints import materialize
 from logcube.plans.specs import DOWNLOAD_V2, INSTALL_V2, OPEN_V2, GrowthSpec
 from logcube.schemas import EVENT_KINDS
-from logcube.sources.facts import read_facts, write_facts
-from logcube.sources.raw_logs import read_raw_logs
+from logcube.sources.facts import read_facts, write_facts, write_facts_by_log_day
+from logcube.sources.raw_logs import DEFAULT_LAYOUT, read_raw_logs
 
 Sink = Callable[[str, DataFrame], None]
 
@@ -47,13 +47,29 @@ def ingest_day(
     tz: str,
     kinds: Sequence[str] = EVENT_KINDS,
     fmt: str = "orc",
+    layout: str = DEFAULT_LAYOUT,
 ) -> None:
     """Parse one log directory day into the fact table."""
-    raw = read_raw_logs(spark, log_root, [day])
+    raw = read_raw_logs(spark, log_root, [day], layout=layout)
     facts = parse_events(raw, kinds, tz)
     write_facts(facts, fact_root, ingest_id=day, fmt=fmt)
 
 
+def ingest_days(
+    spark: SparkSession,
+    log_root: str,
+    fact_root: str,
+    days: Iterable,
+    tz: str,
+    kinds: Sequence[str] = EVENT_KINDS,
+    fmt: str = "orc",
+    layout: str = DEFAULT_LAYOUT,
+) -> None:
+    """S1, S2, P1-P7, K1 for a range of log days in one job (backfills)."""
+    raw = read_raw_logs(spark, log_root, list(days), layout=layout)
+    write_facts_by_log_day(parse_events(raw, kinds, tz), fact_root, fmt=fmt)
+
+
 def report_days(
     spark: SparkSession,
     fact_root: str,
@@ -109,6 +125,5 @@ def run_range(
     first, last = reports._to_date(first_run_day) - one, reports._to_date(last_run_day) - one
     days = [first + _dt.timedelta(i) for i in range((last - first).days + 1)]
     if ingest:
-        for d in days:
-            ingest_day(spark, log_root, fact_root, d, tz, fmt=kw.get("fmt", "orc"))
+        ingest_days(spark, log_root, fact_root, days, tz, fmt=kw.get("fmt", "orc"))
     report_days(spark, fact_root, catalog, days, sink, **kw)

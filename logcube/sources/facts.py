@@ -68,6 +68,27 @@ def write_facts(facts: DataFrame, path: str, ingest_id, fmt: str = "orc", rebala
     )
 
 
+def write_facts_by_log_day(facts: DataFrame, path: str, fmt: str = "orc", rebalance: bool = True) -> None:
+    """K1 for many ingest days in one job: ``ingest_id`` is each row's log
+    day, and only the (ingest_id, kind, dt) partitions present in ``facts``
+    are replaced (dynamic partition overwrite), so rerunning a range replaces
+    that range's rows and leaves every other ingest run alone."""
+    cols = [
+        F.col(c) if c in facts.columns else F.lit(None).cast(FACT_SCHEMA[c].dataType).alias(c)
+        for c in DATA_COLUMNS
+    ]
+    rows = facts.select(*cols, F.col("log_date").cast("string").alias("ingest_id"), *PARTITIONS)
+    if rebalance:
+        rows = rows.hint("rebalance", "ingest_id", *PARTITIONS)
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("ingest_id", *PARTITIONS)
+        .format(fmt)
+        .save(path)
+    )
+
+
 def read_facts(
     spark: SparkSession,
     path: str,

@@ -57,17 +57,43 @@ def count_log_files(spark: SparkSession, path: str, glob: str = "*.gz") -> int:
         )
         return files.count()
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(getattr(e, "getCondition", lambda: "")() or e):
+        if _missing(e):
             return 0
         raise
 
 
-def require_input(spark: SparkSession, root: str, days: Iterable) -> None:
+def _missing(e: AnalysisException) -> bool:
+    cond = getattr(e, "getCondition", lambda: None)() or ""
+    return "PATH_NOT_FOUND" in cond or "PATH_NOT_FOUND" in str(e)
+
+
+def files_per_day(spark: SparkSession, root: str, days: list[str], layout: str = "{day}/*/*.gz") -> dict[str, int]:
+    """Log files per requested day, from ONE listing job over a brace glob of
+    all days (``root/{d1,d2,...}/...``); days without files are absent."""
+    if not days:
+        return {}
+    pattern = layout.format(day="{" + ",".join(days) + "}")
+    try:
+        listed = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{pattern}").select("path")
+    except AnalysisException as e:
+        if _missing(e):
+            return {}
+        raise
+    per_day = listed.groupBy(log_date_of_path(F.col("path")).cast("string").alias("d")).count()
+    return {r["d"]: r["count"] for r in per_day.collect()}  # at most one row per requested day
+
+
+def require_input(spark: SparkSession, root: str, days: Iterable, layout: str = "{day}/*/*.gz") -> None:
     """Raise ``NoInputError`` for the first day without any ``.gz`` file."""
+    days = [_as_str(d) for d in days]
+    found = files_per_day(spark, root, days, layout)
     for day in days:
-        path = day_dir(root, day)
-        if count_log_files(spark, path) == 0:
-            raise NoInputError(_as_str(day), path)
+        if not found.get(day):
+            folder = layout.format(day=day).split("/")[0]
+            raise NoInputError(day, f"{root.rstrip('/')}/{folder}")
+
+
+DEFAULT_LAYOUT = "{day}/*/*.gz"
 
 
 def read_raw_logs(
@@ -76,18 +102,29 @@ def read_raw_logs(
     days: Iterable,
     schema: T.StructType = RAW_LOG,
     check_input: bool = True,
+    layout: str = DEFAULT_LAYOUT,
 ) -> DataFrame:
-    """The log lines of ``days`` with ``log_date`` (date) appended."""
+    """The log lines of ``days`` with ``log_date`` (date) appended.
+
+    ``layout`` places a day's files below ``root``; the default is
+    ``<day>/<sub>/<file>.gz``; ``"day={day}/*.gz"`` reads Hive-style folders.
+    """
     days = [_as_str(d) for d in days]
     if check_input:
-        require_input(spark, root, days)
+        require_input(spark, root, days, layout)
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    paths = [f"{day_dir(root, d)}/*/*.gz" for d in days]
+    paths = [f"{root.rstrip('/')}/{layout.format(day=d)}" for d in days]
     df = (
         spark.read.schema(full)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(paths)
     )
-    day_of_path = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2})/[^/]+/[^/]+$", 1)
-    return df.withColumn("log_date", F.to_date(day_of_path))
+    return df.withColumn("log_date", log_date_of_path(F.col("_metadata.file_path")))
+
+
+def log_date_of_path(path):
+    """The last ``yyyy-MM-dd`` folder name (optionally ``name=yyyy-MM-dd``)
+    in a file path."""
+    day = F.regexp_extract(path, r"/(?:[^/=]+=)?(\d{4}-\d{2}-\d{2})/(?:[^/]*/)*[^/]+$", 1)
+    return F.to_date(F.when(day != "", day))

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from logcube.operators.events import parse_events
 from logcube.schemas import EVENT_KINDS, RAW_LOG
 from logcube.sources.facts import write_facts
-from logcube.sources.raw_logs import CORRUPT
+from logcube.sources.raw_logs import CORRUPT, log_date_of_path
 
 
 def read_log_stream(
@@ -41,8 +41,7 @@ def read_log_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.json(f"{log_root.rstrip('/')}/*/*")
-    day = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2})/[^/]+/[^/]+$", 1)
-    return df.withColumn("log_date", F.to_date(day))
+    return df.withColumn("log_date", log_date_of_path(F.col("_metadata.file_path")))
 
 
 def batch_writer(fact_root: str, kinds: Sequence[str], tz: str, fmt: str = "orc"):

@@ -170,3 +170,23 @@ def test_cli_backfill_end_to_end(spark, log_root, scratch):
     got = spark.read.parquet(f"{out}/app_download_report")
     assert {r["date"] for r in got.select("date").distinct().collect()} == {20240109, 20240110}
     assert spark.read.parquet(f"{out}/funnel_app_install_report").count() > 0
+
+
+def test_range_ingest_one_job_equals_daily_ingest(spark, log_root, scratch):
+    a = tempfile.mkdtemp(prefix="facts-a-", dir=scratch)
+    b = tempfile.mkdtemp(prefix="facts-b-", dir=scratch)
+    days = [D0 - dt.timedelta(1), D0]
+    for d in days:
+        daily.ingest_day(spark, log_root, a, d, tz="UTC", fmt="parquet")
+    for _ in range(2):  # rerun of the range replaces, does not append
+        daily.ingest_days(spark, log_root, b, days, tz="UTC", fmt="parquet")
+    fa, fb = read_facts(spark, a, fmt="parquet"), read_facts(spark, b, fmt="parquet")
+    assert fa.count() == 9
+    assert fa.exceptAll(fb).count() == 0 and fb.exceptAll(fa).count() == 0
+
+
+def test_hive_style_day_folders(spark, scratch):
+    root = tempfile.mkdtemp(prefix="hlogs-", dir=scratch)
+    write_gz(f"{root}/day={D0}/part-0.json.gz", [line("u1", D0, download_fin=[ev()])])
+    raw = read_raw_logs(spark, root, [D0], layout="day={day}/*.gz")
+    assert [r["log_date"] for r in raw.select("log_date").collect()] == [D0]
