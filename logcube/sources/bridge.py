@@ -17,6 +17,7 @@ from logcube.functions.scalar import epoch_ms_of
 from logcube.operators.events import parse_events
 from logcube.schemas import EVENT_KINDS
 from logcube.sources.catalog import union_lists
+from logcube.sources.spread import spread
 
 # Driver event_type -> log event kind (anything else -> game_open).
 KIND_OF_EVENT_TYPE = {
@@ -44,7 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat log rows: event_id, custom_uuid, rectime, kind, device_name,
     site (raw code), package_id, title, time."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"))
     k = F.regexp_extract(F.col("props"), "[0-9]+", 0).cast("int")
     kind = None
     for etype, name in KIND_OF_EVENT_TYPE.items():

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logcube.schemas import RAW_LOG
+from logcube.sources.spread import spread
 
 CORRUPT = "_corrupt_record"
 
@@ -120,7 +121,8 @@ def read_raw_logs(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(paths)
     )
-    return df.withColumn("log_date", log_date_of_path(F.col("_metadata.file_path")))
+    # One task per gzip file: spread only when there are fewer files than cores.
+    return spread(df.withColumn("log_date", log_date_of_path(F.col("_metadata.file_path"))))
 
 
 def log_date_of_path(path):

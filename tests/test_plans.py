@@ -57,3 +57,12 @@ def test_explode_filters_kind_before_second_generate(spark):
     plan = plan_of(reports.devices(bridge.facts(spark, SF)))
     # Catalyst pushes the kind predicate between the two explodes
     assert re.search(r"Filter \(+_k#\d+\.kind = download_fin\)", plan)
+
+
+def test_spread_only_below_parallelism(spark):
+    from logcube.sources.spread import spread
+
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert spread(many, 4) is many
