@@ -45,6 +45,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat log rows: event_id, custom_uuid, rectime, kind, device_name,
     site (raw code), package_id, title, time."""
+    # Like the raw-log reader: spread a source with fewer splits than cores
+    # (the test files are single row groups); a no-op on large inputs.
     ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"))
     k = F.regexp_extract(F.col("props"), "[0-9]+", 0).cast("int")
     kind = None
