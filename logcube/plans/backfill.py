@@ -19,7 +19,7 @@ from logcube.plans.specs import GrowthSpec
 def run_days_to_report_days(first_run_day, last_run_day) -> tuple[_dt.date, _dt.date]:
     """A run on day r reports day r - 1 (the reference's begin/end are run days)."""
     one = _dt.timedelta(days=1)
-    return reports._to_date(first_run_day) - one, reports._to_date(last_run_day) - one
+    return reports.as_date(first_run_day) - one, reports.as_date(last_run_day) - one
 
 
 def backfill_growth(

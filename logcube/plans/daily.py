@@ -84,7 +84,7 @@ def report_days(
     The catalog is materialized once (one database read, one consistent
     snapshot for every report).
     """
-    days = sorted({reports._to_date(d) for d in days})
+    days = sorted({reports.as_date(d) for d in days})
     lookback = sorted({d - _dt.timedelta(n) for d in days for n in (0, 1, 7)})
     facts = read_facts(spark, fact_root, days=lookback, fmt=fmt)
     cat = materialize(catalog.select("fsk_pid", "fsk_title", "fsk_cid", "fsk_catalog"))
@@ -122,7 +122,7 @@ def run_range(
 ) -> None:
     """Run days ``[first, last]`` -> report days ``[first-1, last-1]``."""
     one = _dt.timedelta(days=1)
-    first, last = reports._to_date(first_run_day) - one, reports._to_date(last_run_day) - one
+    first, last = reports.as_date(first_run_day) - one, reports.as_date(last_run_day) - one
     days = [first + _dt.timedelta(i) for i in range((last - first).days + 1)]
     if ingest:
         ingest_days(spark, log_root, fact_root, days, tz, fmt=kw.get("fmt", "orc"))

@@ -27,7 +27,7 @@ from logcube.operators.growth import LAGS, growth_report
 from logcube.plans.specs import GrowthSpec
 
 
-def _to_date(d) -> _dt.date:
+def as_date(d) -> _dt.date:
     return d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d))
 
 
@@ -55,9 +55,9 @@ def restrict_days(
     if days is None and start is None and end is None:
         return facts
     back = (0, *lookback)
-    need_days = None if days is None else sorted({_to_date(d) - _dt.timedelta(n) for d in days for n in back})
-    lo = None if start is None else _to_date(start) - _dt.timedelta(max(back))
-    hi = None if end is None else _to_date(end)
+    need_days = None if days is None else sorted({as_date(d) - _dt.timedelta(n) for d in days for n in back})
+    lo = None if start is None else as_date(start) - _dt.timedelta(max(back))
+    hi = None if end is None else as_date(end)
     col = F.col("dt") if "dt" in facts.columns else F.col("date").cast("string")
     return facts.where(_day_filter(col, need_days, lo, hi))
 
@@ -65,9 +65,9 @@ def restrict_days(
 def _keep_report_days(df: DataFrame, days, start, end) -> DataFrame:
     if days is None and start is None and end is None:
         return df.drop("_day")
-    ds = None if days is None else [_to_date(d) for d in days]
-    lo = None if start is None else _to_date(start)
-    hi = None if end is None else _to_date(end)
+    ds = None if days is None else [as_date(d) for d in days]
+    lo = None if start is None else as_date(start)
+    hi = None if end is None else as_date(end)
     return df.where(_day_filter(F.col("_day").cast("string"), ds, lo, hi)).drop("_day")
 
 
@@ -183,7 +183,7 @@ def report_day_scan(facts: DataFrame, kinds: Sequence[str], lags: Sequence[int]
     ``last_day`` (default: the last day present, as a scalar subquery, so
     no join and no extra shuffle)."""
     rows = facts.where(F.col("kind").isin(list(kinds)))
-    last = rows.agg(F.max("date")).scalar() if last_day is None else F.lit(_to_date(last_day))
+    last = rows.agg(F.max("date")).scalar() if last_day is None else F.lit(as_date(last_day))
     tagged = rows.select("*", F.explode(F.array(*[F.lit(n) for n in lags])).alias("lag"))
     tagged = tagged.withColumn("report_day", F.date_add(F.col("date"), F.col("lag")))
     return tagged.where(F.col("report_day") <= last)

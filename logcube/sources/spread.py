@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if target <= 1:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan as is
         return df
-    current = df.rdd.getNumPartitions()  # planning only, no job
-    return df.repartition(target) if current < target else df
+    return df.repartition(target) if 1 < target and current < target else df
