@@ -21,6 +21,7 @@ import datetime as dt
 
 from logcube.plans import daily
 from logcube.plans.specs import SPECS
+from logcube.sources.raw_logs import NoInputError
 
 
 def read_properties(path: str | None) -> dict[str, str]:
@@ -83,6 +84,14 @@ def main(argv=None) -> None:
     catalog = read_catalog_jdbc(spark, args.catalog_url, args.catalog_query, read_properties(args.catalog_props))
     specs = [SPECS[s] for s in args.specs.split(",") if s]
     first, last = (args.run_day, args.run_day) if args.command == "daily" else (args.first_run_day, args.last_run_day)
+    try:
+        _run(args, spark, catalog, specs, first, last)
+    except NoInputError as e:  # same exit status as the reference's guard
+        print(f"logcube: {e}")
+        raise SystemExit(e.exit_code) from e
+
+
+def _run(args, spark, catalog, specs, first, last) -> None:
     daily.run_range(
         spark,
         args.log_root,

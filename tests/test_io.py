@@ -190,3 +190,23 @@ def test_hive_style_day_folders(spark, scratch):
     write_gz(f"{root}/day={D0}/part-0.json.gz", [line("u1", D0, download_fin=[ev()])])
     raw = read_raw_logs(spark, root, [D0], layout="day={day}/*.gz")
     assert [r["log_date"] for r in raw.select("log_date").collect()] == [D0]
+
+
+def test_cli_exits_123_without_input(spark, log_root, scratch):
+    from logcube.plans import cli
+
+    url = "jdbc:derby:memory:logcube_cli2;create=true"
+    opts = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    write_report_jdbc(catalog_frame(spark), url, "APPS", opts, mode="overwrite")
+    props = os.path.join(tempfile.mkdtemp(prefix="props-", dir=scratch), "p.properties")
+    with open(props, "w") as fh:
+        fh.write("driver=org.apache.derby.iapi.jdbc.AutoloadedDriver\n")
+    argv = [
+        "daily", "--run-day", str(D0 + dt.timedelta(2)), "--log-root", log_root,
+        "--fact-root", tempfile.mkdtemp(prefix="facts-", dir=scratch), "--tz", "UTC",
+        "--catalog-url", url, "--catalog-query", "SELECT * FROM APPS", "--catalog-props", props,
+        "--report-path", tempfile.mkdtemp(prefix="out-", dir=scratch),
+    ]
+    with pytest.raises(SystemExit) as e:
+        cli.main(argv)
+    assert e.value.code == 123
