@@ -74,15 +74,19 @@ def enrich(
 def _salted_join(facts: DataFrame, cat: DataFrame, buckets: int) -> DataFrame:
     """Shuffle LEFT JOIN split ``buckets`` ways per package.
 
-    Each fact row draws a salt in [0, buckets) from its position (any salt is
-    correct: every catalog row is present under every salt), the catalog is
-    replicated once per salt, and the join key is (package, salt).  A package
-    holding a third of all fact rows, or the NULL package, is spread over
-    ``buckets`` reducers instead of one.
+    Each fact row takes a salt in [0, buckets) from a hash of its columns
+    (any salt is correct: every catalog row is present under every salt), the
+    catalog is replicated once per salt, and the join key is (package, salt).
+    A package holding a third of all fact rows, or the NULL package, is spread
+    over ``buckets`` reducers instead of one.  The salt is deterministic, so a
+    map task recomputed after an executor loss routes every row exactly as
+    before; runs of identical rows share a salt and are left to AQE's
+    skew-join split.
     """
     if buckets <= 1:
         return facts.join(cat, facts["package_id"].eqNullSafe(cat["fsk_pid"]), "left")
-    f = facts.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
+    f = facts.withColumn("_salt", F.pmod(row_hash, F.lit(buckets)))
     c = cat.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>")))
     cond = f["package_id"].eqNullSafe(c["fsk_pid"]) & (f["_salt"] == c["_salt"])
     return f.join(c, cond, "left").drop(f["_salt"]).drop(c["_salt"])

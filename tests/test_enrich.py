@@ -96,7 +96,8 @@ def test_salted_shuffle_join_same_rows(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         hot = facts(spark).unionByName(
-            spark.range(300).select(F.lit("h").alias("custom_uuid"), F.lit(None).cast("date").alias("date"),
+            spark.range(300).select(F.concat(F.lit("h"), F.col("id").cast("string")).alias("custom_uuid"),
+                                    F.lit(None).cast("date").alias("date"),
                                     F.lit("dev").alias("device_name"), F.lit("youku").alias("site"),
                                     F.lit("p2").alias("package_id"), F.lit("t").alias("title"),
                                     F.lit("download_fin").alias("kind"), F.lit(1).alias("source"))
@@ -107,5 +108,11 @@ def test_salted_shuffle_join_same_rows(spark):
         assert "BroadcastHashJoin" not in plan and "_salt" in plan
         assert salted.count() == 5 + 1 + 300 * 2  # p2 listed twice
         assert rows(plain) == rows(salted.select(*plain.columns))
+        # the hot package's rows are spread over several salts
+        from logcube.operators.enrich import _salted_join, prepare_catalog
+
+        f = hot.withColumn("_s", F.pmod(F.xxhash64(*[F.col(c) for c in hot.columns]), F.lit(8)))
+        assert f.where("package_id = 'p2'").select("_s").distinct().count() == 8
+        assert _salted_join(hot, prepare_catalog(catalog_frame(spark), "fsk_catalog"), 8).count() == 606
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
