@@ -71,6 +71,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--specs", default="download_v2,install_v2,open_v2", help=f"any of {sorted(SPECS)}")
         s.add_argument("--skip-ingest", action="store_true", help="reports only (facts already parsed)")
         s.add_argument("--fact-format", default="orc")
+        s.add_argument("--dedupe-catalog", action="store_true", help="one catalog row per package")
     return p
 
 
@@ -104,6 +105,7 @@ def _run(args, spark, catalog, specs, first, last) -> None:
         ingest=not args.skip_ingest,
         specs=specs,
         fmt=args.fact_format,
+        dedupe=args.dedupe_catalog,
     )
 
 

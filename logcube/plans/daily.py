@@ -78,8 +78,11 @@ def report_days(
     sink: Sink,
     specs: Sequence[GrowthSpec] = (DOWNLOAD_V2, INSTALL_V2, OPEN_V2),
     fmt: str = "orc",
+    dedupe: bool = False,
 ) -> None:
     """R1, R3, R4, R5 for ``days``; each report goes to ``sink(name, df)``.
+    ``dedupe`` keeps one catalog row per package (H7; default: duplicates
+    multiply counts, as in the reference).
 
     The catalog is materialized once (one database read, one consistent
     snapshot for every report).
@@ -90,11 +93,13 @@ def report_days(
     cat = materialize(catalog.select("fsk_pid", "fsk_title", "fsk_cid", "fsk_catalog"))
     small = fits(cat, DEFAULT_MAX_ROWS)  # measured once for every report below
     for spec in specs:
-        sink(GROWTH_TARGETS[spec.name], reports.growth(facts, cat, spec, days=days, broadcast=small))
+        sink(GROWTH_TARGETS[spec.name], reports.growth(facts, cat, spec, days=days, broadcast=small, dedupe=dedupe))
     sink("device_app_download_report", reports.devices(facts, days=days))
-    sink("device_app_download_report_", reports.devices_rollup(facts, cat, days=days, broadcast=small))
+    sink("device_app_download_report_", reports.devices_rollup(facts, cat, days=days, broadcast=small, dedupe=dedupe))
     sink("funnel_app_install_report", reports.funnel(_clicks_by_log_day(facts), days=days))
-    rich = reports.funnel_enriched(_clicks_by_log_day(facts), cat, LIVE_STAGES, days=days, broadcast=small)
+    rich = reports.funnel_enriched(
+        _clicks_by_log_day(facts), cat, LIVE_STAGES, days=days, broadcast=small, dedupe=dedupe
+    )
     macro, micro = reports.funnel_macro_micro(rich)
     sink("funnel_app_install_report_macro", macro)
     sink("funnel_app_install_report_micro", micro)

@@ -142,10 +142,13 @@ def devices_rollup(
     category: str = "fsk_catalog",
     broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
     broadcast: bool | None = None,
+    dedupe: bool = False,
 ) -> DataFrame:
     """R3 rolled up: on the v2-enriched download rows."""
     rows = restrict_days(facts, days, start, end).where(F.col("kind") == "download_fin")
-    rich = enrich(rows, catalog, "catalog", category, broadcast_max_rows=broadcast_max_rows, broadcast=broadcast)
+    rich = enrich(
+        rows, catalog, "catalog", category, dedupe=dedupe, broadcast_max_rows=broadcast_max_rows, broadcast=broadcast
+    )
     return device_rollup(rich, category)
 
 
@@ -164,10 +167,13 @@ def funnel_enriched(
     category: str = "fsk_catalog",
     broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
     broadcast: bool | None = None,
+    dedupe: bool = False,
 ) -> DataFrame:
     """U3 + J4: stage rows of all stages, joined to the catalog once."""
     rows = stage_rows(restrict_days(facts, days, start, end), stages)
-    return enrich(rows, catalog, "catalog", category, broadcast_max_rows=broadcast_max_rows, broadcast=broadcast)
+    return enrich(
+        rows, catalog, "catalog", category, dedupe=dedupe, broadcast_max_rows=broadcast_max_rows, broadcast=broadcast
+    )
 
 
 def funnel_macro_micro(enriched: DataFrame, category: str = "fsk_catalog") -> tuple[DataFrame, DataFrame]:
