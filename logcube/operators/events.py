@@ -77,20 +77,22 @@ def parse_events(
         date = F.col("log_date")
     else:
         raise ValueError(f"date_from must be 'event' or 'log', not {date_from!r}")
-    extra = [c for c in passthrough]
-    optional = [F.col(c) if c in ev.columns else F.lit(None).cast("string").alias(c) for c in ("account", "vercode", "vername")]
+    def optional(name: str, dtype: str):
+        return F.col(name) if name in ev.columns else F.lit(None).cast(dtype).alias(name)
+
     return ev.select(
-        *extra,
+        *passthrough,
         "custom_uuid",
-        optional[0],
+        optional("account", "string"),
         date.alias("date"),
-        (F.col("log_date") if has_log_date else F.lit(None).cast("date")).alias("log_date"),
+        optional("log_date", "date"),
         "device_name",
-        optional[1],
-        optional[2],
+        optional("vercode", "string"),
+        optional("vername", "string"),
         channel_of(F.col("site"), channels).alias("site"),
         "package_id",
         "title",
         "kind",
         source_flag(F.col("package_id")).alias("source"),
-    ).withColumn("dt", dt_string(F.col("date")))
+        dt_string(date).alias("dt"),
+    )

@@ -6,7 +6,6 @@ from logcube.functions.scalar import pct_change_text
 from logcube.operators.cube import rollup_counts
 from logcube.operators.growth import growth_report, with_lags
 from logcube.plans.specs import SPECS
-from tests.conftest import rows
 from tests.fixtures import D0, fact, facts_frame
 
 DAY = dt.timedelta(days=1)
