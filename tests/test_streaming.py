@@ -26,3 +26,20 @@ def test_available_now_ingest_is_incremental(spark, scratch):
     got = read_facts(spark, facts, fmt="parquet")
     assert got.count() == 3
     assert {r["log_date"] for r in got.collect()} == {D0, nxt}
+
+
+def test_replayed_batch_overwrites_itself(spark, scratch):
+    from logcube.sources.raw_logs import read_raw_logs
+    from logcube.streaming.ingest import batch_writer
+
+    root = tempfile.mkdtemp(prefix="rlogs-", dir=scratch)
+    facts = tempfile.mkdtemp(prefix="rfacts-", dir=scratch)
+    write_gz(f"{root}/{D0}/h/a.gz", [line("u1", D0, download_fin=[ev("p1")], install_fin=[ev("p2")])])
+    batch = read_raw_logs(spark, root, [D0])
+    write = batch_writer(facts, ["download_fin", "install_fin"], "UTC", fmt="parquet")
+    write(batch, 7)
+    write(batch, 7)  # the same micro-batch again after a failure
+    write(batch, 8)  # a different batch appends
+    got = read_facts(spark, facts, fmt="parquet")
+    assert got.count() == 4
+    assert sorted({r["ingest_id"] for r in got.collect()}) == ["b0000000007", "b0000000008"]
