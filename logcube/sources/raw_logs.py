@@ -34,35 +34,10 @@ class NoInputError(RuntimeError):
         self.path = path
 
 
-def day_dir(root: str, day) -> str:
-    return f"{root.rstrip('/')}/{_as_str(day)}"
-
-
 def _as_str(day) -> str:
     return day.isoformat() if isinstance(day, _dt.date) else str(day)
 
 
-def count_log_files(spark: SparkSession, path: str, glob: str = "*.gz") -> int:
-    """Number of files matching ``glob`` below ``path`` (0 if it is missing).
-
-    Lists through Spark's file index (binaryFile with no content column), so
-    it works on any Hadoop-compatible store and reads no file bytes.
-    """
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true")
-            .load(path)
-            .select("path")
-        )
-        return files.count()
-    except AnalysisException as e:
-        if _missing(e):
-            return 0
-        raise
-
-
 def _missing(e: AnalysisException) -> bool:
     cond = getattr(e, "getCondition", lambda: None)() or ""
     return "PATH_NOT_FOUND" in cond or "PATH_NOT_FOUND" in str(e)
