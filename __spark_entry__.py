@@ -13,6 +13,7 @@ The test tables are mapped to the reference's log / catalog shape by
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,13 @@ from logcube.functions.scalar import channel_of, date_key, dt_string, local_date
 from logcube.operators.enrich import enrich
 from logcube.operators.events import explode_kinds
 from logcube.operators.funnel import DETAIL_STAGE, LIVE_STAGES
-from logcube.plans import backfill, reports
+from logcube.plans import backfill, daily, reports
+from logcube.plans.checkpoints import scratch_dir
 from logcube.plans.specs import SPECS, GrowthSpec
 from logcube.sources import bridge
+from logcube.sources.catalog import read_catalog_jdbc
+from logcube.sources.facts import read_facts
+from logcube.sources.sinks import write_report_jdbc
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 OPEN_STANDIN_STAGE = (DETAIL_STAGE[0], ("app_open", "game_open"))
@@ -139,6 +144,50 @@ def q_backfill_install_growth(spark, sf):
     return backfill.backfill_growth(_facts(spark, sf), bridge.catalog(spark, sf), SPECS["install_v2"])
 
 
+def _fact_files(spark, sf):
+    """S1, S2, P1-P7, K1, S4 on real files: the bridge's log lines written
+    as gzip JSON day folders, parsed into the ORC fact table in one job, and
+    read back through the partitioned scan."""
+    root = scratch_dir(spark, "bridge")
+    logs, facts_root = f"{root}/logs", f"{root}/facts"
+    raw = bridge.raw_logs(spark, sf).drop("event_id")
+    raw = raw.withColumn("day", local_date(F.col("rectime"), "UTC").cast("string"))
+    raw.write.partitionBy("day").option("compression", "gzip").json(logs)
+    days = [r[0] for r in raw.select("day").distinct().collect()]  # one row per calendar day
+    daily.ingest_days(spark, logs, facts_root, days, tz="UTC", layout="day={day}/*.gz")
+    return read_facts(spark, facts_root)
+
+
+def q_ingest_json_facts(spark, sf):
+    f = _fact_files(spark, sf)
+    return f.select("custom_uuid", "date", "log_date", "device_name", "site", "package_id", "title", "source", "kind", "dt")
+
+
+def q_growth_from_fact_files(spark, sf):
+    return reports.growth(_fact_files(spark, sf), bridge.catalog(spark, sf), SPECS["install_v2"])
+
+
+def q_catalog_jdbc_roundtrip(spark, sf):
+    """K2 then S3/U4 over JDBC (embedded in-memory Derby inside the Spark JVM:
+    no server, no port): the two catalog lists are written as tables and read
+    back with the UNION ALL sub-query run by the database."""
+    url = f"jdbc:derby:memory:cms_{uuid.uuid4().hex};create=true"
+    opts = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    part = bridge.table(spark, sf, "part")
+    cols = [
+        F.col("p_partkey").cast("string").alias("fsk_pid"),
+        F.col("p_name").alias("fsk_title"),
+        F.col("p_brand").alias("fsk_cid"),
+        F.col("p_type").alias("fsk_catalog"),
+    ]
+    apps = part.where(~F.col("p_type").isin(list(bridge.APP_LIST_EXCLUDES))).select(*cols)
+    games = part.where(F.col("p_type").isin(list(bridge.GAME_LIST_TYPES))).select(*cols)
+    write_report_jdbc(apps, url, "APP_LIST", opts, mode="overwrite")
+    write_report_jdbc(games, url, "GAME_LIST", opts, mode="overwrite")
+    query = "SELECT * FROM APP_LIST UNION ALL SELECT * FROM GAME_LIST"
+    return read_catalog_jdbc(spark, url, query, opts).select("fsk_pid", "fsk_title", "fsk_cid", "fsk_catalog")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "explode_events": q_explode_events,
@@ -169,6 +218,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "funnel_micro": q_funnel_micro,
         "funnel_four_stages": q_funnel_four_stages,
         "backfill_install_growth": q_backfill_install_growth,
+        "ingest_json_facts": q_ingest_json_facts,
+        "growth_from_fact_files": q_growth_from_fact_files,
+        "catalog_jdbc_roundtrip": q_catalog_jdbc_roundtrip,
     }
 
 
@@ -374,5 +426,11 @@ FROM facts
 WHERE kind IN ('app_open', 'game_open', 'download_onclick', 'download_fin', 'install_fin')
 GROUP BY 1, 2""",
         "backfill_install_growth": _growth_sql(SPECS["install_v2"]),
+        "ingest_json_facts": _with()
+        + """SELECT custom_uuid, date, date AS log_date, device_name, site, package_id, title, source, kind,
+       strftime(date, '%Y-%m-%d') AS dt
+FROM facts""",
+        "growth_from_fact_files": _growth_sql(SPECS["install_v2"]),
+        "catalog_jdbc_roundtrip": _with() + "SELECT fsk_pid, fsk_title, fsk_cid, fsk_catalog FROM cms",
     }
     return sql

@@ -40,3 +40,19 @@ def materialize(df: DataFrame) -> DataFrame:
     if checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate tables, under the cluster's shared
+    checkpoint folder.  Only a local-mode session without one (tests, local
+    checks) falls back to a new folder under /tmp; on a cluster a missing
+    ``spark.checkpoint.dir`` is an error, never a machine-local path."""
+    import tempfile
+    import uuid
+
+    base = checkpoint_dir(spark)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for intermediate tables")
+        base = tempfile.mkdtemp(prefix="logcube-", dir="/tmp")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
