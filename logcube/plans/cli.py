@@ -59,6 +59,7 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--first-run-day", required=True)
             s.add_argument("--last-run-day", required=True)
         s.add_argument("--log-root", required=True)
+        s.add_argument("--log-layout", default="{day}/*/*.gz", help="files of a day below the root")
         s.add_argument("--fact-root", required=True)
         s.add_argument("--tz", required=True, help="zone whose calendar day is the event day")
         s.add_argument("--catalog-url", required=True)
@@ -103,6 +104,7 @@ def _run(args, spark, catalog, specs, first, last) -> None:
         args.tz,
         make_sink(args),
         ingest=not args.skip_ingest,
+        layout=args.log_layout,
         specs=specs,
         fmt=args.fact_format,
         dedupe=args.dedupe_catalog,

@@ -123,6 +123,7 @@ def run_range(
     tz: str,
     sink: Sink,
     ingest: bool = True,
+    layout: str = DEFAULT_LAYOUT,
     **kw,
 ) -> None:
     """Run days ``[first, last]`` -> report days ``[first-1, last-1]``."""
@@ -130,5 +131,5 @@ def run_range(
     first, last = reports.as_date(first_run_day) - one, reports.as_date(last_run_day) - one
     days = [first + _dt.timedelta(i) for i in range((last - first).days + 1)]
     if ingest:
-        ingest_days(spark, log_root, fact_root, days, tz, fmt=kw.get("fmt", "orc"))
+        ingest_days(spark, log_root, fact_root, days, tz, fmt=kw.get("fmt", "orc"), layout=layout)
     report_days(spark, fact_root, catalog, days, sink, **kw)
