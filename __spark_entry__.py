@@ -13,9 +13,16 @@ The test tables are mapped to the reference's log / catalog shape by
 
 from __future__ import annotations
 
+import os
+import sys
 import uuid
 from collections.abc import Callable
 
+# The package sits next to this file; make it importable however the file is loaded.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
