@@ -24,6 +24,27 @@ from logcube.plans.specs import SPECS
 from logcube.sources.raw_logs import NoInputError
 
 
+# SQL settings for a large cluster, applied only where spark-submit left them unset.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+}
+
+
+def apply_defaults(spark) -> dict[str, str]:
+    """Set ``CLUSTER_DEFAULTS`` that the submitted configuration does not set."""
+    submitted = spark.sparkContext.getConf()
+    applied = {}
+    for key, value in CLUSTER_DEFAULTS.items():
+        if not submitted.contains(key):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
+
+
 def read_properties(path: str | None) -> dict[str, str]:
     if not path:
         return {}
@@ -83,6 +104,8 @@ def main(argv=None) -> None:
 
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"logcube-{args.command}").getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        apply_defaults(spark)
     catalog = read_catalog_jdbc(spark, args.catalog_url, args.catalog_query, read_properties(args.catalog_props))
     specs = [SPECS[s] for s in args.specs.split(",") if s]
     first, last = (args.run_day, args.run_day) if args.command == "daily" else (args.first_run_day, args.last_run_day)

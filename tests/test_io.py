@@ -210,3 +210,19 @@ def test_cli_exits_123_without_input(spark, log_root, scratch):
     with pytest.raises(SystemExit) as e:
         cli.main(argv)
     assert e.value.code == 123
+
+
+def test_cluster_defaults_respect_submitted_conf(spark):
+    from logcube.plans import cli
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        applied = cli.apply_defaults(spark)
+        # the test session was built with spark.sql.shuffle.partitions=8: kept
+        assert "spark.sql.shuffle.partitions" not in applied
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        assert applied.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "256m"
+    finally:
+        for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.enabled",
+                  "spark.sql.adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(k)
