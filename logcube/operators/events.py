@@ -32,6 +32,15 @@ def explode_kinds(
     if not kinds:
         raise ValueError("explode_kinds needs at least one event kind")
     keep = [c for c in LINE_FIELDS if c in raw.columns] + [c for c in passthrough if c not in LINE_FIELDS]
+    present = set(raw.schema["data"].dataType.fieldNames())
+    # A kind the log schema does not have yields no rows (never an analysis error).
+    kinds = [k for k in kinds if k in present]
+    if not kinds:
+        return raw.select(
+            *keep,
+            F.lit(None).cast("string").alias("kind"),
+            *[F.lit(None).cast("string").alias(c) for c in ("time", "package_id", "title")],
+        ).where(F.lit(False))
     if len(kinds) == 1:
         (kind,) = kinds
         rows = raw.select(*keep, F.lit(kind).alias("kind"), F.explode(F.col("data").getField(kind)).alias("_e"))

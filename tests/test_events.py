@@ -62,3 +62,17 @@ def test_parse_log_date(spark):
     log_day = parse_events(raw, ["download_onclick"], tz="UTC", date_from="log").first()
     assert ev_day["date"] == D0 - dt.timedelta(1) and ev_day["log_date"] == D0
     assert log_day["date"] == D0
+
+
+def test_kind_missing_from_schema_gives_no_rows(spark):
+    from pyspark.sql import types as T
+
+    from logcube.schemas import EVENT, raw_log_schema
+
+    schema = raw_log_schema(kinds=("download_fin",))
+    assert [f.name for f in schema["data"].dataType.fields] == ["download_fin"]
+    raw = spark.createDataFrame([("u", None, 1, "d", None, None, "ALI", ([("t", "p", "x")],))], schema)
+    assert explode_kinds(raw, ["install_fin"]).count() == 0
+    assert explode_kinds(raw, ["install_fin", "download_fin"]).count() == 1
+    assert parse_events(raw, ["app_open"], tz="UTC").count() == 0
+    assert isinstance(EVENT, T.StructType)
