@@ -19,6 +19,7 @@ from logcube.operators.broadcast import DEFAULT_MAX_ROWS, fits
 from logcube.operators.events import parse_events
 from logcube.operators.funnel import LIVE_STAGES
 from logcube.plans import reports
+from logcube.plans.backfill import run_days_to_report_days
 from logcube.plans.checkpoints import materialize
 from logcube.plans.specs import DOWNLOAD_V2, INSTALL_V2, OPEN_V2, GrowthSpec
 from logcube.schemas import EVENT_KINDS
@@ -127,8 +128,7 @@ def run_range(
     **kw,
 ) -> None:
     """Run days ``[first, last]`` -> report days ``[first-1, last-1]``."""
-    one = _dt.timedelta(days=1)
-    first, last = reports.as_date(first_run_day) - one, reports.as_date(last_run_day) - one
+    first, last = run_days_to_report_days(first_run_day, last_run_day)
     days = [first + _dt.timedelta(i) for i in range((last - first).days + 1)]
     if ingest:
         ingest_days(spark, log_root, fact_root, days, tz, fmt=kw.get("fmt", "orc"), layout=layout)
