@@ -37,6 +37,7 @@ from logcube.sources import bridge
 from logcube.sources.catalog import read_catalog_jdbc
 from logcube.sources.facts import read_facts
 from logcube.sources.sinks import write_report_jdbc
+from logcube.streaming.ingest import start_ingest
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 OPEN_STANDIN_STAGE = (DETAIL_STAGE[0], ("app_open", "game_open"))
@@ -151,23 +152,41 @@ def q_backfill_install_growth(spark, sf):
     return backfill.backfill_growth(_facts(spark, sf), bridge.catalog(spark, sf), SPECS["install_v2"])
 
 
+FACT_OUTPUT = ("custom_uuid", "date", "log_date", "device_name", "site", "package_id", "title", "source", "kind", "dt")
+
+
+def _write_bridge_logs(spark, sf, logs: str) -> list[str]:
+    """The bridge's log lines as gzip JSON day folders (``day=<yyyy-MM-dd>``)."""
+    raw = bridge.raw_logs(spark, sf).drop("event_id")
+    raw = raw.withColumn("day", local_date(F.col("rectime"), "UTC").cast("string"))
+    raw.write.partitionBy("day").option("compression", "gzip").json(logs)
+    return [r[0] for r in raw.select("day").distinct().collect()]  # one row per calendar day
+
+
 def _fact_files(spark, sf):
     """S1, S2, P1-P7, K1, S4 on real files: the bridge's log lines written
     as gzip JSON day folders, parsed into the ORC fact table in one job, and
     read back through the partitioned scan."""
     root = scratch_dir(spark, "bridge")
     logs, facts_root = f"{root}/logs", f"{root}/facts"
-    raw = bridge.raw_logs(spark, sf).drop("event_id")
-    raw = raw.withColumn("day", local_date(F.col("rectime"), "UTC").cast("string"))
-    raw.write.partitionBy("day").option("compression", "gzip").json(logs)
-    days = [r[0] for r in raw.select("day").distinct().collect()]  # one row per calendar day
+    days = _write_bridge_logs(spark, sf, logs)
     daily.ingest_days(spark, logs, facts_root, days, tz="UTC", layout="day={day}/*.gz")
     return read_facts(spark, facts_root)
 
 
 def q_ingest_json_facts(spark, sf):
-    f = _fact_files(spark, sf)
-    return f.select("custom_uuid", "date", "log_date", "device_name", "site", "package_id", "title", "source", "kind", "dt")
+    return _fact_files(spark, sf).select(*FACT_OUTPUT)
+
+
+def q_stream_ingest_facts(spark, sf):
+    """The same logs through the Structured Streaming ingest (availableNow
+    trigger, foreachBatch writing one ingest folder per micro-batch)."""
+    root = scratch_dir(spark, "stream")
+    logs, facts_root = f"{root}/logs", f"{root}/facts"
+    _write_bridge_logs(spark, sf, logs)
+    query = start_ingest(spark, logs, facts_root, f"{root}/checkpoint", tz="UTC")
+    query.awaitTermination()
+    return read_facts(spark, facts_root).select(*FACT_OUTPUT)
 
 
 def q_growth_from_fact_files(spark, sf):
@@ -232,6 +251,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "funnel_four_stages": q_funnel_four_stages,
         "backfill_install_growth": q_backfill_install_growth,
         "ingest_json_facts": q_ingest_json_facts,
+        "stream_ingest_facts": q_stream_ingest_facts,
         "growth_from_fact_files": q_growth_from_fact_files,
         "catalog_jdbc_roundtrip": q_catalog_jdbc_roundtrip,
     }
@@ -442,6 +462,10 @@ GROUP BY 1, 2""",
         "ingest_json_facts": _with()
         + """SELECT custom_uuid, date, date AS log_date, device_name, site, package_id, title, source, kind,
        strftime(date, '%Y-%m-%d') AS dt
+FROM facts""",
+        "stream_ingest_facts": _with()
+        + """SELECT custom_uuid, date, date AS log_date, device_name, site, package_id, title, source, kind,
+       strftime(date, '%Y-%m-%d') AS dt
 FROM facts""",
         "growth_from_fact_files": _growth_sql(SPECS["install_v2"]),
         "catalog_jdbc_roundtrip": _with() + "SELECT fsk_pid, fsk_title, fsk_cid, fsk_catalog FROM cms",
