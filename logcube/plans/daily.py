@@ -67,7 +67,10 @@ def ingest_days(
     layout: str = DEFAULT_LAYOUT,
 ) -> None:
     """S1, S2, P1-P7, K1 for a range of log days in one job (backfills)."""
-    raw = read_raw_logs(spark, log_root, list(days), layout=layout)
+    days = list(days)
+    if not days:
+        return
+    raw = read_raw_logs(spark, log_root, days, layout=layout)
     write_facts_by_log_day(parse_events(raw, kinds, tz), fact_root, fmt=fmt)
 
 
@@ -130,6 +133,8 @@ def run_range(
     """Run days ``[first, last]`` -> report days ``[first-1, last-1]``."""
     first, last = run_days_to_report_days(first_run_day, last_run_day)
     days = [first + _dt.timedelta(i) for i in range((last - first).days + 1)]
+    if not days:
+        raise ValueError(f"empty run-day range: {first_run_day} .. {last_run_day}")
     if ingest:
         ingest_days(spark, log_root, fact_root, days, tz, fmt=kw.get("fmt", "orc"), layout=layout)
     report_days(spark, fact_root, catalog, days, sink, **kw)

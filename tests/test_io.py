@@ -226,3 +226,10 @@ def test_cluster_defaults_respect_submitted_conf(spark):
         for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.enabled",
                   "spark.sql.adaptive.coalescePartitions.enabled"):
             spark.conf.unset(k)
+
+
+def test_empty_ranges(spark, scratch):
+    root = tempfile.mkdtemp(prefix="empty-", dir=scratch)
+    daily.ingest_days(spark, root, root + "/facts", [], tz="UTC")  # nothing to do, no error
+    with pytest.raises(ValueError):
+        daily.run_range(spark, root, root + "/facts", catalog_frame(spark), "2024-01-05", "2024-01-01", "UTC", lambda n, d: None)
