@@ -67,3 +67,15 @@ def test_devices(spark):
     # id 3 is (date, device) only: rows multiplied by catalog duplicates
     r3 = roll.where("id_1 = 3").agg(F.sum("totalPlayCount")).first()[0]
     assert r3 >= plain.agg(F.sum("totalPlayCount")).first()[0]
+
+
+def test_sql_growth_equals_dataframe_growth(spark):
+    from logcube.plans.sql_reports import growth_sql
+
+    facts, cat = bridge.facts(spark, SF), bridge.catalog(spark, SF)
+    for name, fmt in (("open_v2", "percent"), ("download_v1", "ratio")):
+        spec = SPECS[name]
+        df = reports.growth(facts, cat, spec, fmt=fmt)
+        sql = growth_sql(spark, reports.enriched_for(facts, cat, spec), spec, fmt=fmt)
+        assert df.columns == sql.columns and df.dtypes == sql.dtypes
+        assert same(df, sql), name
