@@ -33,12 +33,22 @@ def _jdbc_writer(df: DataFrame, url: str, table: str, options: Mapping[str, str]
     return w
 
 
+# Options that configure Spark's JDBC reader/writer rather than the connection.
+_SPARK_JDBC_KEYS = {
+    "url", "dbtable", "query", "driver", "partitioncolumn", "lowerbound", "upperbound", "numpartitions",
+    "querytimeout", "fetchsize", "truncate", "cascadetruncate", "createtableoptions", "createtablecolumntypes",
+    "customschema", "batchsize", "isolationlevel", "sessioninitstatement", "pushdownpredicate",
+    "pushdownaggregate", "pushdownlimit", "pushdownoffset", "pushdowntablesample", "keytab", "principal",
+    "refreshkrb5config", "connectionprovider", "preparequery", "inferTimestampNTZType".lower(),
+}
+
+
 def _connect(df: DataFrame, url: str, options: Mapping[str, str] | None):
     jvm = df.sparkSession.sparkContext._jvm
     props = jvm.java.util.Properties()
     for k, v in (options or {}).items():
-        if k in ("user", "password"):
-            props.setProperty(k, v)
+        if k.lower() not in _SPARK_JDBC_KEYS:  # user, password, ssl, ... as Spark passes them
+            props.setProperty(k, str(v))
     driver = (options or {}).get("driver")
     if driver:
         jvm.java.lang.Class.forName(driver)
