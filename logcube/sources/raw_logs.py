@@ -103,5 +103,5 @@ def read_raw_logs(
 def log_date_of_path(path):
     """The last ``yyyy-MM-dd`` folder name (optionally ``name=yyyy-MM-dd``)
     in a file path."""
-    day = F.regexp_extract(path, r"/(?:[^/=]+=)?(\d{4}-\d{2}-\d{2})/(?:[^/]*/)*[^/]+$", 1)
+    day = F.regexp_extract(path, r"^.*/(?:[^/=]+=)?(\d{4}-\d{2}-\d{2})/(?:[^/]*/)*[^/]+$", 1)
     return F.to_date(F.when(day != "", day))

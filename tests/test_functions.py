@@ -68,3 +68,19 @@ def test_pct_change_text(spark):
 def test_ratio_change(spark):
     assert one(spark, S.ratio_change(F.lit(5), F.lit(4))) == 0.25
     assert one(spark, S.ratio_change(F.lit(2), F.lit(3))) == -0.3333
+
+
+def test_log_date_of_path_takes_last_day_folder(spark):
+    from logcube.sources.raw_logs import log_date_of_path
+
+    df = spark.createDataFrame(
+        [
+            ("file:/data/2024-01-01/h/a.gz",),
+            ("file:/arch/2023-12-31/data/2024-01-02/h/a.gz",),
+            ("file:/logs/day=2024-01-03/part-0.json.gz",),
+            ("file:/logs/nodate/a.gz",),
+        ],
+        "p string",
+    )
+    got = [r[0] for r in df.select(log_date_of_path(F.col("p")).cast("string")).collect()]
+    assert got == ["2024-01-01", "2024-01-02", "2024-01-03", None]
