@@ -1,7 +1,7 @@
 """The nightly job of the reference, for one run day or many.
 
 ``ingest_day``: raw logs of a report day -> fact table (one scan of the logs
-for every event kind, idempotent per day).  ``report_day``: every report of
+for every event kind, idempotent per day).  ``report_days``: every report of
 the three families for the report day(s), handed to a sink callback.  A run
 on day r reports day r - 1; ``run_range`` does a backfill as one job per
 stage instead of one job per day.
@@ -100,21 +100,25 @@ def report_days(
         sink(GROWTH_TARGETS[spec.name], reports.growth(facts, cat, spec, days=days, broadcast=small, dedupe=dedupe))
     sink("device_app_download_report", reports.devices(facts, days=days))
     sink("device_app_download_report_", reports.devices_rollup(facts, cat, days=days, broadcast=small, dedupe=dedupe))
-    sink("funnel_app_install_report", reports.funnel(_clicks_by_log_day(facts), days=days))
-    rich = reports.funnel_enriched(
-        _clicks_by_log_day(facts), cat, LIVE_STAGES, days=days, broadcast=small, dedupe=dedupe
-    )
+    stages = _funnel_rows(spark, fact_root, facts, days, fmt)
+    sink("funnel_app_install_report", reports.funnel(stages, days=days))
+    rich = reports.funnel_enriched(stages, cat, LIVE_STAGES, days=days, broadcast=small, dedupe=dedupe)
     macro, micro = reports.funnel_macro_micro(rich)
     sink("funnel_app_install_report_macro", macro)
     sink("funnel_app_install_report_micro", micro)
 
 
-def _clicks_by_log_day(facts: DataFrame) -> DataFrame:
-    """Click rows count on the day of their log directory, the others on
-    their event day (as in the reference's funnel)."""
-    use_log = (F.col("kind") == "download_onclick") & F.col("log_date").isNotNull()
-    day = F.when(use_log, F.col("log_date")).otherwise(F.col("date"))
-    return facts.withColumn("date", day).withColumn("dt", day.cast("string"))
+def _funnel_rows(spark: SparkSession, fact_root: str, facts: DataFrame, days, fmt: str) -> DataFrame:
+    """Stage rows as the reference counts them: clicks on the day of their
+    log folder (every click ingested from that folder, however old its event
+    time), the other stages on their event day.  Day-keyed ingests store the
+    folder day as ``ingest_id``, a partition column, so both reads prune."""
+    folder_days = [d.isoformat() for d in days]
+    clicks = read_facts(spark, fact_root, kinds=["download_onclick"], fmt=fmt).where(
+        F.col("ingest_id").isin(folder_days) & F.col("log_date").isNotNull()
+    )
+    clicks = clicks.withColumn("date", F.col("log_date")).withColumn("dt", F.col("log_date").cast("string"))
+    return facts.where(F.col("kind") != "download_onclick").unionByName(clicks)
 
 
 def run_range(

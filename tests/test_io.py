@@ -233,3 +233,20 @@ def test_empty_ranges(spark, scratch):
     daily.ingest_days(spark, root, root + "/facts", [], tz="UTC")  # nothing to do, no error
     with pytest.raises(ValueError):
         daily.run_range(spark, root, root + "/facts", catalog_frame(spark), "2024-01-05", "2024-01-01", "UTC", lambda n, d: None)
+
+
+def test_funnel_clicks_count_on_their_folder_day(spark, scratch):
+    root = tempfile.mkdtemp(prefix="clogs-", dir=scratch)
+    facts_root = tempfile.mkdtemp(prefix="cfacts-", dir=scratch)
+    out = tempfile.mkdtemp(prefix="cout-", dir=scratch)
+    old = D0 - dt.timedelta(3)
+    write_gz(f"{root}/{D0}/h/a.gz", [
+        line("u1", D0, download_onclick=[ev("p1")], download_fin=[ev("p1")]),
+        line("u2", old, download_onclick=[ev("p1")], download_fin=[ev("p1")]),  # very late rows
+    ])
+    daily.ingest_days(spark, root, facts_root, [D0], tz="UTC", fmt="parquet")
+    daily.report_days(spark, facts_root, catalog_frame(spark), [D0],
+                      lambda name, df: write_report_files(df, f"{out}/{name}"), fmt="parquet")
+    funnel = {r["featureName"]: r["totalPlayCount"] for r in spark.read.parquet(f"{out}/funnel_app_install_report").collect()}
+    # both clicks count on the folder day; download_fin counts on its event day (the old one is not d, d-1, d-7)
+    assert funnel == {"download_onclick": 2, "download_fin": 1}
