@@ -112,10 +112,13 @@ def _funnel_rows(spark: SparkSession, fact_root: str, facts: DataFrame, days, fm
     """Stage rows as the reference counts them: clicks on the day of their
     log folder (every click ingested from that folder, however old its event
     time), the other stages on their event day.  Day-keyed ingests store the
-    folder day as ``ingest_id``, a partition column, so both reads prune."""
+    folder day as ``ingest_id`` (a partition column, so other days are pruned);
+    streaming micro-batches (``ingest_id=b...``) are kept by the partition
+    filter and narrowed by ``log_date``."""
     folder_days = [d.isoformat() for d in days]
+    in_scope = F.col("ingest_id").isin(folder_days) | F.col("ingest_id").startswith("b")
     clicks = read_facts(spark, fact_root, kinds=["download_onclick"], fmt=fmt).where(
-        F.col("ingest_id").isin(folder_days) & F.col("log_date").isNotNull()
+        in_scope & F.col("log_date").isin(list(days))
     )
     clicks = clicks.withColumn("date", F.col("log_date")).withColumn("dt", F.col("log_date").cast("string"))
     return facts.where(F.col("kind") != "download_onclick").unionByName(clicks)

@@ -250,3 +250,21 @@ def test_funnel_clicks_count_on_their_folder_day(spark, scratch):
     funnel = {r["featureName"]: r["totalPlayCount"] for r in spark.read.parquet(f"{out}/funnel_app_install_report").collect()}
     # both clicks count on the folder day; download_fin counts on its event day (the old one is not d, d-1, d-7)
     assert funnel == {"download_onclick": 2, "download_fin": 1}
+
+
+def test_funnel_clicks_from_streaming_ingest(spark, scratch):
+    from logcube.streaming.ingest import start_ingest
+
+    root = tempfile.mkdtemp(prefix="slogs2-", dir=scratch)
+    facts_root = tempfile.mkdtemp(prefix="sfacts2-", dir=scratch)
+    out = tempfile.mkdtemp(prefix="sout2-", dir=scratch)
+    write_gz(f"{root}/{D0}/h/a.gz", [
+        line("u1", D0, download_onclick=[ev("p1")]),
+        line("u2", D0 - dt.timedelta(3), download_onclick=[ev("p1")]),
+    ])
+    write_gz(f"{root}/{D0 - dt.timedelta(1)}/h/a.gz", [line("u3", D0 - dt.timedelta(1), download_onclick=[ev("p1")])])
+    start_ingest(spark, root, facts_root, tempfile.mkdtemp(prefix="sck2-", dir=scratch), tz="UTC", fmt="parquet").awaitTermination(300)
+    daily.report_days(spark, facts_root, catalog_frame(spark), [D0],
+                      lambda name, df: write_report_files(df, f"{out}/{name}"), fmt="parquet")
+    funnel = {r["featureName"]: r["totalPlayCount"] for r in spark.read.parquet(f"{out}/funnel_app_install_report").collect()}
+    assert funnel == {"download_onclick": 2}
