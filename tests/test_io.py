@@ -268,3 +268,13 @@ def test_funnel_clicks_from_streaming_ingest(spark, scratch):
                       lambda name, df: write_report_files(df, f"{out}/{name}"), fmt="parquet")
     funnel = {r["featureName"]: r["totalPlayCount"] for r in spark.read.parquet(f"{out}/funnel_app_install_report").collect()}
     assert funnel == {"download_onclick": 2}
+
+
+def test_jdbc_append_duplicates_like_the_reference(spark):
+    url = "jdbc:derby:memory:logcube_append;create=true"
+    opts = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rep = spark.createDataFrame([(20240101, "a", 1)], "date int, appId string, totalPlayCount long")
+    for _ in range(2):
+        write_report_jdbc(rep, url, "APPENDED", opts, mode="append")
+    back = spark.read.format("jdbc").option("url", url).option("dbtable", "APPENDED").options(**opts).load()
+    assert back.count() == 2  # a rerun doubles the day (H5); mode="replace" keeps one copy
