@@ -39,6 +39,14 @@ from logcube.sources.facts import read_facts
 from logcube.sources.sinks import write_report_jdbc
 from logcube.streaming.ingest import start_ingest
 
+try:  # the training-data operators and their pipeline are an optional part
+    import corpus_pipeline
+    from logcube.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "logcube.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 OPEN_STANDIN_STAGE = (DETAIL_STAGE[0], ("app_open", "game_open"))
 
@@ -221,6 +229,13 @@ def q_catalog_jdbc_roundtrip(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = report_queries()
+    if llm is not None:
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "explode_events": q_explode_events,
         "channel_map": q_channel_map,
@@ -470,4 +485,8 @@ FROM facts""",
         "growth_from_fact_files": _growth_sql(SPECS["install_v2"]),
         "catalog_jdbc_roundtrip": _with() + "SELECT fsk_pid, fsk_title, fsk_cid, fsk_catalog FROM cms",
     }
+    if llm is not None:
+        sql |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
