@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logcube.llm.common import table
 from logcube.llm.exact_dedup import exact_dedup
+from logcube.llm.mixing import mix
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,9 +17,15 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_source_mix": op9_source_mix,
     }
 
 
@@ -27,4 +34,52 @@ def oracle_sql() -> dict[str, str]:
         "op8_exact_dedup": """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+        "op9_source_mix": r"""WITH sized AS (
+  SELECT doc_id, source, md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT source, source_size, ordinal, CASE ordinal % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END :: DOUBLE AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS ordinal
+        FROM sized GROUP BY source)
+), filling AS (
+  SELECT *, 2.0 * source_size AS cap, 2.0 * source_size / weight AS full_at,
+         (1.5 * (SELECT sum(source_size) FROM sources)
+          - coalesce(sum(2.0 * source_size) OVER (up ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (up ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources WINDOW up AS (ORDER BY 2.0 * source_size / weight, ordinal)
+), targets AS (
+  SELECT source, source_size, ordinal,
+         CAST(least(cap, (SELECT max(level) FROM filling WHERE level <= full_at) * weight) AS DOUBLE) AS target,
+         greatest(1, least(4096, CAST(ceil(source_size / 100000) AS BIGINT))) AS shards
+  FROM filling
+), quotients AS (
+  SELECT ordinal, row_number() OVER (ORDER BY target / (2 * i + 1) DESC, ordinal) AS place
+  FROM targets, range((SELECT CAST(round(sum(target) / 64) AS BIGINT) FROM targets)) AS r(i)
+  WHERE i <= target / 64 + 64
+), seats AS (
+  SELECT ordinal, count(*) AS seats FROM quotients
+  WHERE place <= (SELECT CAST(round(sum(target) / 64) AS BIGINT) FROM targets) GROUP BY ordinal
+), placed AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target, t.ordinal, s.place,
+         CAST('0x' || substr(s.place, 1, 8) AS BIGINT) % t.shards AS shard
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), shards AS (
+  SELECT ordinal, shard, sum(size) AS shard_size FROM placed GROUP BY ordinal, shard
+), shard_quotients AS (
+  SELECT s.ordinal, s.shard, seats,
+         row_number() OVER (PARTITION BY s.ordinal ORDER BY s.shard_size / (2 * i + 1) DESC, s.shard) AS place
+  FROM shards s JOIN seats USING (ordinal), range((SELECT max(seats) FROM seats)) AS r(i)
+  WHERE i <= seats
+), quotas AS (
+  SELECT ordinal, shard, count(*) AS quota FROM shard_quotients WHERE place <= seats GROUP BY ordinal, shard
+), dealt AS (
+  SELECT p.*, shard_size, least(coalesce(quota, 0) * 64, shard_size * 2) AS words,
+         sum(size) OVER (PARTITION BY p.ordinal, p.shard ORDER BY p.place, p.doc_id) - size AS start
+  FROM placed p JOIN shards USING (ordinal, shard) LEFT JOIN quotas USING (ordinal, shard)
+)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN shard_size = 0 THEN 0
+            ELSE CAST(words // shard_size * size + least(size, greatest(0, words % shard_size - start)) AS BIGINT) END AS taken
+FROM dealt""",
     }
