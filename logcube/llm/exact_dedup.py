@@ -71,6 +71,7 @@ def exact_dedup(
     rows = rows.drop("keys").join(identities, "row_id")
     identity = ["n_bytes", "level", "name"]
     groups = rows.groupBy(*identity).agg(F.max(F.struct("doc_id", "row_id")).alias("keep"), F.count("*").alias("group_size"))
+    groups = stored(groups, "groups")  # apart from the join, whose hot partitions Spark can then split
     return rows.join(groups, identity).select(
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),
