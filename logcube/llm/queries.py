@@ -6,12 +6,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from logcube.llm import fingerprint as fp
 from logcube.llm.common import table
 from logcube.llm.exact_dedup import exact_dedup
 from logcube.llm.mixing import mix
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fp.fingerprints_with_edits(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        fp.to_hex(F.col("fingerprint")).alias("fingerprint"),
+        fp.to_hex(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        fp.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fp.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = exact_dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -24,6 +39,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_fingerprints": op4_fingerprints,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_source_mix": op9_source_mix,
     }
