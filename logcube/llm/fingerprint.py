@@ -30,8 +30,9 @@ def _packed(lane: int) -> int:
 
 
 LANES = _packed(MODULUS - 1)
-#: A paragraph ends at a line end or after a sentence's full stop.
-PARAGRAPH_END = r"\n+|(?<=[.!?]) +"
+#: Paragraphs are cut at line ends and, so that a text of one line has several
+#: parts to compare, at spaces after a punctuation mark or symbol.
+PARAGRAPH_END = r"\n+|(?<=[\p{P}\p{S}]) +"
 
 
 def paragraphs(text: Column, end: str = PARAGRAPH_END) -> Column:
