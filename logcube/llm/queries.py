@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+from logcube.llm import bpe
 from logcube.llm import fingerprint as fp
 from logcube.llm.common import table
 from logcube.llm.exact_dedup import exact_dedup
@@ -27,6 +29,19 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    encoded = encoded.select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+    )
+    decoded = bpe.decode(encoded, ranks)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = exact_dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -40,6 +55,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_fingerprints": op4_fingerprints,
+        "op5_bpe_round_trip": op5_bpe_round_trip,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_source_mix": op9_source_mix,
     }
