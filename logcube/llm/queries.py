@@ -3,6 +3,7 @@ table, and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from logcube.llm import fingerprint as fp
 from logcube.llm.common import table
 from logcube.llm.exact_dedup import exact_dedup
 from logcube.llm.mixing import mix
+from logcube.llm.token_files import byte_level_encoder, read_token_files, write_token_files
+from logcube.plans.checkpoints import scratch_dir
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +45,17 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "token-files")
+    encode = byte_level_encoder(public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    manifest = write_token_files(table(spark, sf_dir, "documents"), folder, encode, vocabulary=50_257)
+    digests = {
+        "n_tokens": ("bigint", len),
+        "ids_crc32": ("bigint", lambda ids: zlib.crc32(ids.astype("<u4").tobytes())),
+    }
+    return read_token_files(manifest, folder, digests)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = exact_dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -56,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_fingerprints": op4_fingerprints,
         "op5_bpe_round_trip": op5_bpe_round_trip,
+        "op6_token_files": op6_token_files,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_source_mix": op9_source_mix,
     }
