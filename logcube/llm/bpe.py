@@ -17,7 +17,7 @@ than it) is encoded whole.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,15 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logcube.llm.common import stored, text_or_empty
+from logcube.llm.common import FLUSH_BYTES, cells, in_batches, stored, text_or_empty
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
 #: A boundary counts only with so many more characters of its chunk behind it:
 #: the chunk's end may cut a contraction ('re, 've) or a run short.
 MARGIN = 8
-#: A task sends its rows on whenever they hold so many bytes.
-FLUSH_BYTES = 4 << 20
 
 
 @lru_cache(maxsize=4)
@@ -66,27 +64,6 @@ def boundaries(chunk: str, pattern: str) -> list[int]:
     return [m.end() for m in _compiled(pattern).finditer(chunk) if m.end() <= last and not chunk[m.end() - 1].isspace()]
 
 
-def in_batches(rows: Iterable[tuple[int, dict]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """(bytes, row) pairs as record batches of about FLUSH_BYTES."""
-    held, size = [], 0
-    for n_bytes, row in rows:
-        held.append(row)
-        size += n_bytes
-        if size >= FLUSH_BYTES:
-            yield pa.RecordBatch.from_pylist(held, schema=schema)
-            held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema=schema)
-
-
-def cells(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
-    """The rows of the batches, one Python row at a time."""
-    for batch in batches:
-        columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-        for i in range(batch.num_rows):
-            yield tuple(c[i].as_py() for c in columns)
-
-
 def _encode_pieces(ranks_path: str, pattern: str, keep: dict[str, pa.DataType]) -> tuple[Callable, pa.Schema]:
     schema = pa.schema([*keep.items(), ("ids", pa.list_(pa.int32()))])
 

@@ -3,6 +3,9 @@ tables in the cluster's shared folder, and a few text rules."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,8 @@ from logcube.plans.checkpoints import scratch_dir
 
 #: A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: A Python task sends its rows on whenever they hold so many bytes.
+FLUSH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,3 +31,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def in_batches(rows: Iterable[tuple[int, dict]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """(bytes, row) pairs as record batches of about FLUSH_BYTES."""
+    held, size = [], 0
+    for n_bytes, row in rows:
+        held.append(row)
+        size += n_bytes
+        if size >= FLUSH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
+def cells(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    """The rows of the batches, one Python row at a time."""
+    for batch in batches:
+        columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in columns)

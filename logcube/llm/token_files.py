@@ -20,9 +20,11 @@ repeated task leaves no trace in it.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
+import unicodedata
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -34,17 +36,15 @@ from pyarrow import fs as files
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logcube.llm.common import stored, text_or_empty
+from logcube.llm.common import cells, stored, text_or_empty
 
 MAGIC = b"EFTOKEN1"
 #: A sample of the upper bit vector's ones.
 SAMPLE = 256
 #: A file is closed when its ids hold so many bytes.
 FILE_BYTES = 128 << 20
-#: Texts encoded at a time, in characters.
-ENCODE_CHARS = 2 << 20
-#: Encoded pieces kept in a worker, and the longest piece kept.
-KEPT_PIECES, KEPT_CHARS = 400_000, 48
+#: Pre-tokens that a worker remembers, and the longest of them.
+KEPT_PRETOKENS, KEPT_CHARS = 800_000, 48
 
 MANIFEST = "part int, seq int, file string, n_docs bigint, n_ids bigint"
 
@@ -210,49 +210,78 @@ class FileReader:
 
 # ------------------------------------------------------------------ encoding
 
+#: Up to here every Unicode version has the same letters, numbers and white space.
+SETTLED = 0x300
+
+
+def _settled_pattern() -> re.Pattern:
+    """The byte-level pre-tokens ('s, letters, numbers, others, white space) of
+    texts with settled characters only, with their classes written out."""
+
+    def members(kind: str) -> str:
+        return "".join(re.escape(chr(c)) for c in range(SETTLED) if unicodedata.category(chr(c)).startswith(kind))
+
+    letters, numbers, space = members("L"), members("N"), r"\t-\r \x85\xa0"
+    return re.compile(
+        f" ?[{letters}]+|'(?:[stmd]|re|ve|ll)| ?[{numbers}]+| ?[^{space}{letters}{numbers}]+|[{space}]+(?![^{space}])|[{space}]+"
+    )
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: itself
+    if it is printable in Latin-1, else the next one from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
+class PretokenEncoder:
+    """Encodes texts by a byte-level BPE file of the tokenizers library, whose
+    model merges every distinct pre-token; frequent ones are remembered, up to a
+    number of them.  A text with unsettled characters is left to the library."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        kind = json.loads(self.tokenizer.to_str())
+        before = kind["pre_tokenizer"] or {}
+        if kind["model"]["type"] != "BPE" or kind["normalizer"] or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
+            raise ValueError(f"{path} is no plain byte-level BPE file")
+        self.pretokens, self.characters = _settled_pattern().findall, _byte_characters()
+        self.unsettled = re.compile(f"[^\\x00-{chr(SETTLED - 1)}]").search
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, text: str) -> bytes:
+        """The ids as little-endian 32-bit integers."""
+        if self.unsettled(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        tokens = self.pretokens(text)
+        ids = list(map(self.known.get, tokens))
+        if None in ids:
+            ids = [self._merged(t) if i is None else i for t, i in zip(tokens, ids, strict=True)]
+        return b"".join(ids)
+
+    def _merged(self, token: str) -> bytes:
+        written = token.encode().decode("latin-1").translate(self.characters)
+        found = [t.id for t in self.tokenizer.model.tokenize(written)]
+        ids = struct.pack(f"<{len(found)}I", *found)
+        if len(token) <= KEPT_CHARS and len(self.known) < KEPT_PRETOKENS:
+            self.known[token] = ids
+        return ids
+
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
-
-
-#: One space between two other characters always starts a pre-token, so a text
-#: can be cut there.  Where white space is next to a space it is cut with care.
-BESIDE_SPACE, LONE_SPACE = re.compile(r" \s|\s "), re.compile(r"(?<=\S) (?=\S)")
-_known: dict[str, dict[str, bytes]] = {}
-
-
-def byte_level_encoder(path: str, end_id: int | None = None) -> Callable[[list[str]], list[np.ndarray]]:
-    """Encoder by a byte-level BPE file of the tokenizers library, without
-    special tokens but for ``end_id`` behind every text.  Texts are cut at lone
-    spaces, which such a tokenizer never merges across, and every distinct
-    piece is encoded by the library once, as long as the worker remembers it."""
-
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        known, tokenizer = _known.setdefault(path, {}), _tokenizer(path)
-        cut = []
-        for text in texts:
-            first, *rest = LONE_SPACE.split(text) if BESIDE_SPACE.search(text) else text.split(" ")
-            cut.append([first, *[f" {x}" for x in rest]])
-        new = list({x for pieces in cut for x in pieces if x not in known})
-        long = {}
-        for start in range(0, len(new), 10_000):
-            some = new[start : start + 10_000]
-            for piece, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                (known if len(piece) <= KEPT_CHARS else long)[piece] = np.array(found.ids, "<u4").tobytes()
-        end = [] if end_id is None else [np.array([end_id], "<u4").tobytes()]
-        table = known | long if long else known
-        out = [np.frombuffer(b"".join([table[x] for x in pieces] + end), "<u4") for pieces in cut]
-        if len(known) > KEPT_PIECES:
-            known.clear()
-        return out
-
-    return encode
+def _pretoken_encoder(path: str) -> PretokenEncoder:
+    return PretokenEncoder(path)
+
+
+def byte_level_encoder(path: str, end_id: int | None = None) -> Callable[[str], np.ndarray]:
+    """Encoder without special tokens, but for ``end_id`` behind every text."""
+    end = b"" if end_id is None else struct.pack("<I", end_id)
+    return lambda text: np.frombuffer(_pretoken_encoder(path).encode(text) + end, "<u4")
 
 
 # ---------------------------------------------------------------------- jobs
@@ -261,7 +290,7 @@ def byte_level_encoder(path: str, end_id: int | None = None) -> Callable[[list[s
 def write_token_files(
     docs: DataFrame,
     folder: str,
-    encode: Callable[[list[str]], list[np.ndarray]],
+    encode: Callable[[str], np.ndarray],
     vocabulary: int,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -285,23 +314,13 @@ def write_token_files(
             done.append({"part": part, "seq": seq, "file": writer.name, "n_docs": len(writer.ends), "n_ids": writer.n_ids})
 
         part = 0
-        for batch in batches:
-            numbers, texts = batch.column("doc_id"), batch.column("text")
-            at = 0
-            while at < batch.num_rows:
-                some, size = [], 0
-                while at + len(some) < batch.num_rows and size < ENCODE_CHARS:
-                    some.append(texts[at + len(some)].as_py())
-                    size += len(some[-1])
-                part = batch.column("part")[at].as_py()
-                for i, ids in enumerate(encode(some), at):
-                    if writer is None:
-                        writer = FileWriter(folder, f"{part:06d}-{seq:04d}-{uuid.uuid4().hex}.tok", id_type)
-                    writer.add(numbers[i].as_py(), ids)
-                    if writer.n_ids * writer.id_type.itemsize >= file_bytes:
-                        finish(part)
-                        writer, seq = None, seq + 1
-                at += len(some)
+        for number, text, part in cells(batches, "doc_id", "text", "part"):
+            if writer is None:
+                writer = FileWriter(folder, f"{part:06d}-{seq:04d}-{uuid.uuid4().hex}.tok", id_type)
+            writer.add(number, encode(text))
+            if writer.n_ids * writer.id_type.itemsize >= file_bytes:
+                finish(part)
+                writer, seq = None, seq + 1
         if writer is not None:
             finish(part)
         if done:

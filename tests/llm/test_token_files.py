@@ -5,6 +5,7 @@ import public_tokenizers as P
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from logcube.llm import token_files as tf
 from logcube.plans.checkpoints import scratch_dir
@@ -27,8 +28,14 @@ def test_elias_fano_is_small():
     assert len(tf.EliasFano.of(ends).to_bytes()) * 8 < 100_000 * (2 + np.log2(ends[-1] / 100_000) + 1)
 
 
+def library():
+    tokenizer = Tokenizer.from_file(JSON)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
 def expected(rows):
-    tokenizer, start, out = tf._tokenizer(JSON), 0, []
+    tokenizer, start, out = library(), 0, []
     for doc_id, text in rows:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
         out.append((doc_id, start, ids))
@@ -66,8 +73,23 @@ def test_awkward_rows(spark, awkward, empty):
     assert tf.read_token_files(manifest, folder).count() == 0
 
 
+AWKWARD_TEXTS = ["a  b   c", " a b ", "x \n y\n\nz", "tab\t a", "\x1c    b", "  ", "", "\n", " \n", "a\n", "<|endoftext|> a<|endoftext|>"]
+AWKWARD_TEXTS += ["é" * 100 + " " + "b" * 99, "don't  they've 'll", "漢字 \U0001f600 ok", "a\u3000 b", "x\u00a0 y \u00a0z", "a\r\nb c\r\n"]
+
+
 def test_pieces_encode_as_the_whole():
-    texts = ["a  b   c", " a b ", "x \n y\n\nz", "tab\t a", "\x1c    b", "  ", "<|endoftext|> a<|endoftext|>", "é" * 100 + " " + "b" * 99, "don't  they've 'll"]
-    tokenizer = tf._tokenizer(JSON)
-    got = tf.byte_level_encoder(JSON)(texts)
+    tokenizer = library()
+    for _ in range(2):  # the second time remembered
+        got = map(tf.byte_level_encoder(JSON), AWKWARD_TEXTS)
+        assert [x.tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in AWKWARD_TEXTS]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\t'abré1.!\u00a0\u0394\x1c", max_size=30), max_size=4))
+def test_any_text_encodes_as_the_library_does(texts):
+    tokenizer = library_once
+    got = map(tf.byte_level_encoder(JSON), texts)
     assert [x.tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+library_once = library()
