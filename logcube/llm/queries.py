@@ -14,11 +14,16 @@ from logcube.llm import bpe
 from logcube.llm import fingerprint as fp
 from logcube.llm.common import table
 from logcube.llm.exact_dedup import exact_dedup
+from logcube.llm.minhash import near_duplicates
 from logcube.llm.mixing import mix
 from logcube.llm.token_files import byte_level_encoder, read_token_files, write_token_files
 from logcube.plans.checkpoints import scratch_dir
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fp.fingerprints_with_edits(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -68,6 +73,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_near_duplicates": op3_near_duplicates,
         "op4_fingerprints": op4_fingerprints,
         "op5_bpe_round_trip": op5_bpe_round_trip,
         "op6_token_files": op6_token_files,
