@@ -10,16 +10,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from logcube.llm import bpe
+from logcube.llm import bpe, language_id
 from logcube.llm import fingerprint as fp
 from logcube.llm.common import table
 from logcube.llm.exact_dedup import exact_dedup
+from logcube.llm.line_dedup import drop_boilerplate
 from logcube.llm.minhash import near_duplicates
 from logcube.llm.mixing import mix
+from logcube.llm.secret_scan import scan_secrets, train
 from logcube.llm.token_files import byte_level_encoder, read_token_files, write_token_files
 from logcube.plans.checkpoints import scratch_dir
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = scan_secrets(docs, train(docs))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        count("markov").alias("n_markov"),
+    )
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_boilerplate(table(spark, sf_dir, "documents"), host=F.col("source"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
@@ -71,19 +97,48 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language_id.train(docs, learn=~held_out)
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secrets": op1_secrets,
+        "op2_line_dedup": op2_line_dedup,
         "op3_near_duplicates": op3_near_duplicates,
         "op4_fingerprints": op4_fingerprints,
         "op5_bpe_round_trip": op5_bpe_round_trip,
         "op6_token_files": op6_token_files,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_source_mix": op9_source_mix,
+        "op10_language_id": op10_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_line_dedup": r"""WITH pages AS (
+  SELECT row_number() OVER () AS page, doc_id, source AS host, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents
+), lines AS (
+  SELECT page, host, unnest(all_lines) AS line, generate_subscripts(all_lines, 1) AS pos FROM pages
+), common AS (
+  SELECT host, trim(line) AS line, count(DISTINCT page) AS n FROM lines WHERE trim(line) <> '' GROUP BY ALL
+  HAVING count(DISTINCT page) >= 5
+), boilerplate AS (
+  SELECT c.host, c.line FROM common c JOIN (SELECT host, count(*) AS pages FROM pages GROUP BY host) t
+    ON c.host IS NOT DISTINCT FROM t.host WHERE c.n > t.pages * 0.02
+), left_lines AS (
+  SELECT l.page, string_agg(l.line, chr(10) ORDER BY l.pos) AS text, count(*) AS n
+  FROM lines l LEFT JOIN boilerplate b ON b.host IS NOT DISTINCT FROM l.host AND b.line = trim(l.line)
+  WHERE b.line IS NULL GROUP BY l.page
+)
+SELECT p.doc_id, p.host, CAST(len(p.all_lines) AS BIGINT) AS n_lines,
+       CAST(len(p.all_lines) - coalesce(l.n, 0) AS BIGINT) AS n_dropped, coalesce(l.text, '') AS text
+FROM pages p LEFT JOIN left_lines l USING (page)""",
         "op8_exact_dedup": """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
