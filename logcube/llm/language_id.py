@@ -196,3 +196,16 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return texts.mapInArrow(run, "doc_id bigint, lang_pred string, score double, rejected boolean")
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all their columns unchanged, that are not rejected."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [model.predict(batch.column(at)[i].as_py()) for i in range(batch.num_rows)]
+            keep = [lang != UNDETERMINED and score >= model.threshold for lang, score in found]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

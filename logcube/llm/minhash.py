@@ -46,7 +46,7 @@ HASH_CHUNK, COUNT_COLUMNS = 1 << 15, 1 << 13
 #: Word hashes that a worker remembers.
 KEPT_WORDS = 1 << 20
 
-SKETCH = "doc_id bigint, n_shingles bigint, node binary, first array<bigint>, second array<bigint>"
+SKETCH = "doc_id bigint, text_hash bigint, n_shingles bigint, node binary, first array<bigint>, second array<bigint>"
 
 
 class _Words(dict):
@@ -113,10 +113,10 @@ def band_keys(sets: list[np.ndarray], bands: int, rows: int, seed: int) -> np.nd
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: int, rows: int, seed: int) -> DataFrame:
-    """(doc_id, n_shingles, node, first, second): the set's node and band keys
-    of either collection; NULL without a set."""
+    """(doc_id, text_hash, n_shingles, node, first, second): the set's node and
+    band keys of either collection; NULL without a set."""
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("first", pa.list_(pa.int64())), ("second", pa.list_(pa.int64()))
+        ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("first", pa.list_(pa.int64())), ("second", pa.list_(pa.int64()))
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,8 +124,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: i
             full = [s for s in sets if len(s)]
             keys = iter(band_keys(full, bands, rows, seed).view(np.int64)) if full else iter(())
             rows_out = []
-            for doc_id, s in zip(ids, sets, strict=True):
-                row = {"doc_id": doc_id, "n_shingles": len(s)}
+            for (doc_id, text_hash), s in zip(ids, sets, strict=True):
+                row = {"doc_id": doc_id, "text_hash": text_hash, "n_shingles": len(s)}
                 if len(s):
                     k = next(keys)
                     row |= {"node": node_of(s), "first": k[:bands], "second": k[bands:]}
@@ -133,8 +133,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: i
             return pa.RecordBatch.from_pylist(rows_out, schema=schema)
 
         ids, sets, size = [], [], 0
-        for doc_id, text in cells(batches, "doc_id", "text"):
-            ids.append(doc_id)
+        for doc_id, text, text_hash in cells(batches, "doc_id", "text", "text_hash"):
+            ids.append((doc_id, text_hash))
             sets.append(shingles(text, shingle))
             size += len(sets[-1])
             if size >= 1 << 18 or len(ids) >= 2000:
@@ -143,7 +143,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: i
         if ids:
             yield flush(ids, sets)
 
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    text = text_or_empty(text_col)
+    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     return texts.mapInArrow(run, SKETCH)
 
 
@@ -276,7 +277,8 @@ def near_duplicates(
     rows: int = ROWS,
     seed: int = 11,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept,
+    text_hash (xxhash64 of the text).
 
     component_id is the smallest doc_id that links reach, kept whether it is
     the row's own (so repeated rows are all kept or all not).  A text without
@@ -304,6 +306,6 @@ def near_duplicates(
     roots = classes.join(reached, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = stored(roots.select("node", "root").join(named, "root").select("node", "component_id"), "components")
-    out = found.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    out = found.select("doc_id", "text_hash", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from logcube.llm import bpe, language_id
+from logcube.llm import bpe, html_extract, language_id
 from logcube.llm import fingerprint as fp
 from logcube.llm.common import table
 from logcube.llm.exact_dedup import exact_dedup
@@ -47,7 +47,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4).drop("text_hash")
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +87,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(manifest, folder, digests)
 
 
+def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extract(table(spark, sf_dir, "pages"), html_extract.train())
+    return pages.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = exact_dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -113,6 +118,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_fingerprints": op4_fingerprints,
         "op5_bpe_round_trip": op5_bpe_round_trip,
         "op6_token_files": op6_token_files,
+        "op7_html_main_text": op7_html_main_text,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_source_mix": op9_source_mix,
         "op10_language_id": op10_language_id,
