@@ -32,7 +32,7 @@ SAMPLE_DOCS, SAMPLE_WINDOWS = 6000, 256
 SIZES = (3, 4)
 BUCKETS = 1 << 15
 DIMENSIONS = 16
-EPOCHS, BATCH, RATE = 6, 64, 0.5
+STEPS, BATCH, RATE = 500, 64, 4.0
 #: One in so many sampled documents is held back for the calibration.
 CALIBRATION = 5
 MAX_ERROR = 0.01
@@ -136,22 +136,17 @@ def train(
     rng, n = np.random.default_rng(seed), len(languages)
     table = rng.uniform(-1, 1, (len(SIZES) * BUCKETS, DIMENSIONS)) / DIMENSIONS
     layer, bias = np.zeros((DIMENSIONS, n)), np.zeros(n)
-    steps, step = EPOCHS * -(-len(fit) // BATCH), 0
-    for _ in range(EPOCHS):
-        for start in range(0, len(fit), BATCH):
-            if start == 0:
-                order = rng.permutation(fit)
-            some = order[start : start + BATCH]
-            mean = table[rows[some]].mean(1)
-            error = _softmax(mean @ layer + bias)
-            error[np.arange(len(some)), y[some]] -= 1
-            rate = RATE * (1 - step / steps)
-            back = error @ layer.T / SAMPLE_WINDOWS
-            layer -= rate * mean.T @ error / len(some) * 8
-            bias -= rate * error.mean(0)
-            np.add.at(table, rows[some].ravel(), -rate * 8 * np.repeat(back, SAMPLE_WINDOWS, axis=0))
-            step += 1
-    held = np.flatnonzero(held)
+    for step in range(STEPS):
+        some = fit[rng.integers(0, len(fit), BATCH)]
+        mean = table[rows[some]].mean(1)
+        error = _softmax(mean @ layer + bias)
+        error[np.arange(BATCH), y[some]] -= 1
+        rate = RATE * (1 - step / STEPS)
+        back = error @ layer.T / SAMPLE_WINDOWS
+        layer -= rate * mean.T @ error / BATCH
+        bias -= rate / 8 * error.mean(0)
+        np.add.at(table, rows[some].ravel(), -rate * np.repeat(back, SAMPLE_WINDOWS, axis=0))
+    held = np.flatnonzero(held)  # at least one: the first
     logits = table[rows[held]].mean(1) @ layer + bias
     temperature, threshold = _calibrated(logits, y[held], max_error)
     return Model(languages, (table @ layer).astype(np.float32), bias, temperature, threshold)
@@ -171,7 +166,8 @@ def _calibrated(logits: np.ndarray, y: np.ndarray, max_error: float) -> tuple[fl
     p = _softmax(logits / temperature)
     score, wrong = p.max(1), p.argmax(1) != y
     order = np.argsort(-score)
-    fine = np.flatnonzero(np.cumsum(wrong[order]) <= max_error * (1 + at))
+    ends = np.append(np.diff(score[order]) != 0, True)  # equal scores are kept or rejected together
+    fine = np.flatnonzero(ends & (np.cumsum(wrong[order]) <= max_error * (1 + at)))
     if not len(fine):
         return temperature, 1.0
     return temperature, 0.0 if fine[-1] == at[-1] else float(score[order[fine[-1]]])
