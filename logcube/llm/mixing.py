@@ -49,6 +49,7 @@ def apportion(weights: Column, seats: Column) -> Column:
         return F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
     top = F.array_max(weights)
+    top = F.when(top > 0, top).otherwise(1.0)  # weightless rows: no seats, no division by zero
     # At 2 * top no weight has a seat; at ``low`` the largest one alone has all.
     low = top / (2 * seats + 1)
     start = F.struct(low.alias("low"), (2 * top).alias("high"))
@@ -59,19 +60,21 @@ def apportion(weights: Column, seats: Column) -> Column:
         return F.struct(F.when(fits, s["low"]).otherwise(middle).alias("low"), F.when(fits, middle).otherwise(s["high"]).alias("high"))
 
     quotient = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), start, halve)["high"]
-    first = F.struct(at(quotient).alias("n"))
-    # transform over a one-element array binds the counts once
-    return F.element_at(F.transform(F.array(first), lambda s: _rest(weights, seats, s["n"], total)), 1)
+    return _once(quotient, lambda q: _once(at(q), lambda counts: _with_rest(weights, seats - total(counts), counts)))
 
 
-def _rest(weights: Column, seats: Column, counts: Column, total) -> Column:
-    left = (seats - total(counts)).cast("int")
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, not at every mention of it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _with_rest(weights: Column, left: Column, counts: Column) -> Column:
+    """One more seat for each of the ``left`` highest next quotients."""
     following = F.zip_with(weights, counts, lambda w, n: -w / (2 * n + 1))
     order = F.transform(following, lambda q, i: F.struct(q.alias("q"), i.alias("i")))
-    ranked = F.array_sort(order)
-    last = F.get(ranked, left - 1)
-    given = F.when(left <= 0, F.lit(False))
-    return F.zip_with(counts, order, lambda n, o: n + F.when(given.otherwise(o <= last), 1).otherwise(0))
+    last = F.get(F.array_sort(order), left.cast("int") - 1)  # NULL if none is left
+    both = F.struct(order.alias("order"), last.alias("last"))
+    return _once(both, lambda b: F.zip_with(counts, b["order"], lambda n, o: n + F.when(o <= b["last"], 1).otherwise(0)))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, max_repeats: int = 2) -> DataFrame:
