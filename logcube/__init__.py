@@ -8,7 +8,7 @@ collects rows, or keeps global state.  The typical chain is::
     facts  = operators.events.parse_events(raw, kinds, tz="UTC")     # P1-P7, U1
     rich   = operators.enrich.enrich(facts, catalog, rule)           # J1, P11-P14
     cube   = operators.cube.rollup_counts(rich, keys, sets)          # A1-A8
-    report = operators.growth.with_growth(cube, keys)                # J2, J3, R1
+    report = operators.growth.growth_report(cube, keys, names)       # J2, J3, R1
 
 ``plans.reports`` wires these into the report specs of the three families
 (download / install / open) and ``plans.backfill`` runs any of them over a

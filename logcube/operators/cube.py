@@ -23,6 +23,7 @@ def rollup_counts(
     date_col: str = "date",
     uid: str = "custom_uuid",
     pre_aggregate: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Output: ``date, *keys, id_1, playNum, users, avgPlayNum``.
 
@@ -31,13 +32,17 @@ def rollup_counts(
 
     ``pre_aggregate=True`` first collapses rows to one per (date, keys, id)
     with their count, so the grouping-set expansion runs on that smaller
-    frame; results are identical.
+    frame; results are identical.  ``weight`` names a column with the number
+    of events that a row stands for (rows summed before a join).
     """
     bad = [k for s in sets for k in s if k not in keys]
     if bad:
         raise ValueError(f"grouping set columns {bad} are not among keys {list(keys)}")
     full_sets = [[date_col, *s] for s in sets]
-    if pre_aggregate:
+    if weight is not None:
+        base = df.select(date_col, *keys, uid, F.when(F.col(uid).isNotNull(), F.col(weight)).alias("_n"))
+        play = F.coalesce(F.sum("_n"), F.lit(0))
+    elif pre_aggregate:
         base = df.groupBy(date_col, *keys, uid).agg(F.count(uid).alias("_n"))
         play = F.coalesce(F.sum("_n"), F.lit(0))
     else:

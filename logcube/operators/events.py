@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from logcube.functions.scalar import channel_of, dt_string, local_date, source_flag
 
+# The fields of a log line that an event row keeps.
 LINE_FIELDS = ("custom_uuid", "account", "rectime", "device_name", "vercode", "vername", "site")
 
 

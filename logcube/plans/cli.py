@@ -6,6 +6,9 @@
         --catalog-props /secure/catalog.properties --report-url jdbc:mysql://host/bi \
         --report-props /secure/report.properties
 
+``stream`` ingests log files as they arrive (``--checkpoint``; ``--every`` keeps it
+running, else it stops when everything new is read).
+
 ``backfill`` takes ``--first-run-day`` / ``--last-run-day`` (run days; the
 report day is the day before) and does the whole range in one pass.
 Connection properties (``user=``, ``password=``, ``driver=`` ...) are read
@@ -19,6 +22,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from logcube.operators.enrich import DEFAULT_SALT_BUCKETS
 from logcube.plans import daily
 from logcube.plans.specs import SPECS
 from logcube.sources.raw_logs import NoInputError
@@ -62,10 +66,10 @@ def make_sink(args):
     from logcube.sources.sinks import write_report_files, write_report_jdbc
 
     if args.report_path:
-        return lambda name, df: write_report_files(df, f"{args.report_path.rstrip('/')}/{name}")
+        return lambda name, df, days: write_report_files(df, f"{args.report_path.rstrip('/')}/{name}", days=days)
     if args.report_url:
         props = read_properties(args.report_props)
-        return lambda name, df: write_report_jdbc(df, args.report_url, name, props, mode=args.report_mode)
+        return lambda name, df, days: write_report_jdbc(df, args.report_url, name, props, mode=args.report_mode, days=days)
     raise SystemExit("give --report-path or --report-url")
 
 
@@ -89,11 +93,22 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--report-url")
         s.add_argument("--report-props")
         s.add_argument("--report-path")
-        s.add_argument("--report-mode", default="replace", choices=["replace", "append", "overwrite"])
+        s.add_argument("--report-mode", default="replace", choices=["replace", "append"])
         s.add_argument("--specs", default="download_v2,install_v2,open_v2", help=f"any of {sorted(SPECS)}")
         s.add_argument("--skip-ingest", action="store_true", help="reports only (facts already parsed)")
         s.add_argument("--fact-format", default="orc")
         s.add_argument("--dedupe-catalog", action="store_true", help="one catalog row per package")
+        s.add_argument("--trial", action="store_true", help="write growth to the reports' twins (name_)")
+        s.add_argument("--pre-aggregate", action="store_true", help="sum events per day, app and user before the catalog join")
+        s.add_argument("--salt-buckets", type=int, default=DEFAULT_SALT_BUCKETS, help="ways to spread a join with a large catalog")
+    s = sub.add_parser("stream")
+    s.add_argument("--log-root", required=True)
+    s.add_argument("--fact-root", required=True)
+    s.add_argument("--tz", required=True, help="zone whose calendar day is the event day")
+    s.add_argument("--checkpoint", required=True)
+    s.add_argument("--every", help='e.g. "10 minutes"; default: read what is new and stop')
+    s.add_argument("--max-files", type=int, help="log files of a micro-batch at most")
+    s.add_argument("--fact-format", default="orc")
     return p
 
 
@@ -106,6 +121,9 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName(f"logcube-{args.command}").getOrCreate()
     if not spark.sparkContext.master.startswith("local"):
         apply_defaults(spark)
+    if args.command == "stream":
+        _stream(args, spark)
+        return
     catalog = read_catalog_jdbc(spark, args.catalog_url, args.catalog_query, read_properties(args.catalog_props))
     specs = [SPECS[s] for s in args.specs.split(",") if s]
     first, last = (args.run_day, args.run_day) if args.command == "daily" else (args.first_run_day, args.last_run_day)
@@ -116,6 +134,22 @@ def main(argv=None) -> None:
         raise SystemExit(e.exit_code) from e
 
 
+def _stream(args, spark) -> None:
+    from logcube.streaming.ingest import start_ingest
+
+    start_ingest(
+        spark,
+        args.log_root,
+        args.fact_root,
+        args.checkpoint,
+        args.tz,
+        available_now=args.every is None,
+        processing_time=args.every,
+        fmt=args.fact_format,
+        max_files_per_trigger=args.max_files,
+    ).awaitTermination()
+
+
 def _run(args, spark, catalog, specs, first, last) -> None:
     daily.run_range(
         spark,
@@ -131,6 +165,9 @@ def _run(args, spark, catalog, specs, first, last) -> None:
         specs=specs,
         fmt=args.fact_format,
         dedupe=args.dedupe_catalog,
+        trial=args.trial,
+        pre_aggregate=args.pre_aggregate,
+        salt_buckets=args.salt_buckets,
     )
 
 

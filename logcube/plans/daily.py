@@ -1,59 +1,63 @@
 """The nightly job of the reference, for one run day or many.
 
-``ingest_day``: raw logs of a report day -> fact table (one scan of the logs
-for every event kind, idempotent per day).  ``report_days``: every report of
-the three families for the report day(s), handed to a sink callback.  A run
-on day r reports day r - 1; ``run_range`` does a backfill as one job per
-stage instead of one job per day.
+``ingest_days``: raw logs of log days -> fact table (one scan of the logs for
+every event kind; the days then hold these logs' rows and no others).
+``report_days``: every report of the three families for the report day(s),
+handed to a sink callback.  A run on day r reports day r - 1; ``run_range`` does
+a backfill as one job per stage instead of one job per day.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from logcube.operators.broadcast import DEFAULT_MAX_ROWS, fits
+from logcube.operators.enrich import DEFAULT_SALT_BUCKETS, enrich
 from logcube.operators.events import parse_events
-from logcube.operators.funnel import LIVE_STAGES
+from logcube.operators.funnel import LIVE_STAGES, stage_rows
 from logcube.plans import reports
 from logcube.plans.backfill import run_days_to_report_days
 from logcube.plans.checkpoints import materialize
 from logcube.plans.specs import DOWNLOAD_V2, INSTALL_V2, OPEN_V2, GrowthSpec
 from logcube.schemas import EVENT_KINDS
-from logcube.sources.facts import read_facts, write_facts, write_facts_by_log_day
-from logcube.sources.raw_logs import DEFAULT_LAYOUT, read_raw_logs
+from logcube.sources.facts import read_facts, write_facts
+from logcube.sources.raw_logs import CORRUPT, DEFAULT_LAYOUT, bad_lines, read_raw_logs, require_input
 
-Sink = Callable[[str, DataFrame], None]
+Sink = Callable[[str, DataFrame, list], None]
 
-# Report names of the reference's targets.
+# Report names of the reference's targets.  The present versions
+# have the live names; "_" behind a name marks the twin of a trial run.
 GROWTH_TARGETS = {
-    "download_v1": "app_download_report",
+    "download_v1": "app_download_report_v1",
     "download_v2": "app_download_report",
-    "install_v1": "app_install_report",
+    "install_v1": "app_install_report_v1",
     "install_v2": "app_install_report",
-    "open_v1": "app_open_report",
+    "open_v1": "app_open_report_v1",
     "open_v2": "app_open_report",
-    "open_hybrid": "app_open_report",
+    "open_hybrid": "app_open_report_hybrid",
 }
+TRIAL = "_"
 
 
-def ingest_day(
-    spark: SparkSession,
-    log_root: str,
-    fact_root: str,
-    day,
-    tz: str,
-    kinds: Sequence[str] = EVENT_KINDS,
-    fmt: str = "orc",
-    layout: str = DEFAULT_LAYOUT,
-) -> None:
+def growth_targets(specs: Sequence[GrowthSpec], trial: bool = False) -> dict[str, str]:
+    """Target of each spec; ValueError if two specs would write one."""
+    targets = {s.name: GROWTH_TARGETS[s.name] + (TRIAL if trial else "") for s in specs}
+    twice = [t for t, n in Counter(GROWTH_TARGETS[s.name] for s in specs).items() if n > 1]
+    if twice:
+        raise ValueError(f"several specs write {twice}; give each spec once")
+    return targets
+
+
+def ingest_day(spark: SparkSession, log_root: str, fact_root: str, day, tz: str, **kw) -> dict[str, int]:
     """Parse one log directory day into the fact table."""
-    raw = read_raw_logs(spark, log_root, [day], layout=layout)
-    facts = parse_events(raw, kinds, tz)
-    write_facts(facts, fact_root, ingest_id=day, fmt=fmt)
+    return ingest_days(spark, log_root, fact_root, [day], tz, **kw)
 
 
 def ingest_days(
@@ -65,13 +69,55 @@ def ingest_days(
     kinds: Sequence[str] = EVENT_KINDS,
     fmt: str = "orc",
     layout: str = DEFAULT_LAYOUT,
-) -> None:
-    """S1, S2, P1-P7, K1 for a range of log days in one job (backfills)."""
+) -> dict[str, int]:
+    """S1, S2, P1-P7, K1 for a range of log days in one job.
+
+    The days hold the rows of their present logs afterwards, and of no earlier
+    ingest.  Returns the number of lines, of ``corrupt`` and of ``undated`` ones
+    (counted while writing); if there are such, they are stored under
+    ``<fact_root>/bad_lines/run=<run>`` (log_date, log_file, reason, line)."""
     days = list(days)
     if not days:
-        return
-    raw = read_raw_logs(spark, log_root, days, layout=layout)
-    write_facts_by_log_day(parse_events(raw, kinds, tz), fact_root, fmt=fmt)
+        return {"lines": 0, "corrupt": 0, "undated": 0}
+    files = require_input(spark, log_root, days, layout)
+    raw = read_raw_logs(spark, log_root, days, layout=layout, check_input=False)
+    seen = Observation()
+    run = write_facts(parse_events(raw.observe(seen, *_line_counts()), kinds, tz), fact_root, files, fmt=fmt)
+    counts = _observed(seen) or _counted(raw)
+    if counts["corrupt"] or counts["undated"]:
+        bad_lines(raw).write.parquet(f"{fact_root.rstrip('/')}/bad_lines/run={run}")
+    return counts
+
+
+def _line_counts() -> list[Column]:
+    undated = F.col(CORRUPT).isNull() & F.col("rectime").isNull()
+    return [F.count("*").alias("lines"), F.count(CORRUPT).alias("corrupt"), F.count_if(undated).alias("undated")]
+
+
+def _observed(seen: Observation) -> dict[str, int] | None:
+    """What was observed, or None: without any event, Spark cuts the whole
+    plan of the write short, and the observation with it."""
+    try:
+        return {k: int(v or 0) for k, v in seen.get.items()} or None
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e.java_exception):
+            raise
+        return None
+
+
+def _counted(raw: DataFrame) -> dict[str, int]:
+    # All fields are selected first, as Spark tells corrupt lines only then.
+    return {k: int(v or 0) for k, v in raw.select("data", "rectime", CORRUPT).agg(*_line_counts()).first().asDict().items()}
+
+
+def stage_facts(spark: SparkSession, fact_root: str, days: Iterable, event_days: Iterable | None = None, fmt: str = "orc") -> DataFrame:
+    """Rows of the live funnel stages as the reference counts them: clicks on
+    the day of their log folder in ``days`` (every click of that folder, however
+    old), the others on their own day in ``event_days`` (default: ``days``)."""
+    days = list(days)
+    own = read_facts(spark, fact_root, days=event_days or days, kinds=["download_fin", "install_fin"], fmt=fmt)
+    clicks = read_facts(spark, fact_root, kinds=["download_onclick"], log_days=days, fmt=fmt)
+    return own.unionByName(clicks.withColumn("date", F.col("log_date")).withColumn("dt", F.col("log_day")))
 
 
 def report_days(
@@ -83,45 +129,45 @@ def report_days(
     specs: Sequence[GrowthSpec] = (DOWNLOAD_V2, INSTALL_V2, OPEN_V2),
     fmt: str = "orc",
     dedupe: bool = False,
+    trial: bool = False,
+    pre_aggregate: bool = False,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> None:
-    """R1, R3, R4, R5 for ``days``; each report goes to ``sink(name, df)``.
-    ``dedupe`` keeps one catalog row per package (H7; default: duplicates
-    multiply counts, as in the reference).
+    """R1, R3, R4, R5 for ``days``; each report goes to ``sink(name, df, days)``,
+    which replaces those days.  ``dedupe`` keeps one catalog row per package
+    (H7; default: duplicates multiply counts, as in the reference); ``trial``
+    writes growth to the reports' twins; ``pre_aggregate`` sums events per
+    (day, app, user) before the catalog join; ``salt_buckets`` spreads a catalog
+    too large to broadcast.
 
     The catalog is materialized once (one database read, one consistent
-    snapshot for every report).
+    snapshot), and so are the download, install and click rows joined to it:
+    growth, device rollup, macro and micro funnel read that one frame.
     """
     days = sorted({reports.as_date(d) for d in days})
+    targets = growth_targets(specs, trial)
     lookback = sorted({d - _dt.timedelta(n) for d in days for n in (0, 1, 7)})
     facts = read_facts(spark, fact_root, days=lookback, fmt=fmt)
+    staged = stage_facts(spark, fact_root, days, lookback, fmt)
     cat = materialize(catalog.select("fsk_pid", "fsk_title", "fsk_cid", "fsk_catalog"))
     small = fits(cat, DEFAULT_MAX_ROWS)  # measured once for every report below
-    for spec in specs:
-        sink(GROWTH_TARGETS[spec.name], reports.growth(facts, cat, spec, days=days, broadcast=small, dedupe=dedupe))
-    sink("device_app_download_report", reports.devices(facts, days=days))
-    sink("device_app_download_report_", reports.devices_rollup(facts, cat, days=days, broadcast=small, dedupe=dedupe))
-    stages = _funnel_rows(spark, fact_root, facts, days, fmt)
-    sink("funnel_app_install_report", reports.funnel(stages, days=days))
-    rich = reports.funnel_enriched(stages, cat, LIVE_STAGES, days=days, broadcast=small, dedupe=dedupe)
-    macro, micro = reports.funnel_macro_micro(rich)
-    sink("funnel_app_install_report_macro", macro)
-    sink("funnel_app_install_report_micro", micro)
-
-
-def _funnel_rows(spark: SparkSession, fact_root: str, facts: DataFrame, days, fmt: str) -> DataFrame:
-    """Stage rows as the reference counts them: clicks on the day of their
-    log folder (every click ingested from that folder, however old its event
-    time), the other stages on their event day.  Day-keyed ingests store the
-    folder day as ``ingest_id`` (a partition column, so other days are pruned);
-    streaming micro-batches (``ingest_id=b...``) are kept by the partition
-    filter and narrowed by ``log_date``."""
-    folder_days = [d.isoformat() for d in days]
-    in_scope = F.col("ingest_id").isin(folder_days) | F.col("ingest_id").startswith("b")
-    clicks = read_facts(spark, fact_root, kinds=["download_onclick"], fmt=fmt).where(
-        in_scope & F.col("log_date").isin(list(days))
-    )
-    clicks = clicks.withColumn("date", F.col("log_date")).withColumn("dt", F.col("log_date").cast("string"))
-    return facts.where(F.col("kind") != "download_onclick").unionByName(clicks)
+    how = {"broadcast": small, "dedupe": dedupe, "salt_buckets": salt_buckets}
+    rich = enrich(staged, cat, "catalog", "fsk_catalog", **how).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for spec in specs:
+            shared = (spec.title_rule, spec.category) == ("catalog", "fsk_catalog") and not pre_aggregate
+            more = {"enriched": rich} if shared else {"pre_aggregate": pre_aggregate, **how}
+            sink(targets[spec.name], reports.growth(facts, cat, spec, days=days, **more), days)
+        sink("device_app_download_report", reports.devices(facts, days=days), days)
+        sink("device_app_download_report_", reports.devices_rollup(facts, cat, days=days, enriched=rich), days)
+        stages = stage_rows(reports.restrict_days(rich, days), LIVE_STAGES)
+        sink("funnel_app_install_report", reports.funnel(staged, days=days), days)
+        macro, micro = reports.funnel_macro_micro(stages)
+        sink("funnel_app_install_report_macro", macro, days)
+        sink("funnel_app_install_report_micro", micro, days)
+    finally:
+        rich.unpersist()
+        cat.unpersist()
 
 
 def run_range(

@@ -21,7 +21,7 @@ from logcube.functions.scalar import date_key
 from logcube.operators.broadcast import DEFAULT_MAX_ROWS
 from logcube.operators.cube import rollup_counts
 from logcube.operators.device import device_counts, device_rollup
-from logcube.operators.enrich import enrich
+from logcube.operators.enrich import DEFAULT_SALT_BUCKETS, enrich
 from logcube.operators.funnel import LIVE_STAGES, funnel_counts, funnel_macro, funnel_micro, stage_rows
 from logcube.operators.growth import LAGS, growth_report
 from logcube.plans.specs import GrowthSpec
@@ -78,11 +78,18 @@ def enriched_for(
     broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
     dedupe: bool = False,
     broadcast: bool | None = None,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    pre_aggregate: bool = False,
 ) -> DataFrame:
+    """The spec's rows joined to the catalog.  ``pre_aggregate`` sums them per
+    (day, app, title, source, site, user) before the join: one row with its
+    number of events, ``events``."""
     rows = facts.where(F.col("kind").isin(list(spec.kinds)))
+    if pre_aggregate:
+        rows = rows.groupBy("date", "package_id", "title", "source", "site", "custom_uuid").agg(F.count("*").alias("events"))
     return enrich(
         rows, catalog, spec.title_rule, spec.category, dedupe=dedupe,
-        broadcast_max_rows=broadcast_max_rows, broadcast=broadcast,
+        broadcast_max_rows=broadcast_max_rows, broadcast=broadcast, salt_buckets=salt_buckets,
     )
 
 
@@ -94,15 +101,13 @@ def cube(
     start=None,
     end=None,
     pre_aggregate: bool = False,
-    broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
-    dedupe: bool = False,
-    broadcast: bool | None = None,
+    **how,
 ) -> DataFrame:
     """A1-A8 for a spec: ``date`` (int), keys, ``id_1``, ``playNum``,
-    ``users``, ``avgPlayNum``."""
+    ``users``, ``avgPlayNum``.  ``how`` is that of ``enriched_for``."""
     scoped = restrict_days(facts, days, start, end)
-    rich = enriched_for(scoped, catalog, spec, broadcast_max_rows, dedupe, broadcast)
-    out = rollup_counts(rich, spec.keys, spec.grouping_sets, pre_aggregate=pre_aggregate)
+    rich = enriched_for(scoped, catalog, spec, pre_aggregate=pre_aggregate, **how)
+    out = rollup_counts(rich, spec.keys, spec.grouping_sets, weight="events" if pre_aggregate else None)
     return out.select(date_key(F.col("date")).alias("date"), *spec.keys, "id_1", "playNum", "users", "avgPlayNum")
 
 
@@ -115,14 +120,19 @@ def growth(
     end=None,
     fmt: str = "percent",
     pre_aggregate: bool = False,
-    broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
-    dedupe: bool = False,
-    broadcast: bool | None = None,
+    enriched: DataFrame | None = None,
+    **how,
 ) -> DataFrame:
-    """R1 (``fmt="percent"``) / R2 (``fmt="ratio"``) for a spec."""
-    scoped = restrict_days(facts, days, start, end, lookback=LAGS)
-    rich = enriched_for(scoped, catalog, spec, broadcast_max_rows, dedupe, broadcast)
-    cubed = rollup_counts(rich, spec.keys, spec.grouping_sets, pre_aggregate=pre_aggregate)
+    """R1 (``fmt="percent"``) / R2 (``fmt="ratio"``) for a spec.  ``enriched``
+    holds rows that are joined by the spec's rules already, of any kinds and
+    days; ``how`` is that of ``enriched_for``."""
+    if enriched is None:
+        scoped = restrict_days(facts, days, start, end, lookback=LAGS)
+        rich = enriched_for(scoped, catalog, spec, pre_aggregate=pre_aggregate, **how)
+    else:
+        rich = restrict_days(enriched, days, start, end, lookback=LAGS).where(F.col("kind").isin(list(spec.kinds)))
+    weight = "events" if pre_aggregate and enriched is None else None
+    cubed = rollup_counts(rich, spec.keys, spec.grouping_sets, weight=weight)
     report = growth_report(cubed, spec.keys, spec.key_names, fmt=fmt)
     return _keep_report_days(report, days, start, end)
 
@@ -143,8 +153,12 @@ def devices_rollup(
     broadcast_max_rows: int | None = DEFAULT_MAX_ROWS,
     broadcast: bool | None = None,
     dedupe: bool = False,
+    enriched: DataFrame | None = None,
 ) -> DataFrame:
-    """R3 rolled up: on the v2-enriched download rows."""
+    """R3 rolled up: on the v2-enriched download rows (``enriched``, if they
+    are joined already)."""
+    if enriched is not None:
+        return device_rollup(restrict_days(enriched, days, start, end).where(F.col("kind") == "download_fin"), category)
     rows = restrict_days(facts, days, start, end).where(F.col("kind") == "download_fin")
     rich = enrich(
         rows, catalog, "catalog", category, dedupe=dedupe, broadcast_max_rows=broadcast_max_rows, broadcast=broadcast
@@ -180,16 +194,3 @@ def funnel_macro_micro(enriched: DataFrame, category: str = "fsk_catalog") -> tu
     """The macro and micro funnel from one enriched stage frame.  Both
     read ``enriched``; persist or checkpoint it when writing both."""
     return funnel_macro(enriched, category), funnel_micro(enriched)
-
-
-def report_day_scan(facts: DataFrame, kinds: Sequence[str], lags: Sequence[int] = (0, 1, 7), last_day=None) -> DataFrame:
-    """S4/U2/P15 for every report day at once: the rows a day's report reads
-    (its own day and the days ``lags`` back), tagged ``report_day`` and
-    ``lag``.  Report days run from the first day of the facts to
-    ``last_day`` (default: the last day present, as a scalar subquery, so
-    no join and no extra shuffle)."""
-    rows = facts.where(F.col("kind").isin(list(kinds)))
-    last = rows.agg(F.max("date")).scalar() if last_day is None else F.lit(as_date(last_day))
-    tagged = rows.select("*", F.explode(F.array(*[F.lit(n) for n in lags])).alias("lag"))
-    tagged = tagged.withColumn("report_day", F.date_add(F.col("date"), F.col("lag")))
-    return tagged.where(F.col("report_day") <= last)

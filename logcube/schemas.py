@@ -49,18 +49,3 @@ CATALOG = T.StructType(
         T.StructField("fsk_catalog", T.StringType()),
     ]
 )
-
-# Columns of a parsed fact row (before the `dt` partition column).
-FACT_COLUMNS = (
-    "custom_uuid",
-    "account",
-    "date",
-    "device_name",
-    "vercode",
-    "vername",
-    "site",
-    "package_id",
-    "title",
-    "kind",
-    "source",
-)

@@ -19,15 +19,33 @@ def read_catalog_jdbc(
     url: str,
     query: str,
     options: Mapping[str, str] | None = None,
+    partition: tuple[str, int, int, int] | None = None,
 ) -> DataFrame:
     """S3: run ``query`` in the database (e.g. the UNION ALL of both lists)
-    and return its rows.  One partition: the catalog is a small dimension."""
-    reader = spark.read.format("jdbc").option("url", url).option("query", query)
+    and return its rows.  One partition by default, as the catalog is a small
+    dimension; ``partition`` (numeric column, lower and upper bound, number)
+    reads a large one by as many tasks."""
+    reader = spark.read.format("jdbc").option("url", url).options(**jdbc_source(query, partition))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader.load()
 
 
+def jdbc_source(query: str, partition: tuple[str, int, int, int] | None = None) -> dict[str, str]:
+    """Reader options of a sub-query; a partitioned read takes it as a table,
+    as Spark does not combine ``query`` with ``partitionColumn``."""
+    if partition is None:
+        return {"query": query}
+    column, lower, upper, number = partition
+    return {
+        "dbtable": f"({query}) catalog",
+        "partitionColumn": column,
+        "lowerBound": str(lower),
+        "upperBound": str(upper),
+        "numPartitions": str(number),
+    }
+
+
 def union_lists(lists: Sequence[DataFrame], columns: Sequence[str] = CATALOG_COLUMNS) -> DataFrame:
     """U4 on the Spark side: UNION ALL by name, duplicates kept."""
     if not lists:

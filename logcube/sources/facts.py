@@ -1,23 +1,36 @@
 """The fact table of parsed events.
 
-Layout: ``<path>/ingest_id=<run>/kind=<event kind>/dt=<event day>/``.  Each
-ingest run (a report day, or a streaming micro-batch) owns its
-``ingest_id=`` directory and rewrites it whole, so rerunning a day replaces
-exactly that run's rows instead of appending a second copy (the reference
-appended), and late rows (event day before the run day) stay visible under
-their event day's ``dt``.  Readers filter ``kind`` and ``dt``; both are
-partition columns, so Spark prunes directories and reads no other day.
+Layout::
+
+    <root>/run=<run>/log_day=<day>/kind=<event kind>/dt=<event day>/   rows
+    <root>/_days/<day>.json                                            what counts
+
+A log day belongs to the runs that its ``_days`` file names, each with the log
+files that it parsed and the (kind, dt) folders that it wrote.  Ingesting a day
+again writes a new run and then replaces the file in one step, so the day holds
+the rows of its present logs and nothing of an earlier run, also when there are
+fewer of them or none.  Streaming batches add a run with the files that no run
+of the day has parsed, so neither a replayed batch, a renewed checkpoint nor a
+stream beside the nightly ingest counts a file twice.  A log day has one writer
+at a time.
+
+Readers take the folders of the days and kinds asked for from the ``_days``
+files; no other folder is listed.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable
+import json
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logcube.sources import store
+
 FACT_SCHEMA = T.StructType(
     [
         T.StructField("custom_uuid", T.StringType()),
@@ -31,62 +44,69 @@ FACT_SCHEMA = T.StructType(
         T.StructField("package_id", T.StringType()),
         T.StructField("title", T.StringType()),
         T.StructField("source", T.IntegerType()),
-        T.StructField("ingest_id", T.StringType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("log_day", T.StringType()),
         T.StructField("kind", T.StringType()),
         T.StructField("dt", T.StringType()),
     ]
 )
-PARTITIONS = ("kind", "dt")
-DATA_COLUMNS = tuple(f.name for f in FACT_SCHEMA.fields if f.name not in ("ingest_id", *PARTITIONS))
+PARTITIONS = ("log_day", "kind", "dt")
+DATA_COLUMNS = tuple(f.name for f in FACT_SCHEMA.fields if f.name not in ("run", *PARTITIONS))
+#: One line of a ``_days`` file.
+DAY_SCHEMA = "log_day string, runs array<struct<run:string,files:array<string>,parts:array<struct<kind:string,dt:string>>>>"
+#: Spark's folder name of a NULL partition value (an event without a day).
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _day(d) -> str:
     return d.isoformat() if isinstance(d, _dt.date) else str(d)
 
 
-def write_facts(facts: DataFrame, path: str, ingest_id, fmt: str = "orc", rebalance: bool = True) -> None:
-    """K1: replace the rows of one ingest run, partitioned by kind and day.
+def _days_file(path: str, day: str) -> str:
+    return f"{path.rstrip('/')}/_days/{day}.json"
+
+
+def day_runs(spark: SparkSession, path: str, days: Sequence[str]) -> dict[str, list[dict]]:
+    """The runs of each given log day that has some."""
+    found = [f for f in (_days_file(path, d) for d in days) if store.exists(spark, f)]
+    if not found:
+        return {}
+    rows = spark.read.schema(DAY_SCHEMA).json(found).collect()  # one row per day asked for
+    return {r.log_day: [run.asDict(recursive=True) for run in r.runs] for r in rows}
 
-    ``rebalance`` (default) adds a REBALANCE on the partition columns: with
-    AQE it coalesces small shuffle partitions and splits skewed ones, so a
-    (kind, day) directory gets a few large files instead of one small file
-    per input gzip file, and a hot (kind, day) is still written by many tasks.
+
+def write_facts(
+    facts: DataFrame,
+    path: str,
+    files: Mapping[str, Sequence[str]],
+    replace: bool = True,
+    fmt: str = "orc",
+    rebalance: bool = True,
+) -> str:
+    """K1: write the rows of one ingest run and put it in force; returns the run.
+
+    ``files`` has the parsed log files of every log day that the run covers;
+    ``replace`` makes the run the days' only one, else it is added to them.
+    ``rebalance`` adds a REBALANCE on the partition columns: with AQE it
+    coalesces small shuffle partitions and splits skewed ones, so a folder gets
+    a few large files, and a hot (kind, day) is still written by many tasks.
     """
-    out = f"{path.rstrip('/')}/ingest_id={_day(ingest_id)}"
-    cols = [
-        F.col(c) if c in facts.columns else F.lit(None).cast(FACT_SCHEMA[c].dataType).alias(c)
-        for c in DATA_COLUMNS
-    ]
-    rows = facts.select(*cols, *PARTITIONS)
+    spark, root = facts.sparkSession, path.rstrip("/")
+    run = uuid.uuid4().hex
+    cols = [F.col(c) if c in facts.columns else F.lit(None).cast(FACT_SCHEMA[c].dataType).alias(c) for c in DATA_COLUMNS]
+    rows = facts.select(*cols, F.col("log_date").cast("string").alias("log_day"), "kind", "dt")
     if rebalance:
         rows = rows.hint("rebalance", *PARTITIONS)
-    (
-        rows.write.mode("overwrite")
-        .partitionBy(*PARTITIONS)
-        .format(fmt)
-        .save(out)
-    )
-
-
-def write_facts_by_log_day(facts: DataFrame, path: str, fmt: str = "orc", rebalance: bool = True) -> None:
-    """K1 for many ingest days in one job: ``ingest_id`` is each row's log
-    day, and only the (ingest_id, kind, dt) partitions present in ``facts``
-    are replaced (dynamic partition overwrite), so rerunning a range replaces
-    that range's rows and leaves every other ingest run alone."""
-    cols = [
-        F.col(c) if c in facts.columns else F.lit(None).cast(FACT_SCHEMA[c].dataType).alias(c)
-        for c in DATA_COLUMNS
-    ]
-    rows = facts.select(*cols, F.col("log_date").cast("string").alias("ingest_id"), *PARTITIONS)
-    if rebalance:
-        rows = rows.hint("rebalance", "ingest_id", *PARTITIONS)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_id", *PARTITIONS)
-        .format(fmt)
-        .save(path)
-    )
+    rows.write.partitionBy(*PARTITIONS).format(fmt).save(f"{root}/run={run}")
+    written = spark.read.schema(FACT_SCHEMA).format(fmt).option("basePath", root).load(f"{root}/run={run}")
+    parts: dict[str, list[dict]] = {}
+    for r in written.select(*PARTITIONS).distinct().collect():  # one row per folder of the run
+        parts.setdefault(r.log_day, []).append({"kind": r.kind, "dt": r.dt})
+    before = {} if replace else day_runs(spark, root, list(files))
+    for day, parsed in files.items():
+        own = {"run": run, "files": sorted(parsed), "parts": sorted(parts.get(day, []), key=str)}
+        store.put_text(spark, _days_file(root, day), json.dumps({"log_day": day, "runs": [*before.get(day, []), own]}))
+    return run
 
 
 def read_facts(
@@ -96,20 +116,78 @@ def read_facts(
     start=None,
     end=None,
     kinds: Iterable[str] | None = None,
+    log_days: Iterable | None = None,
     fmt: str = "orc",
 ) -> DataFrame:
-    """Fact rows with ``dt`` in ``days`` or in ``[start, end]``.
+    """Fact rows with ``dt`` in ``days`` or in ``[start, end]``, of ``kinds``,
+    and ingested from the folders of ``log_days``; each is optional.
 
-    The explicit schema avoids partition type inference and footer reads;
-    the ``kind``/``dt`` predicates become partition filters.
-    """
-    df = spark.read.schema(FACT_SCHEMA).format(fmt).option("basePath", path).load(path)
+    Only folders that can hold such rows are listed and read; the predicates
+    stay on the partition columns."""
+    root = path.rstrip("/")
+    empty = spark.createDataFrame([], FACT_SCHEMA)
+    if not store.exists(spark, f"{root}/_days"):
+        return empty
+    if log_days is not None:
+        wanted = [_days_file(root, _day(d)) for d in log_days]
+        wanted = [f for f in wanted if store.exists(spark, f)]
+        if not wanted:
+            return empty
+    else:
+        wanted = [f"{root}/_days"]
+    entries = spark.read.schema(DAY_SCHEMA).option("pathGlobFilter", "[0-9]*.json").json(wanted)
+    parts = entries.select("log_day", F.explode("runs").alias("r")).select("log_day", "r.run", F.explode("r.parts").alias("p"))
+    parts = parts.select("run", "log_day", "p.kind", "p.dt")
+    asked = F.lit(True)
     if kinds is not None:
-        df = df.where(F.col("kind").isin(list(kinds)))
+        asked &= F.col("kind").isin(list(kinds))
     if days is not None:
-        df = df.where(F.col("dt").isin([_day(d) for d in days]))
+        asked &= F.col("dt").isin([_day(d) for d in days])
     if start is not None:
-        df = df.where(F.col("dt") >= _day(start))
+        asked &= F.col("dt") >= _day(start)
     if end is not None:
-        df = df.where(F.col("dt") <= _day(end))
-    return df
+        asked &= F.col("dt") <= _day(end)
+    folders = [
+        f"{root}/run={r.run}/log_day={r.log_day}/kind={r.kind}/dt={NO_DAY if r.dt is None else r.dt}"
+        for r in parts.where(asked).collect()  # one row per folder to read
+    ]
+    if not folders:
+        return empty
+    return spark.read.schema(FACT_SCHEMA).format(fmt).option("basePath", root).load(folders).where(asked)
+
+
+def publish_table(spark: SparkSession, path: str, table: str, fmt: str = "orc") -> None:
+    """The fact table under a name in the session's catalog, with exactly the
+    folders in force as its partitions, so that SQL users need no path.  Call
+    it after an ingest."""
+    root = path.rstrip("/")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FACT_SCHEMA.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({fields}) USING {fmt} PARTITIONED BY (run, log_day, kind, dt) LOCATION '{root}'")
+    entries = spark.read.schema(DAY_SCHEMA).option("pathGlobFilter", "[0-9]*.json").json(f"{root}/_days")
+    parts = entries.select("log_day", F.explode("runs").alias("r")).select("log_day", "r.run", F.explode("r.parts").alias("p"))
+    parts = parts.select("run", "log_day", "p.kind", F.coalesce("p.dt", F.lit(NO_DAY)).alias("dt"))
+    now = {(r.run, r.log_day, r.kind, r.dt) for r in parts.collect()}  # one row per folder in force
+    known = {tuple(x.split("=", 1)[1] for x in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+    def spec(part: tuple[str, ...]) -> str:
+        return "PARTITION (" + ", ".join(f"{c}='{v}'" for c, v in zip(("run", *PARTITIONS), part, strict=True)) + ")"
+
+    for kind, chosen in (("DROP IF EXISTS", sorted(known - now)), ("ADD IF NOT EXISTS", sorted(now - known))):
+        for i in range(0, len(chosen), 500):
+            separator = ", " if kind.startswith("DROP") else " "
+            spark.sql(f"ALTER TABLE {table} {kind} {separator.join(map(spec, chosen[i : i + 500]))}")
+
+
+def unreferenced_runs(spark: SparkSession, path: str) -> list[str]:
+    """Run folders that no log day names any more (replaced, or of a failed
+    ingest): safe to remove while no ingest and no older reader is running."""
+    root = path.rstrip("/")
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(f"{root}/run=*")
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    present = {s.getPath().getName() for s in (fs.globStatus(where) or [])}
+    used = set()
+    if store.exists(spark, f"{root}/_days"):
+        entries = spark.read.schema(DAY_SCHEMA).option("pathGlobFilter", "[0-9]*.json").json(f"{root}/_days")
+        used = {f"run={r[0]}" for r in entries.select(F.explode("runs.run")).distinct().collect()}
+    return sorted(f"{root}/{name}" for name in present - used)

@@ -3,7 +3,10 @@
 Layout: ``<root>/<yyyy-MM-dd>/<sub>/<file>.gz``.  The schema is explicit
 (``schemas.RAW_LOG``), malformed lines are kept as NULL fields with the text
 in ``_corrupt_record`` (PERMISSIVE), and each row carries ``log_date``, the
-date of its directory.  Gzip files are not splittable: one task per file.
+date of its directory, and ``log_file``.  ``rectime`` is read as text, so that a
+quoted or fractional number counts like a plain one.  Gzip files are not
+splittable: one task per file up to the explode, which the fact write's
+REBALANCE then spreads.
 """
 
 from __future__ import annotations
@@ -17,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logcube.schemas import RAW_LOG
-from logcube.sources.spread import spread
 
 CORRUPT = "_corrupt_record"
 
@@ -43,30 +45,34 @@ def _missing(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in cond or "PATH_NOT_FOUND" in str(e)
 
 
-def files_per_day(spark: SparkSession, root: str, days: list[str], layout: str = "{day}/*/*.gz") -> dict[str, int]:
+def files_per_day(spark: SparkSession, root: str, days: list[str], layout: str = "{day}/*/*.gz") -> dict[str, list[str]]:
     """Log files per requested day, from ONE listing job over a brace glob of
     all days (``root/{d1,d2,...}/...``); days without files are absent."""
     if not days:
         return {}
     pattern = layout.format(day="{" + ",".join(days) + "}")
     try:
-        listed = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{pattern}").select("path")
+        listed = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{pattern}").select(F.col("_metadata.file_path").alias("path"))
     except AnalysisException as e:
         if _missing(e):
             return {}
         raise
-    per_day = listed.groupBy(log_date_of_path(F.col("path")).cast("string").alias("d")).count()
-    return {r["d"]: r["count"] for r in per_day.collect()}  # at most one row per requested day
+    found: dict[str, list[str]] = {}
+    for r in listed.select(log_date_of_path(F.col("path")).cast("string").alias("d"), "path").collect():  # file names
+        found.setdefault(r["d"], []).append(r["path"])
+    return found
 
 
-def require_input(spark: SparkSession, root: str, days: Iterable, layout: str = "{day}/*/*.gz") -> None:
-    """Raise ``NoInputError`` for the first day without any ``.gz`` file."""
+def require_input(spark: SparkSession, root: str, days: Iterable, layout: str = "{day}/*/*.gz") -> dict[str, list[str]]:
+    """The log files of each day; ``NoInputError`` for the first day
+    without any."""
     days = [_as_str(d) for d in days]
     found = files_per_day(spark, root, days, layout)
     for day in days:
         if not found.get(day):
             folder = layout.format(day=day).split("/")[0]
             raise NoInputError(day, f"{root.rstrip('/')}/{folder}")
+    return found
 
 
 DEFAULT_LAYOUT = "{day}/*/*.gz"
@@ -88,16 +94,35 @@ def read_raw_logs(
     days = [_as_str(d) for d in days]
     if check_input:
         require_input(spark, root, days, layout)
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     paths = [f"{root.rstrip('/')}/{layout.format(day=d)}" for d in days]
-    df = (
-        spark.read.schema(full)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(paths)
-    )
-    # One task per gzip file: spread only when there are fewer files than cores.
-    return spread(df.withColumn("log_date", log_date_of_path(F.col("_metadata.file_path"))))
+    return with_log_columns(line_reader(spark.read, schema).json(paths))
+
+
+def line_reader(reader, schema: T.StructType):
+    """``spark.read`` or ``spark.readStream`` set up for log lines."""
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "rectime" else f for f in schema.fields]
+    full = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    return reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+
+
+def with_log_columns(lines: DataFrame) -> DataFrame:
+    """Lines with ``rectime`` as epoch milliseconds (NULL if it is no number),
+    its text as ``rectime_text``, and ``log_date`` and ``log_file`` of their file."""
+    return lines.withColumns({
+        "rectime_text": F.col("rectime"),
+        "rectime": F.expr("try_cast(try_cast(trim(rectime) AS DECIMAL(38, 6)) AS BIGINT)"),
+        "log_date": log_date_of_path(F.col("_metadata.file_path")),
+        "log_file": F.col("_metadata.file_path"),
+    })
+
+
+def bad_lines(lines: DataFrame) -> DataFrame:
+    """The lines that no dated report reads: log_date, log_file, reason and the
+    text.  ``corrupt``: no JSON of the schema; ``undated``: no number as rectime."""
+    reason = F.when(F.col(CORRUPT).isNotNull(), "corrupt").when(F.col("rectime").isNull(), "undated")
+    # All fields are read, as Spark tells corrupt lines only then.
+    text = F.coalesce(F.col(CORRUPT), F.to_json(F.struct("custom_uuid", F.col("rectime_text").alias("rectime"), "site", "data")))
+    return lines.select("log_date", "log_file", reason.alias("reason"), text.alias("line")).where("reason is not null")
 
 
 def log_date_of_path(path):

@@ -1,22 +1,34 @@
 """K2 and report files: idempotent report writes.
 
-``replace`` (the default) makes a rerun of a report day replace that day's
-rows.  Over JDBC the executors write a staging table, then the driver swaps
-the days in one database transaction (DELETE the staged days, INSERT the
-staged rows); a failed job leaves the target untouched.  Keep
-``spark.speculation`` off for JDBC writes: a speculative task commits its
-rows too.
+``replace`` (the default) makes a rerun replace the rows of its report days,
+also where a day has no rows any more.  Over JDBC the executors write a staging
+table of their own, then the driver swaps the days in one database transaction
+(DELETE the days, INSERT the staged rows); a failed job leaves the target
+untouched.  Keep ``spark.speculation`` off for JDBC writes: a speculative task
+commits its rows too.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as _dt
+import uuid
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 
+from logcube.sources import store
 
-def write_report_files(df: DataFrame, path: str, date_col: str = "date", fmt: str = "parquet") -> None:
-    """Write a report partitioned by day, replacing only the days present."""
+
+def day_keys(days: Iterable | None) -> list[int] | None:
+    """Report days as the ``date`` key of the reports (yyyymmdd)."""
+    if days is None:
+        return None
+    return sorted(int((d.isoformat() if isinstance(d, _dt.date) else str(d)).replace("-", "")) for d in days)
+
+
+def write_report_files(df: DataFrame, path: str, date_col: str = "date", fmt: str = "parquet", days: Iterable | None = None) -> None:
+    """Write a report partitioned by day, replacing the days present and, of
+    ``days``, those that have no rows now."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -24,6 +36,12 @@ def write_report_files(df: DataFrame, path: str, date_col: str = "date", fmt: st
         .format(fmt)
         .save(path)
     )
+    keys = day_keys(days) or []
+    if keys:
+        present = {int(r[0]) for r in df.select(date_col).distinct().collect()}  # report days
+        for key in keys:
+            if key not in present:
+                store.delete(df.sparkSession, f"{path.rstrip('/')}/{date_col}={key}")
 
 
 def _jdbc_writer(df: DataFrame, url: str, table: str, options: Mapping[str, str] | None):
@@ -39,7 +57,7 @@ _SPARK_JDBC_KEYS = {
     "querytimeout", "fetchsize", "truncate", "cascadetruncate", "createtableoptions", "createtablecolumntypes",
     "customschema", "batchsize", "isolationlevel", "sessioninitstatement", "pushdownpredicate",
     "pushdownaggregate", "pushdownlimit", "pushdownoffset", "pushdowntablesample", "keytab", "principal",
-    "refreshkrb5config", "connectionprovider", "preparequery", "inferTimestampNTZType".lower(),
+    "refreshkrb5config", "connectionprovider", "preparequery", "infertimestampntztype",
 }
 
 
@@ -62,33 +80,34 @@ def write_report_jdbc(
     options: Mapping[str, str] | None = None,
     mode: str = "replace",
     date_col: str = "date",
-    staging_table: str | None = None,
+    days: Iterable | None = None,
 ) -> None:
     """K2: write a report over JDBC.
 
     ``mode="append"`` is the reference's behaviour (reruns duplicate rows);
-    ``mode="replace"`` stages and swaps by ``date_col``; ``"overwrite"``
-    replaces the whole table.
+    ``mode="replace"`` stages and swaps the days present and those of ``days``;
+    ``"overwrite"`` replaces the whole table.  Table names are used as Spark's
+    writer uses them, unquoted.
     """
     if mode in ("append", "overwrite"):
         _jdbc_writer(df, url, table, options).mode(mode).save()
         return
     if mode != "replace":
         raise ValueError(f"mode must be 'replace', 'append' or 'overwrite', not {mode!r}")
-    staging = staging_table or f"{table}_staging"
+    staging = f"{table}_staging_{uuid.uuid4().hex[:8]}"  # of this write alone
     _jdbc_writer(df, url, staging, options).mode("overwrite").save()
     # Creates the target with the report's schema if it does not exist yet.
     _jdbc_writer(df.limit(0), url, table, options).mode("append").save()
     dialect = df.sparkSession.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
-    q = dialect.quoteIdentifier
-    cols = ", ".join(q(c) for c in df.columns)
-    day = q(date_col)
+    statements = swap_statements(table, staging, df.columns, date_col, day_keys(days), dialect.quoteIdentifier)
     conn = _connect(df, url, options)
     try:
         conn.setAutoCommit(False)
         stmt = conn.createStatement()
-        stmt.executeUpdate(f"DELETE FROM {table} WHERE {day} IN (SELECT {day} FROM {staging})")
-        stmt.executeUpdate(f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}")
+        for sql in statements:
+            stmt.executeUpdate(sql)
+        conn.commit()
+        stmt.executeUpdate(f"DROP TABLE {staging}")
         conn.commit()
         stmt.close()
     except Exception:
@@ -96,3 +115,13 @@ def write_report_jdbc(
         raise
     finally:
         conn.close()
+
+
+def swap_statements(table: str, staging: str, columns: list[str], date_col: str, keys: list[int] | None, quote) -> list[str]:
+    """The statements of the swap: the staged days and ``keys`` go, the staged
+    rows come."""
+    day, cols = quote(date_col), ", ".join(quote(c) for c in columns)
+    statements = [f"DELETE FROM {table} WHERE {day} IN (SELECT {day} FROM {staging})"]
+    if keys:
+        statements.append(f"DELETE FROM {table} WHERE {day} IN ({', '.join(map(str, keys))})")
+    return [*statements, f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}"]

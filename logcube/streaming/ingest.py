@@ -3,9 +3,12 @@ into the fact table as they arrive, instead of re-listing a whole day.
 
 Run it with ``trigger(availableNow=True)`` from the nightly scheduler (it
 processes everything new, then stops) or with a processing-time trigger.
-Exactly-once: each micro-batch writes ``ingest_id=b<batch id>`` and replaces
-that directory whole, so a batch replayed after a failure overwrites its own
-earlier attempt.  Progress lives in ``checkpoint`` (a shared folder).
+
+Exactly-once per log file: a micro-batch becomes a run of the fact table with
+the files that no run in force has parsed.  A batch replayed after a failure, a
+renewed checkpoint, a second stream, or files that the day ingest has parsed
+already therefore add nothing.  Progress lives in ``checkpoint`` (a shared
+folder).
 """
 
 from __future__ import annotations
@@ -19,8 +22,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logcube.operators.events import parse_events
 from logcube.schemas import EVENT_KINDS, RAW_LOG
-from logcube.sources.facts import write_facts
-from logcube.sources.raw_logs import CORRUPT, log_date_of_path
+from logcube.sources.facts import day_runs, write_facts
+from logcube.sources.raw_logs import line_reader, with_log_columns
 
 
 def read_log_stream(
@@ -31,24 +34,30 @@ def read_log_stream(
 ) -> DataFrame:
     """Streaming frame of log lines under ``<root>/<yyyy-MM-dd>/<sub>/*.gz``,
     with ``log_date`` taken from the directory."""
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    reader = (
-        spark.readStream.schema(full)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.gz")
-    )
+    reader = line_reader(spark.readStream, schema).option("pathGlobFilter", "*.gz")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = reader.json(f"{log_root.rstrip('/')}/*/*")
-    return df.withColumn("log_date", log_date_of_path(F.col("_metadata.file_path")))
+    return with_log_columns(reader.json(f"{log_root.rstrip('/')}/*/*"))
 
 
 def batch_writer(fact_root: str, kinds: Sequence[str], tz: str, fmt: str = "orc"):
-    """foreachBatch function: parse the batch and replace its ingest folder."""
+    """foreachBatch function: parse the files of the batch that are new to the
+    fact table, and add them as one run."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_facts(parse_events(batch, kinds, tz), fact_root, ingest_id=f"b{batch_id:010d}", fmt=fmt)
+        found: dict[str, list[str]] = {}
+        for r in batch.select(F.col("log_date").cast("string").alias("day"), "log_file").distinct().collect():  # the batch's files
+            if r.day is not None:  # files outside a day folder belong to no log day
+                found.setdefault(r.day, []).append(r.log_file)
+        known = {f for runs in day_runs(batch.sparkSession, fact_root, list(found)).values() for run in runs for f in run["files"]}
+        new = {day: [f for f in files if f not in known] for day, files in found.items()}
+        new = {day: files for day, files in new.items() if files}
+        if not new:
+            return
+        again = sorted(f for files in found.values() for f in files if f in known)
+        rows = batch.where("log_date is not null")
+        rows = rows.where(~F.col("log_file").isin(again)) if again else rows
+        write_facts(parse_events(rows, kinds, tz), fact_root, new, replace=False, fmt=fmt)
 
     return write
 

@@ -28,18 +28,19 @@ def test_available_now_ingest_is_incremental(spark, scratch):
     assert {r["log_date"] for r in got.collect()} == {D0, nxt}
 
 
-def test_replayed_batch_overwrites_itself(spark, scratch):
+def test_replayed_batch_adds_nothing(spark, scratch):
     from logcube.sources.raw_logs import read_raw_logs
     from logcube.streaming.ingest import batch_writer
 
     root = tempfile.mkdtemp(prefix="rlogs-", dir=scratch)
     facts = tempfile.mkdtemp(prefix="rfacts-", dir=scratch)
     write_gz(f"{root}/{D0}/h/a.gz", [line("u1", D0, download_fin=[ev("p1")], install_fin=[ev("p2")])])
-    batch = read_raw_logs(spark, root, [D0])
     write = batch_writer(facts, ["download_fin", "install_fin"], "UTC", fmt="parquet")
-    write(batch, 7)
-    write(batch, 7)  # the same micro-batch again after a failure
-    write(batch, 8)  # a different batch appends
+    write(read_raw_logs(spark, root, [D0]), 7)
+    write(read_raw_logs(spark, root, [D0]), 7)  # the same micro-batch again after a failure
+    write(read_raw_logs(spark, root, [D0]), 8)  # the same files under another checkpoint
+    assert read_facts(spark, facts, fmt="parquet").count() == 2
+    write_gz(f"{root}/{D0}/h/b.gz", [line("u2", D0, download_fin=[ev("p1")])])
+    write(read_raw_logs(spark, root, [D0]), 9)  # an old and a new file: the new one counts
     got = read_facts(spark, facts, fmt="parquet")
-    assert got.count() == 4
-    assert sorted({r["ingest_id"] for r in got.collect()}) == ["b0000000007", "b0000000008"]
+    assert got.count() == 3 and got.select("run").distinct().count() == 2
