@@ -13,9 +13,9 @@ The test tables are mapped to the reference's log / catalog shape by
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
-import uuid
 from collections.abc import Callable
 
 # The package sits next to this file; make it importable however the file is loaded.
@@ -34,9 +34,8 @@ from logcube.plans import backfill, daily, reports
 from logcube.plans.checkpoints import scratch_dir
 from logcube.plans.specs import SPECS, GrowthSpec
 from logcube.sources import bridge
-from logcube.sources.catalog import read_catalog_jdbc
 from logcube.sources.facts import read_facts
-from logcube.sources.sinks import write_report_jdbc
+from logcube.sources.sinks import write_report_files
 from logcube.streaming.ingest import start_ingest
 
 try:  # the training-data operators and their pipeline are an optional part
@@ -48,7 +47,6 @@ except ModuleNotFoundError as missing:
     corpus_pipeline = llm = None
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
-OPEN_STANDIN_STAGE = (DETAIL_STAGE[0], ("app_open", "game_open"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -103,11 +101,13 @@ def _enrich_query(rule, category):
 
 
 def q_three_day_scan(spark, sf):
-    rows = reports.report_day_scan(_facts(spark, sf), ["download_fin"])
+    """What a report of the last day reads of the fact table: that day, the day
+    before and the day a week before, as partition predicates."""
+    root, days = _fact_files(spark, sf)
+    last = dt.date.fromisoformat(max(days))
+    rows = read_facts(spark, root, days=[last - dt.timedelta(n) for n in (0, 1, 7)], kinds=["download_fin"])
     return rows.select(
-        date_key(F.col("report_day")).alias("report_date"),
-        "lag",
-        "event_id",
+        F.date_diff(F.lit(last), F.col("date")).alias("lag"),
         "custom_uuid",
         date_key(F.col("date")).alias("date"),
         "package_id",
@@ -153,79 +153,127 @@ def q_funnel_micro(spark, sf):
 
 
 def q_funnel_four_stages(spark, sf):
-    return reports.funnel(_facts(spark, sf), stages=(OPEN_STANDIN_STAGE, *LIVE_STAGES))
+    """The opens stand for the detail-page clicks, under those kinds' names."""
+    facts = _facts(spark, sf)
+    kind = F.when(F.col("kind") == "app_open", "appstore_onclick").when(F.col("kind") == "game_open", "game_onclick")
+    facts = facts.withColumn("kind", F.coalesce(kind, F.col("kind")))
+    return reports.funnel(facts, stages=(DETAIL_STAGE, *LIVE_STAGES))
+
+
+def _first_and_last_day(facts):
+    row = facts.agg(F.min("date"), F.max("date")).first()
+    return row[0], row[1]
 
 
 def q_backfill_install_growth(spark, sf):
-    return backfill.backfill_growth(_facts(spark, sf), bridge.catalog(spark, sf), SPECS["install_v2"])
+    """A range inside the data: its lead-in days are read but not reported."""
+    facts = _facts(spark, sf)
+    first, last = _first_and_last_day(facts)
+    start, end = first + dt.timedelta(8), last - dt.timedelta(2)
+    return backfill.backfill_growth(facts, bridge.catalog(spark, sf), SPECS["install_v2"], start=start, end=end)
 
 
 FACT_OUTPUT = ("custom_uuid", "date", "log_date", "device_name", "site", "package_id", "title", "source", "kind", "dt")
+BRIDGE_LAYOUT = "day={day}/*.gz"
+
+
+def _bridge_lines(spark, sf):
+    """The bridge's log lines with the folder day (their event day)."""
+    raw = bridge.raw_logs(spark, sf)
+    return raw.withColumn("day", local_date(F.col("rectime"), "UTC").cast("string"))
 
 
-def _write_bridge_logs(spark, sf, logs: str) -> list[str]:
-    """The bridge's log lines as gzip JSON day folders (``day=<yyyy-MM-dd>``)."""
-    raw = bridge.raw_logs(spark, sf).drop("event_id")
-    raw = raw.withColumn("day", local_date(F.col("rectime"), "UTC").cast("string"))
-    raw.write.partitionBy("day").option("compression", "gzip").json(logs)
-    return [r[0] for r in raw.select("day").distinct().collect()]  # one row per calendar day
+def _write_logs(lines, logs: str) -> list[str]:
+    """Lines as gzip JSON day folders (``day=<yyyy-MM-dd>``); the days."""
+    lines.drop("event_id").write.partitionBy("day").option("compression", "gzip").json(logs)
+    return sorted(r[0] for r in lines.select("day").distinct().collect())  # one row per calendar day
 
 
 def _fact_files(spark, sf):
-    """S1, S2, P1-P7, K1, S4 on real files: the bridge's log lines written
-    as gzip JSON day folders, parsed into the ORC fact table in one job, and
-    read back through the partitioned scan."""
+    """S1, S2, P1-P7, K1 on real files: the bridge's log lines written as gzip
+    JSON day folders and parsed into the ORC fact table in one job; the
+    table's root and the days."""
     root = scratch_dir(spark, "bridge")
-    logs, facts_root = f"{root}/logs", f"{root}/facts"
-    days = _write_bridge_logs(spark, sf, logs)
-    daily.ingest_days(spark, logs, facts_root, days, tz="UTC", layout="day={day}/*.gz")
-    return read_facts(spark, facts_root)
+    days = _write_logs(_bridge_lines(spark, sf), f"{root}/logs")
+    daily.ingest_days(spark, f"{root}/logs", f"{root}/facts", days, tz="UTC", layout=BRIDGE_LAYOUT)
+    return f"{root}/facts", days
 
 
 def q_ingest_json_facts(spark, sf):
-    return _fact_files(spark, sf).select(*FACT_OUTPUT)
+    return read_facts(spark, _fact_files(spark, sf)[0]).select(*FACT_OUTPUT)
 
 
 def q_stream_ingest_facts(spark, sf):
     """The same logs through the Structured Streaming ingest (availableNow
-    trigger, foreachBatch writing one ingest folder per micro-batch)."""
+    trigger, foreachBatch adding one run per micro-batch)."""
     root = scratch_dir(spark, "stream")
-    logs, facts_root = f"{root}/logs", f"{root}/facts"
-    _write_bridge_logs(spark, sf, logs)
-    query = start_ingest(spark, logs, facts_root, f"{root}/checkpoint", tz="UTC")
-    query.awaitTermination()
-    return read_facts(spark, facts_root).select(*FACT_OUTPUT)
+    _write_logs(_bridge_lines(spark, sf), f"{root}/logs")
+    start_ingest(spark, f"{root}/logs", f"{root}/facts", f"{root}/checkpoint", tz="UTC").awaitTermination()
+    return read_facts(spark, f"{root}/facts").select(*FACT_OUTPUT)
 
 
 def q_growth_from_fact_files(spark, sf):
-    return reports.growth(_fact_files(spark, sf), bridge.catalog(spark, sf), SPECS["install_v2"])
-
-
-def q_catalog_jdbc_roundtrip(spark, sf):
-    """K2 then S3/U4 over JDBC (embedded in-memory Derby inside the Spark JVM:
-    no server, no port): the two catalog lists are written as tables and read
-    back with the UNION ALL sub-query run by the database."""
-    try:  # keep Derby's log out of the working dir; cosmetic, never fails the query
-        system = spark.sparkContext._jvm.java.lang.System
-        if system.getProperty("derby.stream.error.file") is None:
-            system.setProperty("derby.stream.error.file", f"{scratch_dir(spark, 'derby')}.log")
-    except Exception:
-        pass
-    url = f"jdbc:derby:memory:cms_{uuid.uuid4().hex};create=true"
-    opts = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    part = bridge.table(spark, sf, "part")
-    cols = [
-        F.col("p_partkey").cast("string").alias("fsk_pid"),
-        F.col("p_name").alias("fsk_title"),
-        F.col("p_brand").alias("fsk_cid"),
-        F.col("p_type").alias("fsk_catalog"),
-    ]
-    apps = part.where(~F.col("p_type").isin(list(bridge.APP_LIST_EXCLUDES))).select(*cols)
-    games = part.where(F.col("p_type").isin(list(bridge.GAME_LIST_TYPES))).select(*cols)
-    write_report_jdbc(apps, url, "APP_LIST", opts, mode="overwrite")
-    write_report_jdbc(games, url, "GAME_LIST", opts, mode="overwrite")
-    query = "SELECT * FROM APP_LIST UNION ALL SELECT * FROM GAME_LIST"
-    return read_catalog_jdbc(spark, url, query, opts).select("fsk_pid", "fsk_title", "fsk_cid", "fsk_catalog")
+    facts = read_facts(spark, _fact_files(spark, sf)[0])
+    return reports.growth(facts, bridge.catalog(spark, sf), SPECS["install_v2"])
+
+
+def q_reingest_facts(spark, sf):
+    """Logs ingested with a wrong zone, then replaced by corrected, fewer logs:
+    by the range ingest, then twice by a stream with a new checkpoint each.
+    Only the corrected logs count, once."""
+    root = scratch_dir(spark, "reingest")
+    lines, facts = _bridge_lines(spark, sf), f"{root}/facts"
+    days = _write_logs(lines, f"{root}/logs")
+    daily.ingest_days(spark, f"{root}/logs", facts, days, tz="Asia/Shanghai", layout=BRIDGE_LAYOUT)
+    days = _write_logs(lines.where("event_id % 3 <> 0"), f"{root}/corrected")
+    daily.ingest_days(spark, f"{root}/corrected", facts, days, tz="UTC", layout=BRIDGE_LAYOUT)
+    for n in range(2):
+        start_ingest(spark, f"{root}/corrected", facts, f"{root}/checkpoint{n}", tz="UTC").awaitTermination()
+    return read_facts(spark, facts).select(*FACT_OUTPUT)
+
+
+def q_funnel_folder_day(spark, sf):
+    """Every fifth event is logged a day late: clicks count on the day of their
+    log folder, the other stages on the event's day."""
+    root = scratch_dir(spark, "late")
+    late = F.when(F.col("event_id") % 5 == 0, F.date_add("day", 1).cast("string")).otherwise(F.col("day"))
+    days = _write_logs(_bridge_lines(spark, sf).withColumn("day", late), f"{root}/logs")
+    daily.ingest_days(spark, f"{root}/logs", f"{root}/facts", days, tz="UTC", layout=BRIDGE_LAYOUT)
+    return reports.funnel(daily.stage_facts(spark, f"{root}/facts", days), days=days)
+
+
+def q_ingest_bad_lines(spark, sf):
+    """Every 40th line is cut short, every 41st has no number as rectime and
+    every 43rd has it quoted: the first two are counted and stored, the last is
+    read like the others."""
+    root = scratch_dir(spark, "bad")
+    lines, n = _bridge_lines(spark, sf), F.col("event_id")
+    rectime = F.when(n % 41 == 0, "soon").when(n % 43 == 0, F.concat(F.lit('"'), F.col("rectime").cast("string"), F.lit('"')))
+    rectime = F.coalesce(rectime, F.col("rectime").cast("string"))
+    rectime = F.when(n % 41 == 0, F.concat(F.lit('"'), rectime, F.lit('"'))).otherwise(rectime)
+    others = F.to_json(F.struct(*[c for c in lines.columns if c not in ("event_id", "day", "rectime")]))
+    text = F.concat(F.lit('{"rectime":'), rectime, F.lit(","), F.expr("substring(others, 2)"))
+    lines = lines.select("event_id", "day", others.alias("others"), "rectime").select("event_id", "day", text.alias("value"))
+    lines = lines.withColumn("value", F.when(n % 40 == 0, F.expr("left(value, length(value) - 3)")).otherwise(F.col("value")))
+    lines.select("day", "value").write.partitionBy("day").option("compression", "gzip").text(f"{root}/logs")
+    days = sorted(r[0] for r in lines.select("day").distinct().collect())
+    daily.ingest_days(spark, f"{root}/logs", f"{root}/facts", days, tz="UTC", layout="day={day}/*.gz")
+    bad = spark.read.parquet(f"{root}/facts/bad_lines").select("log_date", "reason")
+    good = read_facts(spark, f"{root}/facts").select("log_date", F.lit("fact").alias("reason")).where(F.col("log_date") == F.col("date"))
+    return bad.unionByName(good).groupBy("log_date", "reason").agg(F.count("*").alias("n"))
+
+
+def q_report_files_replace(spark, sf):
+    """K2 on files: the device report of all days, then a rerun of the last three
+    after a device's events and a whole day's were withdrawn."""
+    facts = _facts(spark, sf)
+    path = scratch_dir(spark, "report")
+    write_report_files(reports.devices(facts), path)
+    last = _first_and_last_day(facts)[1]
+    days = [last - dt.timedelta(n) for n in range(3)]
+    left = facts.where((F.col("date") != F.lit(days[1])) & (F.col("device_name") != "dev_0"))
+    write_report_files(reports.devices(left, days=days), path, days=days)
+    return spark.read.parquet(path).select("date", "device_name", "totalPlayCount")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -268,14 +316,17 @@ def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_json_facts": q_ingest_json_facts,
         "stream_ingest_facts": q_stream_ingest_facts,
         "growth_from_fact_files": q_growth_from_fact_files,
-        "catalog_jdbc_roundtrip": q_catalog_jdbc_roundtrip,
+        "reingest_facts": q_reingest_facts,
+        "funnel_folder_day": q_funnel_folder_day,
+        "ingest_bad_lines": q_ingest_bad_lines,
+        "report_files_replace": q_report_files_replace,
     }
 
 
 # --------------------------------------------------------------- DuckDB side
 
 _BRIDGE = """
-app_log AS (
+app_log AS MATERIALIZED (
   SELECT event_id,
          CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS custom_uuid,
          epoch_us(ts) // 1000 AS rectime,
@@ -344,7 +395,7 @@ def _cube_cte(spec: GrowthSpec) -> list[str]:
     sets = ", ".join("(" + ", ".join(["date", *s]) + ")" for s in spec.grouping_sets)
     return [
         _enriched_cte("enriched", spec.title_rule, spec.category, spec.kinds),
-        f"""cube AS (
+        f"""cube AS MATERIALIZED (
   SELECT date, {keys}, CAST(grouping({keys}) AS BIGINT) AS id_1,
          count(custom_uuid) AS playNum, count(DISTINCT custom_uuid) AS users,
          {_round("count(custom_uuid) / nullif(count(DISTINCT custom_uuid), 0)", 2)} AS avgPlayNum
@@ -422,13 +473,9 @@ FROM app_log""",
         "enrich_log_title": _enrich_sql("log", "fsk_cid"),
         "enrich_catalog_title": _enrich_sql("catalog", "fsk_catalog"),
         "enrich_conditional_title": _enrich_sql("conditional", "fsk_catalog"),
-        "three_day_scan": _with()
-        + f"""SELECT {_int_date('f.report_day')} AS report_date, f.lag, f.event_id, f.custom_uuid,
-       {_int_date('f.date')} AS date, f.package_id, f.title, f.site
-FROM (SELECT f.*, l.lag, f.date + l.lag AS report_day
-      FROM facts f, (VALUES (0), (1), (7)) AS l(lag)
-      WHERE f.kind = 'download_fin') f
-WHERE f.report_day <= (SELECT max(date) FROM facts WHERE kind = 'download_fin')""",
+        "three_day_scan": _with("last AS (SELECT max(date) AS day FROM facts)")
+        + f"""SELECT CAST(day - date AS INTEGER) AS lag, custom_uuid, {_int_date('date')} AS date, package_id, title, site
+FROM facts, last WHERE kind = 'download_fin' AND day - date IN (0, 1, 7)""",
         "download_cube_v1": _cube_sql(SPECS["download_v1"]),
         "download_cube_v2": _cube_sql(SPECS["download_v2"]),
         "open_cube_v1": _cube_sql(SPECS["open_v1"]),
@@ -473,7 +520,8 @@ FROM stage_enriched GROUP BY date, package_id, title, featureName""",
 FROM facts
 WHERE kind IN ('app_open', 'game_open', 'download_onclick', 'download_fin', 'install_fin')
 GROUP BY 1, 2""",
-        "backfill_install_growth": _growth_sql(SPECS["install_v2"]),
+        "backfill_install_growth": _growth_sql(SPECS["install_v2"])
+        + "\nWHERE c.date BETWEEN (SELECT min(date) + 8 FROM facts) AND (SELECT max(date) - 2 FROM facts)",
         "ingest_json_facts": _with()
         + """SELECT custom_uuid, date, date AS log_date, device_name, site, package_id, title, source, kind,
        strftime(date, '%Y-%m-%d') AS dt
@@ -483,7 +531,30 @@ FROM facts""",
        strftime(date, '%Y-%m-%d') AS dt
 FROM facts""",
         "growth_from_fact_files": _growth_sql(SPECS["install_v2"]),
-        "catalog_jdbc_roundtrip": _with() + "SELECT fsk_pid, fsk_title, fsk_cid, fsk_catalog FROM cms",
+        "reingest_facts": _with()
+        + """SELECT custom_uuid, date, date AS log_date, device_name, site, package_id, title, source, kind,
+       strftime(date, '%Y-%m-%d') AS dt
+FROM facts WHERE event_id % 3 <> 0""",
+        "funnel_folder_day": _with(
+            """logged AS (
+  SELECT *, CASE WHEN event_id % 5 = 0 THEN date + 1 ELSE date END AS log_date FROM facts
+), staged AS (
+  SELECT CASE WHEN kind = 'download_onclick' THEN log_date ELSE date END AS day, kind, custom_uuid
+  FROM logged WHERE kind IN ('download_onclick', 'download_fin', 'install_fin')
+)"""
+        )
+        + f"""SELECT {_int_date('day')} AS date, kind AS featureName, count(custom_uuid) AS totalPlayCount
+FROM staged WHERE day IN (SELECT log_date FROM logged) GROUP BY day, kind""",
+        "ingest_bad_lines": _with()
+        + """SELECT date AS log_date,
+       CASE WHEN event_id % 40 = 0 THEN 'corrupt' WHEN event_id % 41 = 0 THEN 'undated' ELSE 'fact' END AS reason,
+       count(*) AS n
+FROM facts GROUP BY 1, 2""",
+        "report_files_replace": _with("last AS (SELECT max(date) AS day FROM facts)")
+        + f"""SELECT {_int_date('date')} AS date, device_name, count(custom_uuid) AS totalPlayCount
+FROM facts, last
+WHERE kind = 'download_fin' AND (date < day - 2 OR (date <> day - 1 AND device_name <> 'dev_0'))
+GROUP BY date, device_name""",
     }
     if llm is not None:
         sql |= llm.oracle_sql()
