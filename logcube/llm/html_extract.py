@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logcube.llm.common import cells, in_batches, text_or_empty
+from logcube.llm.common import cells, in_batches, map_batches, text_or_empty
 from logcube.llm.html_blocks import Block, blocks
 from logcube.llm.html_samples import page
 
 PATH_DIMS, WORD_DIMS, NUMBERS = 256, 32, 6
 INPUTS = PATH_DIMS + WORD_DIMS + NUMBERS
 HIDDEN = 16
-TRAIN_PAGES, EPOCHS, PAGES_A_STEP, RATE = 900, 6, 30, 0.01
+TRAIN_PAGES, EPOCHS, PAGES_A_STEP, RATE = 1500, 6, 30, 0.01
 #: Blocks of pages that are labelled together, padded to the longest page.
 CELLS = 12_000
 
@@ -216,4 +216,4 @@ def extract(pages: DataFrame, model: Labeller, id_col: str = "page_id", url_col:
         yield from in_batches(rows(), schema)
 
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"), text_or_empty(html_col).alias("html"))
-    return rows.mapInArrow(run, "page_id bigint, url string, text string")
+    return map_batches(rows, run, "page_id bigint, url string, text string")

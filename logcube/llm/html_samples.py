@@ -4,6 +4,7 @@ random page layouts, each labelled as main text or not."""
 from __future__ import annotations
 
 import random
+import re
 
 from logcube.llm.html_blocks import Block, blocks
 
@@ -15,7 +16,7 @@ MAIN = [
     '<div class="post-content">', '<div class="entry-content">', '<article itemprop="articleBody">', '<div role="main">', '<div id="main-text">', '<td class="story">',
 ]
 LINK_LISTS = ["<nav>", '<div class="menu">', '<ul class="nav navbar">', '<div id="navigation">', '<aside class="sidebar">', '<div class="sidebar widget">', '<div class="related-posts">', '<div class="share social">', '<div class="breadcrumb">', '<ol class="pagination">', "<aside>", '<div class="tags">']
-TEXTS = ["<header>", '<div class="header banner">', "<footer>", '<div id="footer">', '<div class="ad">', '<div class="ads advert">', '<aside class="sponsored promo">', '<div class="cookie-notice">', '<div class="notice alert">', '<div class="newsletter subscribe">', '<div class="popup modal">', '<p class="copyright">', '<aside class="sidebar">', '<div class="advertisement">', '<section class="promo">', '<div class="consent">']
+TEXTS = ["<nav>", '<div class="menu">', "<header>", '<div class="header banner">', "<footer>", '<div id="footer">', '<div class="ad">', '<div class="ads advert">', '<aside class="sponsored promo">', '<div class="cookie-notice">', '<div class="notice alert">', '<div class="newsletter subscribe">', '<div class="popup modal">', '<p class="copyright">', '<aside class="sidebar">', '<div class="advertisement">', '<section class="promo">', '<div class="consent">']
 COMMENTS = ['<div id="comments">', '<section class="comments">', '<ol class="commentlist">', '<div class="comment-thread reader-comments">', '<div class="discussion replies">', '<aside class="comments">']
 FORMS = ["<form>", '<form class="search">', '<form id="login">', '<div class="form contact"><form>']
 MARK = "\x02"  # before every word of the main text; never in a page
@@ -40,7 +41,9 @@ def _boilerplate(rng: random.Random) -> str:
     if kind < 0.35:
         tag = rng.choice(LINK_LISTS)
         items = "".join(f'<li><a href="/{i}">{_words(rng, rng.randint(1, 6))}</a></li>' for i in range(rng.randint(1, 8)))
-        return f"{tag}<ul>{items}</ul>{_ends(tag)}" if rng.random() < 0.7 else f"{tag}{items}{_ends(tag)}"
+        if rng.random() < 0.25:  # links in a line
+            items = rng.choice([" ", " | ", ""]).join(re.findall("<a .*?</a>", items))
+        return f"{tag}<ul>{items}</ul>{_ends(tag)}" if rng.random() < 0.7 and "<li>" in items else f"{tag}{items}{_ends(tag)}"
     if kind < 0.75:
         tag, body = rng.choice(TEXTS), _words(rng, _length(rng))
         return f"{tag}{body}{_ends(tag)}" if rng.random() < 0.6 else f"{tag}<p>{body}</p><p>{_words(rng, _length(rng))}</p>{_ends(tag)}"
@@ -69,7 +72,8 @@ def _main(rng: random.Random) -> str:
 def page(seed: int) -> tuple[list[Block], list[bool]]:
     """Blocks of a page, and which of them are main text."""
     rng = random.Random(seed)
-    tag, wrappers = rng.choice(MAIN), ["<div>", '<div class="wrapper">', '<div id="page">', '<div class="container row">', '<body class="single post">', '<div class="site main-column">']
+    tag = rng.choice(MAIN) if rng.random() < 0.95 else ""  # or right in the body
+    wrappers = ["<div>", '<div class="wrapper">', '<div id="page">', '<div class="container row">', '<body class="single post">', '<div class="site main-column">']
     wrap = "".join(rng.sample(wrappers, rng.choice([0, 0, 1, 2])))
     inner = tag + _main(rng) + (_boilerplate(rng) if rng.random() < 0.15 else "") + _ends(tag)
     before = "".join(_boilerplate(rng) for _ in range(rng.choice([0, 1, 2, 3, 4])))
