@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logcube.llm.common import FLUSH_BYTES, cells, in_batches, stored, text_or_empty
+from logcube.llm.common import FLUSH_BYTES, cells, in_batches, map_batches, stored, text_or_empty
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
@@ -136,9 +136,9 @@ def encode(
     longer = stored(longer, "long-texts")
 
     cut, _ = _cut(chunk_chars, overlap_chars)
-    chunks = longer.select("row_id", "text").mapInArrow(cut, "row_id bigint, chunk int, text string")
+    chunks = map_batches(longer.select("row_id", "text"), cut, "row_id bigint, chunk int, text string")
     chunks = stored(chunks.repartition("row_id", "chunk"), "chunks")
-    ends = chunks.mapInArrow(_ends(pattern, chunk_chars, overlap_chars), "row_id bigint, chunk int, head array<int>, tail array<int>")
+    ends = map_batches(chunks, _ends(pattern, chunk_chars, overlap_chars), "row_id bigint, chunk int, head array<int>, tail array<int>")
     along = Window.partitionBy("row_id").orderBy("chunk")  # one light row per chunk of a text
     stitches = ends.withColumn("start", F.array_min(F.array_intersect("head", F.lag("tail").over(along))))
     stitches = stitches.withColumn("start", F.when(F.col("chunk") == 0, F.lit(0)).otherwise(F.col("start")))
@@ -152,7 +152,7 @@ def encode(
     piece = F.expr("substring(text, start + 1, if(last, length(text), stop - start))")
     pieces = chunks.join(stitches.where("not apart"), ["row_id", "chunk"]).select("row_id", "chunk", piece.alias("text"))
     run, _ = _encode_pieces(ranks_path, pattern, {"row_id": pa.int64(), "chunk": pa.int32()})
-    pieces = pieces.mapInArrow(run, "row_id bigint, chunk int, ids array<int>")
+    pieces = map_batches(pieces, run, "row_id bigint, chunk int, ids array<int>")
     joined = pieces.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("pieces"))  # one text's
     joined = joined.select("row_id", F.flatten("pieces.ids").alias("ids"))
     stitched = longer.select("row_id", "doc_id").join(joined, "row_id").select("doc_id", "ids")
@@ -162,7 +162,7 @@ def encode(
     rest = whole.unionByName(longer.join(apart, "row_id", "left_semi").select("doc_id", "text"))
     doc_type = pa.int64() if id_type == "bigint" else pa.int32() if id_type == "int" else pa.string()
     run, _ = _encode_pieces(ranks_path, pattern, {"doc_id": doc_type})
-    return rest.mapInArrow(run, f"doc_id {id_type}, ids array<int>").unionByName(stitched)
+    return map_batches(rest, run, f"doc_id {id_type}, ids array<int>").unionByName(stitched)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -185,4 +185,4 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
                 part = batch.slice(first, done - first)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"])
 
-    return encoded.select(*names).mapInArrow(run, schema)
+    return map_batches(encoded.select(*names), run, schema)

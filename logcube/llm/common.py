@@ -3,7 +3,7 @@ tables in the cluster's shared folder, and a few text rules."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,8 @@ from logcube.plans.checkpoints import scratch_dir
 
 #: A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows that a Python task takes at a time, at most.
+BATCH_ROWS = 1000
 #: A Python task sends its rows on whenever they hold so many bytes.
 FLUSH_BYTES = 4 << 20
 
@@ -52,3 +54,13 @@ def cells(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
         columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
         for i in range(batch.num_rows):
             yield tuple(c[i].as_py() for c in columns)
+
+
+def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, with batches of BATCH_ROWS rows at most in
+    this session: Spark's default of 10,000 is many MB of texts, which a worker
+    and its executor each hold more than once."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logcube.llm.common import cells, in_batches, text_or_empty
+from logcube.llm.common import cells, in_batches, map_batches, text_or_empty
 
 SAMPLE_DOCS, SAMPLE_WINDOWS = 6000, 256
 SIZES = (3, 4)
@@ -109,7 +109,7 @@ def _sample(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col
 
         yield from in_batches(found(), schema)
 
-    drawn = rows.where(unit < below).mapInArrow(run, "lang string, place bigint, rows array<int>").collect()  # about sample_docs rows
+    drawn = map_batches(rows.where(unit < below), run, "lang string, place bigint, rows array<int>").collect()  # about sample_docs rows
     return [(r.lang, np.array(r.rows)) for r in sorted(drawn, key=lambda r: (r.place, r.lang, r.rows))]
 
 
@@ -191,7 +191,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         yield from in_batches(found(), schema)
 
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return texts.mapInArrow(run, "doc_id bigint, lang_pred string, score double, rejected boolean")
+    return map_batches(texts, run, "doc_id bigint, lang_pred string, score double, rejected boolean")
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -204,4 +204,4 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             keep = [lang != UNDETERMINED and score >= model.threshold for lang, score in found]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

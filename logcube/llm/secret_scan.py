@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logcube.llm.common import cells, in_batches, text_or_empty
+from logcube.llm.common import cells, in_batches, map_batches, text_or_empty
 
 #: Kinds of spans, in their order at one place.
 KINDS = ("assign", "access", "hex", "markov")
@@ -107,7 +107,7 @@ def train(docs: DataFrame, text_col: str = "text", seed: int = 0) -> np.ndarray:
         yield from in_batches(rows, pa.schema([("random", pa.bool_()), ("pair", pa.int32()), ("n", pa.int64())]))
 
     texts = docs.select(text_or_empty(text_col).alias("text"))
-    counted = texts.mapInArrow(run, "random boolean, pair int, n bigint").groupBy("random", "pair").agg(F.sum("n").alias("n"))
+    counted = map_batches(texts, run, "random boolean, pair int, n bigint").groupBy("random", "pair").agg(F.sum("n").alias("n"))
     counts = {True: _random_transitions(seed).astype(float), False: np.zeros(N * N)}
     for row in counted.collect():  # one row per pair of characters and label at most
         counts[row.random][row.pair] += row.n
@@ -163,4 +163,4 @@ def scan_secrets(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", tex
         yield from in_batches(((n + 64 * len(r["spans"]), r) for n, r in found), schema)
 
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return texts.mapInArrow(run, "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,ratio:double>>")
+    return map_batches(texts, run, "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,ratio:double>>")
