@@ -66,3 +66,46 @@ def test_spread_only_below_parallelism(spark):
     assert spread(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(6)
     assert spread(many, 4) is many
+
+
+def nine_days(spark, scratch):
+    root = tempfile.mkdtemp(prefix="nlogs-", dir=scratch)
+    facts_root = tempfile.mkdtemp(prefix="nfacts-", dir=scratch)
+    days = [D0 - dt.timedelta(n) for n in range(9)]
+    for d in days:
+        rows = dict(download_fin=[ev("p1")], install_fin=[ev("p2")], app_open=[ev("p1")], download_onclick=[ev("p1")])
+        write_gz(f"{root}/{d}/h/a.gz", [line("u1", d, **rows), line("u2", d - dt.timedelta(3), download_onclick=[ev("p1")])])
+    daily.ingest_days(spark, root, facts_root, days, tz="UTC", fmt="parquet")
+    return root, facts_root
+
+
+def test_only_the_folders_asked_for_are_listed(spark, scratch):
+    _, root = nine_days(spark, scratch)
+    files = read_facts(spark, root, days=[D0], kinds=["install_fin"], fmt="parquet").inputFiles()
+    assert files and all(f"/kind=install_fin/dt={D0}/" in f for f in files)
+    # clicks: those of the log folder, whatever their day
+    clicks = [f for f in daily.stage_facts(spark, root, [D0], fmt="parquet").inputFiles() if "onclick" in f]
+    assert all(f"/log_day={D0}/" in f for f in clicks)
+    assert {re.search(r"dt=([0-9-]+)", f)[1] for f in clicks} == {str(D0), str(D0 - dt.timedelta(3))}
+    assert read_facts(spark, root, days=["2030-01-01"], fmt="parquet").count() == 0
+
+
+def test_ingest_shuffles_once(spark, scratch):
+    from logcube.operators.events import parse_events
+    from logcube.sources.raw_logs import read_raw_logs
+
+    logs, _ = nine_days(spark, scratch)
+    raw = read_raw_logs(spark, logs, [D0])
+    plan = plan_of(parse_events(raw, ["download_fin", "install_fin"], "UTC").hint("rebalance", "kind", "dt"))
+    assert plan.count("Exchange") == 1 and "REBALANCE" in plan and "RoundRobin" not in plan
+
+
+def test_reports_of_a_night_share_the_joined_rows(spark, scratch):
+    _, root = nine_days(spark, scratch)
+    plans = {}
+    daily.report_days(spark, root, catalog_frame(spark), [D0], lambda name, df, days: plans.update({name: plan_of(df)}), fmt="parquet")
+    shared = {n for n, p in plans.items() if "InMemoryTableScan" in p}
+    assert shared == {
+        "app_download_report", "app_install_report", "device_app_download_report_",
+        "funnel_app_install_report_macro", "funnel_app_install_report_micro",
+    }
