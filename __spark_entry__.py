@@ -30,7 +30,8 @@ from logcube.functions.scalar import channel_of, date_key, dt_string, local_date
 from logcube.operators.enrich import enrich
 from logcube.operators.events import explode_kinds
 from logcube.operators.funnel import DETAIL_STAGE, LIVE_STAGES
-from logcube.plans import backfill, daily, reports
+from logcube.operators.growth import REPORT_MEASURES
+from logcube.plans import backfill, daily, reports, sql_reports
 from logcube.plans.checkpoints import scratch_dir
 from logcube.plans.specs import SPECS, GrowthSpec
 from logcube.sources import bridge
@@ -130,6 +131,13 @@ def _growth_query(spec: GrowthSpec, fmt="percent"):
     return q
 
 
+def q_open_growth_as_sql(spark, sf):
+    """K3: the report as one Spark SQL statement over a frame bound to it."""
+    spec = SPECS["open_v2"]
+    rich = reports.enriched_for(_facts(spark, sf), bridge.catalog(spark, sf), spec)
+    return sql_reports.growth_sql(spark, rich, spec)
+
+
 def q_device_downloads(spark, sf):
     return reports.devices(_facts(spark, sf))
 
@@ -305,6 +313,7 @@ def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "open_growth_v1": _growth_query(SPECS["open_v1"]),
         "open_growth_v2": _growth_query(SPECS["open_v2"]),
         "open_growth_hybrid": _growth_query(SPECS["open_hybrid"]),
+        "open_growth_as_sql": q_open_growth_as_sql,
         "download_growth_ratio": _growth_query(SPECS["download_v1"], fmt="ratio"),
         "device_downloads": q_device_downloads,
         "device_downloads_rollup": q_device_downloads_rollup,
@@ -423,11 +432,7 @@ def _growth_sql(spec: GrowthSpec, fmt: str = "percent") -> str:
 
     renamed = ", ".join(f"c.{k} AS {n}" for k, n in zip(spec.keys, spec.key_names))
     cols = [f"{_int_date('c.date')} AS date", renamed, "c.id_1"]
-    for m, total, day, week in (
-        ("playNum", "totalPlayCount", "playCountCompareDay", "playCountCompareWeek"),
-        ("users", "totalUserCount", "userCountCompareDay", "userCountCompareWeek"),
-        ("avgPlayNum", "averagePlayCount", "avgPlayCountCompareDay", "avgPlayCountCompareWeek"),
-    ):
+    for m, total, day, week in REPORT_MEASURES:
         cols += [f"c.{m} AS {total}", f"{change('c.' + m, 'p1.' + m)} AS {day}", f"{change('c.' + m, 'p7.' + m)} AS {week}"]
     return (
         _with(*_cube_cte(spec))
@@ -487,6 +492,7 @@ FROM facts, last WHERE kind = 'download_fin' AND day - date IN (0, 1, 7)""",
         "open_growth_v1": _growth_sql(SPECS["open_v1"]),
         "open_growth_v2": _growth_sql(SPECS["open_v2"]),
         "open_growth_hybrid": _growth_sql(SPECS["open_hybrid"]),
+        "open_growth_as_sql": _growth_sql(SPECS["open_v2"]),
         "download_growth_ratio": _growth_sql(SPECS["download_v1"], fmt="ratio"),
         "device_downloads": _with()
         + f"""SELECT {_int_date('date')} AS date, device_name, count(custom_uuid) AS totalPlayCount

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logcube.operators.growth import REPORT_MEASURES
 from logcube.plans.specs import GrowthSpec
 
 
@@ -53,11 +54,7 @@ def growth_sql_text(spec: GrowthSpec, fmt: str = "percent") -> str:
         names,
         "id_1",
     ]
-    for m, total, day_name, week_name in (
-        ("playNum", "totalPlayCount", "playCountCompareDay", "playCountCompareWeek"),
-        ("users", "totalUserCount", "userCountCompareDay", "userCountCompareWeek"),
-        ("avgPlayNum", "averagePlayCount", "avgPlayCountCompareDay", "avgPlayCountCompareWeek"),
-    ):
+    for m, total, day_name, week_name in REPORT_MEASURES:
         cols += [f"{m} AS {total}", f"{change(m, 1)} AS {day_name}", f"{change(m, 7)} AS {week_name}"]
     cube = cube_sql_text(spec)
     return "SELECT " + ", ".join(cols) + f" FROM ({cube}) AS cube"
