@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logcube.llm.common import cells, in_batches, stored, text_or_empty
+from logcube.llm.common import cells, in_batches, map_batches, stored, text_or_empty
 from logcube.llm.components import components
 from logcube.operators.broadcast import bounded_broadcast
 
@@ -44,7 +44,7 @@ BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 20
 #: Shingles whose minhashes are computed at a time; columns of a count matrix.
 HASH_CHUNK, COUNT_COLUMNS = 1 << 15, 1 << 13
 #: Word hashes that a worker remembers.
-KEPT_WORDS = 1 << 20
+KEPT_WORDS = 1 << 16
 
 SKETCH = "doc_id bigint, text_hash bigint, n_shingles bigint, node binary, first array<bigint>, second array<bigint>"
 
@@ -145,7 +145,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: i
 
     text = text_or_empty(text_col)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    return texts.mapInArrow(run, SKETCH)
+    return map_batches(texts, run, SKETCH)
 
 
 def clusters(nodes: DataFrame) -> DataFrame:
@@ -297,10 +297,10 @@ def near_duplicates(
     wanted = stored(wanted, "wanted")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
     texts = texts.join(bounded_broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("of"))).select("node", "root", "text")
-    members = texts.mapInArrow(_sets(shingle), "node binary, root binary, n_shingles bigint, data binary")
+    members = map_batches(texts, _sets(shingle), "node binary, root binary, n_shingles bigint, data binary")
     members = stored(members, "sets")
     tasks = _blocks(members.dropDuplicates(["node"]), percent).select("task", "node", "data")
-    confirmed = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_confirm(shingle, percent), "a binary, b binary")
+    confirmed = map_batches(tasks.repartition("task").sortWithinPartitions("task"), _confirm(shingle, percent), "a binary, b binary")
     reached = components(stored(confirmed, "links"))
 
     roots = classes.join(reached, "node", "left").withColumn("root", F.coalesce("root", "node"))
