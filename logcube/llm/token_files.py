@@ -36,15 +36,17 @@ from pyarrow import fs as files
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logcube.llm.common import cells, stored, text_or_empty
+from logcube.llm.common import cells, map_batches, stored, text_or_empty
 
 MAGIC = b"EFTOKEN1"
 #: A sample of the upper bit vector's ones.
 SAMPLE = 256
 #: A file is closed when its ids hold so many bytes.
 FILE_BYTES = 128 << 20
+#: Tasks that read files back, at most.
+READ_TASKS = 20_000
 #: Pre-tokens that a worker remembers, and the longest of them.
-KEPT_PRETOKENS, KEPT_CHARS = 800_000, 48
+KEPT_PRETOKENS, KEPT_CHARS = 690_000, 48
 
 MANIFEST = "part int, seq int, file string, n_docs bigint, n_ids bigint"
 
@@ -235,6 +237,25 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(0x100 + i) for i, b in enumerate(others)}
 
 
+class _Merged(dict):
+    """The ids of pre-tokens as little-endian 32-bit integers, merged by the
+    library's model when first asked for."""
+
+    def __init__(self, tokenize: Callable):
+        self.tokenize, self.characters = tokenize, _byte_characters()
+
+    def __missing__(self, token: str) -> bytes:
+        if token.isascii() and token.isprintable():
+            written = token.replace(" ", self.characters[32])
+        else:
+            written = token.encode().decode("latin-1").translate(self.characters)
+        found = [t.id for t in self.tokenize(written)]
+        ids = struct.pack(f"<{len(found)}I", *found)
+        if len(token) <= KEPT_CHARS and len(self) < KEPT_PRETOKENS:
+            self[token] = ids
+        return ids
+
+
 class PretokenEncoder:
     """Encodes texts by a byte-level BPE file of the tokenizers library, whose
     model merges every distinct pre-token; frequent ones are remembered, up to a
@@ -250,27 +271,15 @@ class PretokenEncoder:
         before = kind["pre_tokenizer"] or {}
         if kind["model"]["type"] != "BPE" or kind["normalizer"] or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
             raise ValueError(f"{path} is no plain byte-level BPE file")
-        self.pretokens, self.characters = _settled_pattern().findall, _byte_characters()
+        self.pretokens = _settled_pattern().findall
         self.unsettled = re.compile(f"[^\\x00-{chr(SETTLED - 1)}]").search
-        self.known: dict[str, bytes] = {}
+        self.merged = _Merged(self.tokenizer.model.tokenize).__getitem__
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
         if self.unsettled(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        tokens = self.pretokens(text)
-        ids = list(map(self.known.get, tokens))
-        if None in ids:
-            ids = [self._merged(t) if i is None else i for t, i in zip(tokens, ids, strict=True)]
-        return b"".join(ids)
-
-    def _merged(self, token: str) -> bytes:
-        written = token.encode().decode("latin-1").translate(self.characters)
-        found = [t.id for t in self.tokenizer.model.tokenize(written)]
-        ids = struct.pack(f"<{len(found)}I", *found)
-        if len(token) <= KEPT_CHARS and len(self.known) < KEPT_PRETOKENS:
-            self.known[token] = ids
-        return ids
+        return b"".join(map(self.merged, self.pretokens(text)))
 
 
 @lru_cache(maxsize=2)
@@ -332,7 +341,7 @@ def write_token_files(
     rows = rows.select("doc_id", "text", F.spark_partition_id().alias("part"))
     system, path = _file_system(folder)
     system.create_dir(path, recursive=True)
-    return stored(rows.mapInArrow(run, MANIFEST), "manifest")
+    return stored(map_batches(rows, run, MANIFEST), "manifest")
 
 
 MANIFEST_ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
@@ -367,4 +376,6 @@ def read_token_files(manifest: DataFrame, folder: str, of_ids: dict[str, tuple[s
         arrays = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), *map(pa.array, columns[2:])]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return placed.repartition("file").mapInArrow(run, schema)
+    # A number of partitions, as Spark would join the few small rows in one task.
+    tasks = max(1, min(manifest.count(), READ_TASKS))
+    return map_batches(placed.repartition(tasks), run, schema)
