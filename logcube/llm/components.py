@@ -21,11 +21,12 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        # Written before the join, so that its hot partitions can be split.
+        least = stored(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = stored(large.where("a <> b").distinct(), "large-star")
         # Small star: the lower neighbours of a node, and itself, go to the lowest.
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
+        low = stored(large.groupBy("a").agg(F.min("b").alias("low")), "lowest")
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         small = small.unionByName(low.select("a", F.col("low").alias("b")))
         pairs = stored(small.where("a <> b").distinct(), "small-star")
