@@ -1,12 +1,12 @@
-"""Document fingerprints: a homomorphic multiset hash of paragraphs.
+"""Document fingerprints: a homomorphic multiset hash of the parts of paragraphs.
 
-Every paragraph is hashed to a wide vector of random odd numbers between -255
-and 255, and a text's fingerprint is the sum of its paragraphs' vectors, each
-lane modulo 2**20.  Sums do not depend on order, and a paragraph is inserted or
-deleted by adding or subtracting its own fingerprint.
+Every part is hashed to a wide vector of random odd numbers between -255 and
+255, and a text's fingerprint is the sum of its parts' vectors, each lane modulo
+2**20.  Sums do not depend on order, and a paragraph is inserted or deleted by
+adding or subtracting its own fingerprint.
 
 Three lanes lie in one bigint, 21 bits apart; the spare bit takes the carry
-and is cleared after every addition.  Lanes of unrelated paragraphs are
+and is cleared after every addition.  Lanes of unrelated parts are
 uncorrelated with mean zero, so the cosine of two fingerprints estimates how
 much of their multisets the texts share, whatever their length.
 """
@@ -30,9 +30,16 @@ def _packed(lane: int) -> int:
 
 
 LANES = _packed(MODULUS - 1)
-#: Paragraphs are cut at line ends and, so that a text of one line has several
-#: parts to compare, at spaces after a punctuation mark or symbol.
+#: Paragraphs are cut at line ends and at spaces after a punctuation mark or symbol.
 PARAGRAPH_END = r"\n+|(?<=[\p{P}\p{S}]) +"
+#: A paragraph of more characters is cut into parts of 1 to ``PART_ATOMS`` atoms:
+#: words with the white space behind them, and in runs of more than 16 characters
+#: (scripts without spaces, junk) single characters.
+LONG, PART_ATOMS = 32, 8
+ATOM = r"(?<!\S)\S{1,16}(?!\S)\s{0,4}|\S\s{0,4}|\s{1,4}"
+#: A part ends behind an atom where the hash of it and the two before it has
+#: these bits 0: about every 4th word and every 8th single character.
+WORD_MASK, CHARACTER_MASK = 3, 7
 
 
 def paragraphs(text: Column, end: str = PARAGRAPH_END) -> Column:
@@ -40,8 +47,34 @@ def paragraphs(text: Column, end: str = PARAGRAPH_END) -> Column:
     return F.filter(F.split(text, end), lambda p: p != "")
 
 
+def parts(text: Column, end: str = PARAGRAPH_END) -> Column:
+    """The paragraphs of a text, long ones cut where the content says so.
+
+    An edit moves only the ends around it.  Without such an end within
+    ``PART_ATOMS`` atoms a part ends there, so that monotonous texts have several
+    parts as well.  Parts of a paragraph depend on nothing outside of it."""
+
+    def ends(atoms: Column) -> Column:
+        def end_behind(atom: Column, i: Column) -> Column:
+            mask = F.when(F.length(atom) == 1, CHARACTER_MASK).otherwise(WORD_MASK)
+            cut = F.xxhash64(F.get(atoms, i - 2), F.get(atoms, i - 1), atom).bitwiseAND(mask.cast("bigint")) == 0
+            return F.when(cut | (i == F.size(atoms) - 1), i + 1)
+
+        return F.filter(F.transform(atoms, end_behind), F.isnotnull)
+
+    def cut(p: Column) -> Column:
+        def between(end: Column, j: Column) -> Column:
+            starts = F.sequence(F.coalesce(F.get(p["ends"], j - 1), F.lit(0)), end - 1, F.lit(PART_ATOMS))
+            return F.transform(starts, lambda s: F.array_join(F.slice(p["atoms"], s + 1, F.least(F.lit(PART_ATOMS), end - s)), ""))
+
+        return F.flatten(F.transform(p["ends"], between))
+
+    atoms = F.transform(paragraphs(text, end), lambda p: F.when(F.length(p) > LONG, F.regexp_extract_all(p, F.lit(ATOM), F.lit(0))).otherwise(F.array(p)))
+    return F.flatten(F.transform(F.transform(atoms, lambda a: F.struct(a.alias("atoms"), ends(a).alias("ends"))), cut))
+
+
 def _vector(digest: Column, seed: Column) -> Column:
-    """Bigint number ``seed`` of the vector of the paragraph with this digest:
+    """Bigint number ``seed`` of the vector of the part with this digest:
     lanes 2 * byte - 255, modulo 2**20."""
     doubled = F.shiftleft(F.xxhash64(seed, digest).bitwiseAND(F.lit(_packed(0xFF))), 1)
     return (doubled + F.lit(_packed(MODULUS - 255))).bitwiseAND(F.lit(LANES))
@@ -60,7 +93,7 @@ def subtract(a: Column, b: Column) -> Column:
 def fingerprint(text: Column, width: int = WIDTH, end: str = PARAGRAPH_END) -> Column:
     """array<bigint> of ``width``; all zero for a NULL or empty text."""
     seeds = F.array(*[F.lit(i) for i in range(width)])
-    digests = F.transform(paragraphs(F.coalesce(text, F.lit("")), end), lambda p: F.xxhash64(p))
+    digests = F.transform(parts(F.coalesce(text, F.lit("")), end), lambda p: F.xxhash64(p))
     zero = F.array_repeat(F.lit(0).cast("bigint"), width)
     return F.aggregate(digests, zero, lambda total, d: F.zip_with(total, seeds, lambda t, s: (t + _vector(d, s)).bitwiseAND(F.lit(LANES))))
 

@@ -70,3 +70,39 @@ def test_awkward_rows(awkward, empty):
 def test_a_lone_document_is_its_own_next(spark):
     r = fp.fingerprints_with_edits(spark.createDataFrame([(1, "abcdefgh")], "doc_id bigint, text string")).first()
     assert r.edited_text == "abcdefab"
+
+
+def one_line_texts():
+    import random
+
+    rng = random.Random(4)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) for _ in range(4000)]
+    return {
+        "words": " ".join(rng.choices(words, k=900)),
+        "few words": " ".join(rng.choices(words, k=40)),
+        "chinese": "".join(rng.choice("，。") if i % 12 == 11 else chr(0x4E00 + int(rng.paretovariate(0.4)) % 3000) for i in range(2000)),
+        "thai": "".join(chr(rng.randint(0x0E01, 0x0E2E)) for _ in range(1500)),
+        "base64": "".join(rng.choices("ABCDEFGHabcdefgh01234567+/", k=3000)),
+        "dna": "".join(rng.choices("ACGT", k=3000)),
+        "one character": "x" * 5000,
+        "spaces": "a" + " " * 5000 + "b",
+    }
+
+
+def test_texts_of_one_line_keep_the_likeness_of_three_quarters(spark):
+    texts = one_line_texts()
+    rows = [(k, t, t[: len(t) * 3 // 4] + "".join(reversed(t[len(t) * 3 // 4 :])), "Öl und q" + t) for k, t in texts.items()]
+    docs = spark.createDataFrame(rows, "kind string, text string, edited string, inserted string")
+    prints = {c: fp.fingerprint(F.col(c)) for c in ("text", "edited", "inserted")}
+    got = docs.select("kind", "text", fp.parts(F.col("text")).alias("parts"), *[p.alias(f"fp_{c}") for c, p in prints.items()])
+    got = got.select("kind", "text", "parts", *[fp.likeness(F.col("fp_text"), F.col(f"fp_{c}")).alias(c) for c in ("edited", "inserted")])
+    for r in got.collect():
+        assert "".join(r.parts) == r.text and len(r.parts) >= 5, r.kind
+        assert r.edited > 0.5 and r.inserted > 0.5, (r.kind, r.edited, r.inserted)
+
+
+def test_parts_depend_on_their_paragraph_alone(spark):
+    a, b = one_line_texts()["words"], one_line_texts()["chinese"]
+    pieces = [fp.parts(F.lit(t)) for t in (a, b, f"{a}\n{b}", "Short. Two.", "", "\n")]
+    both = one(spark, *[p.alias(f"p{i}") for i, p in enumerate(pieces)])
+    assert both.p2 == both.p0 + both.p1 and both.p3 == ["Short.", "Two."] and both.p4 == both.p5 == []
