@@ -1,12 +1,13 @@
 """Document fingerprints: a homomorphic multiset hash of the parts of paragraphs.
 
 Every part is hashed to a wide vector of random odd numbers between -255 and
-255, and a text's fingerprint is the sum of its parts' vectors, each lane modulo
-2**20.  Sums do not depend on order, and a paragraph is inserted or deleted by
-adding or subtracting its own fingerprint.
+255, and a text's fingerprint is the sum of its parts' vectors.  Sums do not
+depend on order, and a paragraph is inserted or deleted by adding or subtracting
+its own fingerprint.
 
-Three lanes lie in one bigint, 21 bits apart; the spare bit takes the carry
-and is cleared after every addition.  Lanes of unrelated parts are
+A lane is a bigint of its own, which no text can wrap: 2**31 parts, more than an
+array holds, come to less than 2**39.  While they are summed, three lanes share a
+bigint for as many parts as fit.  Lanes of unrelated parts are
 uncorrelated with mean zero, so the cosine of two fingerprints estimates how
 much of their multisets the texts share, whatever their length.
 """
@@ -18,18 +19,15 @@ from pyspark.sql import functions as F
 
 from logcube.llm.common import stored, text_or_empty
 
-#: bigints in a fingerprint, three lanes each.
-WIDTH = 32
-MODULUS = 1 << 20
-SHIFTS = (0, 21, 42)
-
-
-def _packed(lane: int) -> int:
-    """The bigint with ``lane`` in each of its three lanes."""
-    return sum(lane << s for s in SHIFTS)
-
-
-LANES = _packed(MODULUS - 1)
+#: Lanes of a fingerprint, a signed bigint each.
+WIDTH = 96
+MODULUS = 1 << 64
+SHIFTS = (0,)
+#: While parts are summed, three lanes of bytes lie in one bigint, 21 bits apart;
+#: the sums of so many parts fit there.
+PACKED = (0, 21, 42)
+RUN = ((1 << 21) - 1) // 255
+BYTES = sum(0xFF << s for s in PACKED)
 #: Paragraphs are cut at line ends and at spaces after a punctuation mark or symbol.
 PARAGRAPH_END = r"\n+|(?<=[\p{P}\p{S}]) +"
 #: A paragraph of more characters is cut into parts of 1 to ``PART_ATOMS`` atoms:
@@ -73,29 +71,37 @@ def parts(text: Column, end: str = PARAGRAPH_END) -> Column:
     return F.flatten(F.transform(F.transform(atoms, lambda a: F.struct(a.alias("atoms"), ends(a).alias("ends"))), cut))
 
 
-def _vector(digest: Column, seed: Column) -> Column:
-    """Bigint number ``seed`` of the vector of the part with this digest:
-    lanes 2 * byte - 255, modulo 2**20."""
-    doubled = F.shiftleft(F.xxhash64(seed, digest).bitwiseAND(F.lit(_packed(0xFF))), 1)
-    return (doubled + F.lit(_packed(MODULUS - 255))).bitwiseAND(F.lit(LANES))
-
-
 def add(a: Column, b: Column) -> Column:
     """Fingerprint of the union of two multisets of paragraphs."""
-    return F.zip_with(a, b, lambda x, y: (x + y).bitwiseAND(F.lit(LANES)))
+    return F.zip_with(a, b, lambda x, y: x + y)
 
 
 def subtract(a: Column, b: Column) -> Column:
     """Fingerprint of a multiset without the paragraphs of ``b``."""
-    return F.zip_with(a, b, lambda x, y: (x + (F.lit(_packed(MODULUS)) - y)).bitwiseAND(F.lit(LANES)))
+    return F.zip_with(a, b, lambda x, y: x - y)
 
 
 def fingerprint(text: Column, width: int = WIDTH, end: str = PARAGRAPH_END) -> Column:
-    """array<bigint> of ``width``; all zero for a NULL or empty text."""
-    seeds = F.array(*[F.lit(i) for i in range(width)])
+    """array<bigint> of ``width``, a multiple of three; all zero for a NULL or
+    empty text."""
+    if width % len(PACKED):
+        raise ValueError(f"width {width} is no multiple of {len(PACKED)}")
+    seeds = F.array(*[F.lit(i) for i in range(width // len(PACKED))])
     digests = F.transform(parts(F.coalesce(text, F.lit("")), end), lambda p: F.xxhash64(p))
-    zero = F.array_repeat(F.lit(0).cast("bigint"), width)
-    return F.aggregate(digests, zero, lambda total, d: F.zip_with(total, seeds, lambda t, s: (t + _vector(d, s)).bitwiseAND(F.lit(LANES))))
+
+    def run(all_digests: Column, start: Column) -> Column:
+        """Lanes of RUN digests at most: twice the sum of their bytes, less 255 each."""
+        some = F.slice(all_digests, start + 1, F.lit(RUN))
+        zero = F.array_repeat(F.lit(0).cast("bigint"), width // len(PACKED))
+        packed = F.aggregate(some, zero, lambda total, d: F.zip_with(total, seeds, lambda t, s: t + F.xxhash64(s, d).bitwiseAND(F.lit(BYTES))))
+        less = F.size(some).cast("bigint") * 255
+        return F.flatten(F.transform(packed, lambda x: F.array(*[F.shiftright(x, s).bitwiseAND(F.lit((1 << 21) - 1)) * 2 - less for s in PACKED])))
+
+    def summed(all_digests: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(all_digests) - 1), F.lit(RUN))
+        return F.aggregate(starts, F.array_repeat(F.lit(0).cast("bigint"), width), lambda total, start: add(total, run(all_digests, start)))
+
+    return F.get(F.transform(F.array(digests), summed), F.lit(0))
 
 
 def to_hex(fp: Column) -> Column:
@@ -103,11 +109,7 @@ def to_hex(fp: Column) -> Column:
 
 
 def _dot(a: Column, b: Column) -> Column:
-    def lane(x: Column, shift: int) -> Column:
-        value = F.shiftright(x, shift).bitwiseAND(F.lit(MODULUS - 1))
-        return F.when(value >= MODULUS // 2, value - MODULUS).otherwise(value).cast("double")
-
-    products = F.zip_with(a, b, lambda x, y: sum((lane(x, s) * lane(y, s) for s in SHIFTS[1:]), lane(x, 0) * lane(y, 0)))
+    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
 
 

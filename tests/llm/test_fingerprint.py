@@ -106,3 +106,13 @@ def test_parts_depend_on_their_paragraph_alone(spark):
     pieces = [fp.parts(F.lit(t)) for t in (a, b, f"{a}\n{b}", "Short. Two.", "", "\n")]
     both = one(spark, *[p.alias(f"p{i}") for i, p in enumerate(pieces)])
     assert both.p2 == both.p0 + both.p1 and both.p3 == ["Short.", "Two."] and both.p4 == both.p5 == []
+
+
+def test_lanes_do_not_wrap_in_long_texts(spark):
+    docs = spark.createDataFrame([("Enau.",), ("Well then.",)], "part string")
+    for n in (1, fp.RUN, fp.RUN + 1, 10_000, 100_000):
+        many, less = (fp.fingerprint(F.repeat(F.concat("part", F.lit("\n")), F.lit(m))) for m in (n, n * 3 // 4))
+        got = docs.select(fp.fingerprint(F.col("part")).alias("once"), many.alias("many"), less.alias("less"), fp.likeness(many, less).alias("like"))
+        for r in got.collect():
+            assert r.many == [n * x for x in r.once] and all(x % 2 and -255 <= x <= 255 for x in r.once)
+            assert n == 1 or r.like > 0.999999, n
