@@ -11,6 +11,12 @@ its whole text.  A part of the sample is held back; on it the softmax gets its
 temperature, and the rejection its threshold: the lowest score from which on
 the accepted texts have at most ``MAX_ERROR`` wrong languages.
 
+The softmax only compares the learnt languages, and is sure of one for noise or
+another language as well.  A text is therefore also rejected if its subwords are
+too rare in the likeliest language: their mean log-likelihood lies further below
+that of held-back texts, in deviations for as many different subwords, than all
+but ``MAX_ODD`` of those.
+
 Prediction reads whole texts.  The mean and the linear layer commute, so the
 table is multiplied with the layer once, and a text costs one row of scores per
 subword.
@@ -36,6 +42,12 @@ STEPS, BATCH, RATE = 500, 64, 4.0
 #: One in so many sampled documents is held back for the calibration.
 CALIBRATION = 5
 MAX_ERROR = 0.01
+#: Share of held-back texts whose subwords may count as too rare, and the least
+#: deviations below the mean that do.
+MAX_ODD, MIN_DEVIATIONS = 0.002, 6.0
+#: Added to every count of subwords.  Languages with fewer held-back texts than
+#: this share the mean of all.
+SMOOTHING, MIN_TEXTS = 0.5, 20
 UNDETERMINED = "und"
 
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -60,6 +72,31 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
+@dataclass(frozen=True)
+class Typical:
+    """How likely subwords are in each language, and how likely its texts are."""
+
+    likely: np.ndarray  # log-probability of a subword in each language, float32
+    mean: np.ndarray  # of a text's mean log-likelihood, per language
+    between: float  # variance between texts
+    within: float  # variance between the subwords of a text
+    lowest: float  # deviations from the mean below which a text is rejected
+
+    def deviations(self, rows: np.ndarray, language: int) -> float:
+        mean, _, different = _likelihood(self.likely, rows, language)
+        return (mean - self.mean[language]) / np.sqrt(self.between + self.within / different)
+
+
+def _likelihood(likely: np.ndarray, rows: np.ndarray, language: int) -> tuple[float, float, float]:
+    """Mean and variance of the log-likelihoods of a text's subwords, and how many
+    independent ones would have such a mean: repeated ones say nothing new."""
+    found, counts = np.unique(rows, return_counts=True)
+    share = counts / len(rows)
+    value = likely[found, language].astype(np.float64)
+    mean = float(share @ value)
+    return mean, float(share @ (value - mean) ** 2), float(1 / (share @ share))
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
@@ -67,19 +104,23 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
+    typical: Typical | None = None
 
-    def probabilities(self, text: str) -> np.ndarray:
-        rows, total = windows(text), np.zeros(len(self.languages))
+    def probabilities(self, rows: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(self.languages))
         for start in range(0, len(rows), 1 << 18):
             total += self.scores[rows[start : start + (1 << 18)]].sum(0, dtype=np.float64)
         return _softmax((total / len(rows) + self.bias)[None] / self.temperature)[0]
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, bool]:
+        """Language, score, and whether the text is rejected."""
         if not text or not self.languages or not has_letter(text):
-            return UNDETERMINED, 0.0
-        p = self.probabilities(text)
+            return UNDETERMINED, 0.0, True
+        rows = windows(text)
+        p = self.probabilities(rows)
         best = int(p.argmax())
-        return self.languages[best], float(p[best])
+        odd = self.typical is not None and self.typical.deviations(rows, best) < self.typical.lowest
+        return self.languages[best], float(p[best]), odd or bool(p[best] < self.threshold)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -149,7 +190,22 @@ def train(
     held = np.flatnonzero(held)  # at least one: the first
     logits = table[rows[held]].mean(1) @ layer + bias
     temperature, threshold = _calibrated(logits, y[held], max_error)
-    return Model(languages, (table @ layer).astype(np.float32), bias, temperature, threshold)
+    typical = _typical(rows[fit], y[fit], rows[held], y[held], n)
+    return Model(languages, (table @ layer).astype(np.float32), bias, temperature, threshold, typical)
+
+
+def _typical(rows: np.ndarray, y: np.ndarray, held: np.ndarray, held_y: np.ndarray, n: int) -> Typical:
+    """Subwords counted in ``rows``, texts measured in ``held``."""
+    likely = np.empty((len(SIZES) * BUCKETS, n), np.float32)
+    for language in range(n):
+        counts = np.bincount(rows[y == language].ravel(), minlength=len(likely)) + SMOOTHING
+        likely[:, language] = np.log(counts / counts.sum())
+    mean, within, different = np.array([_likelihood(likely, r, language) for r, language in zip(held, held_y, strict=True)]).T
+    of = np.array([mean[held_y == k].mean() if (held_y == k).sum() >= MIN_TEXTS else mean.mean() for k in range(n)])
+    inside = max(float(within.mean()), 1e-6)
+    between = max(0.0, float(((mean - of[held_y]) ** 2 - inside / different).mean()))
+    deviations = (mean - of[held_y]) / np.sqrt(between + inside / different)
+    return Typical(likely, of, between, inside, min(-MIN_DEVIATIONS, float(np.quantile(deviations, MAX_ODD))))
 
 
 def _calibrated(logits: np.ndarray, y: np.ndarray, max_error: float) -> tuple[float, float]:
@@ -177,7 +233,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """One row per row of ``docs``: doc_id, lang_pred, score, rejected.
 
     A NULL text or one without a letter is ``und`` with score 0 and rejected;
-    others have the likeliest language, rejected below the model's threshold.
+    others have the likeliest language, rejected below the model's threshold or if
+    their subwords are too rare in it.
     Repeated rows are predicted each; only these two columns are read; an empty
     table gives an empty result."""
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
@@ -185,8 +242,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
             for doc_id, text in cells(batches, "doc_id", "text"):
-                lang, score = model.predict(text)
-                yield 64, {"doc_id": doc_id, "lang_pred": lang, "score": score, "rejected": lang == UNDETERMINED or score < model.threshold}
+                lang, score, rejected = model.predict(text)
+                yield 64, {"doc_id": doc_id, "lang_pred": lang, "score": score, "rejected": rejected}
 
         yield from in_batches(found(), schema)
 
@@ -200,8 +257,7 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.predict(batch.column(at)[i].as_py()) for i in range(batch.num_rows)]
-            keep = [lang != UNDETERMINED and score >= model.threshold for lang, score in found]
+            keep = [not model.predict(batch.column(at)[i].as_py())[2] for i in range(batch.num_rows)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return map_batches(docs, run, docs.schema)

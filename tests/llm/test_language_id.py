@@ -46,3 +46,31 @@ def test_rejection_is_calibrated():
     score = li._softmax(logits / temperature).max(1)
     assert score[~sure].max() < threshold <= score[sure].min()
     assert li._calibrated(logits[sure], y[sure], 0.02)[1] == 0.0
+
+
+def test_unlearnt_languages_and_noise_are_rejected(spark):
+    import random
+    import string
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(5)
+    clean = [r.text for r in docs.where(held_out() & (F.col("lang") == "en") & (F.length("text") > 200)).limit(60).collect()]
+    letters = string.ascii_lowercase + "   "
+    odd = {
+        "keys": ["".join(rng.choices("asdfghjkl;qwertyuiop ", k=300)) for _ in range(50)],
+        "random": ["".join(rng.choices(letters, k=300)) for _ in range(50)],
+        "base64": ["".join(rng.choices(string.ascii_letters + string.digits + "+/", k=300)) for _ in range(50)],
+        "shuffled": ["".join(rng.sample(t, len(t))) for t in clean],
+        "chinese": ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(100)) for _ in range(50)],
+    }
+    model = li.train(docs, ~held_out())
+    for kind, texts in odd.items():
+        assert sum(model.predict(t)[2] for t in texts) >= 0.95 * len(texts), kind
+    assert sum(model.predict(t)[2] for t in clean) <= 0.02 * len(clean)
+    for left_out in ("de", "fr"):
+        model = li.train(docs, ~held_out() & (F.col("lang") != left_out))
+        rows = docs.where(held_out() & (F.length("text") > 200)).select("doc_id", "lang").join(li.identify(docs, model), "doc_id").collect()
+        unlearnt = [r.rejected for r in rows if r.lang == left_out]
+        learnt = [r.rejected for r in rows if r.lang != left_out]
+        assert sum(unlearnt) >= 0.9 * len(unlearnt) > 0, left_out
+        assert sum(learnt) <= 0.02 * len(learnt), left_out
