@@ -14,6 +14,7 @@ from logcube.llm import bpe, html_extract, language_id
 from logcube.llm import fingerprint as fp
 from logcube.llm.common import table
 from logcube.llm.exact_dedup import exact_dedup
+from logcube.llm.hard_negatives import mine
 from logcube.llm.line_dedup import drop_boilerplate
 from logcube.llm.minhash import near_duplicates
 from logcube.llm.mixing import mix
@@ -110,6 +111,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), is_anchor=F.col("vec_id") % 100 == 0, label=label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
@@ -122,6 +128,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_source_mix": op9_source_mix,
         "op10_language_id": op10_language_id,
+        "op11_hard_negatives": op11_hard_negatives,
     }
 
 
@@ -196,4 +203,21 @@ SELECT doc_id, size, source_size, target,
        CASE WHEN shard_size = 0 THEN 0
             ELSE CAST(words // shard_size * size + least(size, greatest(0, words % shard_size - start)) AS BIGINT) END AS taken
 FROM dealt""",
+        "op11_hard_negatives": """WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM rows a, rows r WHERE a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM positives JOIN scored s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER best <= 5""",
     }

@@ -1,0 +1,131 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from logcube.llm import hard_negatives
+from logcube.llm.cover_tree import Forest, Windows, build, search
+from logcube.llm.hard_negatives import mine
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int, row bigint, slice int, score string"
+
+
+def brute_force(rows, anchors, k=5, low=80, high=100, scale=256):
+    """Rows are (id, vector, label), in Python's whole numbers."""
+    whole = sorted({(i, y, tuple(int(np.floor(scale * x)) for x in v)) for i, v, y in rows}, key=lambda r: (r[0] is None, r[0], r[1:]))
+
+    def score(a, b):
+        return sum(x * y for x, y in zip(a[2], b[2], strict=False))
+
+    def best(found):
+        return sorted(found, key=lambda r: (-r[0], r[1] is None, r[1]))[:k]
+
+    out = []
+    for a in whole:
+        if a[0] is None or not anchors(a[0]):
+            continue
+        others = [(score(a, b), b[0], b[1] == a[1]) for b in whole if b is not a]
+        for p, positive, _ in best([o for o in others if o[2]]):
+            inside = [o for o in others if not o[2] and low * p <= 100 * o[0] <= high * p]
+            out += [(a[0], positive, i + 1, n, p, s) for i, (s, n, _) in enumerate(best(inside))]
+    return sorted(out, key=str)
+
+
+def found(spark, rows, **more):
+    df = spark.createDataFrame([(i, v, y, 1, 2, "x") for i, v, y in rows], SCHEMA)
+    got = mine(df, F.col("vec_id") % 10 == 0, F.col("label"), **more)
+    assert got.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(map(tuple, got.collect()), key=str)
+
+
+def clustered(n, dims, seed):
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(size=(8, dims))
+    points = middles[rng.integers(0, 8, n)] + rng.normal(size=(n, dims)) * rng.choice([0.02, 0.3], (n, 1))
+    return [(i, [float(x) for x in points[i]], int(rng.integers(0, 3))) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_search_finds_what_all_scores_give(seed):
+    rng = np.random.default_rng(seed)
+    n, d = int(rng.integers(1, 300)), int(rng.integers(1, 16))
+    points = np.floor(rng.normal(size=(n, d)) * rng.choice([2, 50, 300]))
+    if seed % 3 == 0:
+        points = points[rng.integers(0, max(1, n // 5), n)] + np.floor(rng.normal(size=(n, d)) * 1.2)
+    if seed % 7 == 0:
+        points[:] = points[0]  # copies alone
+    labels, ids, rows = rng.integers(0, 3, n), rng.integers(0, 50, n), np.arange(n)
+    parts = [p for p in np.array_split(rng.permutation(n), 3) if len(p)]
+    trees = [build(points[p]) for p in parts]
+    sizes, order = [len(p) for p in parts], np.concatenate([p[t.order] for t, p in zip(trees, parts, strict=True)])
+    starts = np.cumsum([0, *sizes])
+    shift = np.repeat(starts[:-1], sizes)
+
+    def joined(name):
+        return np.concatenate([getattr(t, name) for t in trees])
+
+    norm = np.repeat([t.norm for t in trees], sizes)
+    forest = Forest(points[order], rows[order], ids[order], labels[order], joined("first") + shift, joined("last") + shift, joined("radius"), norm, starts[:-1])
+    asked = rng.integers(0, n, 6)
+    scores = points[asked] @ points.T
+    high = np.floor(rng.random(12) * scores.max())
+    for same, low, top in ((True, np.full(12, -np.inf), np.full(12, np.inf)), (False, np.floor(high * 0.6), high)):
+        query = np.repeat(np.arange(6), 2)
+        window, node, score = search(forest, points[asked], rows[asked], labels[asked], Windows(query, low, top, 5, same))
+        for w, q in enumerate(query):
+            fits = [(-scores[q, r], ids[r], r) for r in rows if r != asked[q] and (labels[r] == labels[asked[q]]) == same and low[w] <= scores[q, r] <= top[w]]
+            got = sorted((-s, ids[forest.rows[x]], forest.rows[x]) for v, x, s in zip(window, node, score, strict=True) if v == w)
+            assert got == sorted(fits)[:5]
+
+
+def test_radii_cover_what_lies_below():
+    points = np.floor(np.array([v for _, v, _ in clustered(300, 6, 3)]) * 256)
+    tree = build(points)
+    assert sorted(tree.order) == list(range(300))
+    squares = (points**2).sum(axis=1)
+    around = np.column_stack([points, np.sqrt(squares.max() - squares)])[tree.order]
+
+    def below(i):
+        for c in range(tree.first[i], tree.last[i]):
+            yield c
+            yield from below(c)
+
+    for i in range(300):
+        far = [float(np.linalg.norm(around[i] - around[c])) for c in below(i)]
+        assert max(far, default=0) <= tree.radius[i] + 1e-6
+        assert all(tree.radius[c] <= tree.radius[i] / 2 + 1e-6 or not len(list(below(c))) for c in range(tree.first[i], tree.last[i]) if tree.radius[i] > 0)
+
+
+def test_negatives_of_many_blocks_and_slices(spark, monkeypatch):
+    rows = clustered(400, 5, 1) + [(i, [0.5, 0.25, 0.0, 1.0, -1.0], i % 2) for i in range(400, 520)]  # copies with ties
+    want = brute_force(rows, lambda i: i % 10 == 0)
+    assert len(want) > 200
+    assert found(spark, rows) == want
+    monkeypatch.setattr(hard_negatives, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(hard_negatives, "GROUP_ANCHORS", 7)
+    assert found(spark, rows) == want
+    assert found(spark, rows, positives=2, negatives=3, window=(50, 90)) != want
+
+
+def test_awkward_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, v, y) for i, v, y in clustered(60, 3, 2)]
+    odd = [(100, None, 1), (110, [1.0, None, 2.0], 1), (120, [nan, 1.0, 1.0], 1), (130, [1.0, inf, 1.0], 0), (140, [1.0, 1.0, 1.0], None)]
+    fine = [(None, [1.0, 0.0, 1.0], 0), (None, [1.0, 0.0, 1.0], 1), (10, [0.1, 0.2, 0.3], 2), (20, [1.0], 1), (31, [], 0), (-40, [0.0, 0.0, 0.0], 1)]
+    assert found(spark, rows + odd + fine + rows[:9]) == brute_force(rows + fine, lambda i: i % 10 == 0)  # repeated rows count once
+    assert found(spark, odd) == [] and found(spark, []) == []
+
+
+def test_scores_beyond_floating_point(spark):
+    rows = [(i, [float(2**40 + i), float(2**41 - 7 * i), 1.0], i % 2) for i in range(24)]
+    got = found(spark, rows, scale=1.0 / 2**18)
+    assert got == brute_force(rows, lambda i: i % 10 == 0, scale=1.0 / 2**18)
+    huge = [(i, [3e300, float(i)], i % 2) for i in range(12)]  # beyond a long: the greatest long, and so ties
+    got = found(spark, huge)
+    assert {r[4:] for r in got} == {(2**63 - 1, 2**63 - 1)}
+    assert sorted({r[3] for r in got if r[0] == 0}) == [1, 3, 5, 7, 9] and sorted({r[1] for r in got if r[0] == 0}) == [2, 4, 6, 8, 10]
+
+
+def test_vectors_of_floats_become_whole_numbers():
+    lists = pa.array([[0.5, -0.001], [1.0], []], pa.list_(pa.float32()))
+    assert hard_negatives.matrix(lists, 256).tolist() == [[128.0, -1.0], [256.0, 0.0], [0.0, 0.0]]

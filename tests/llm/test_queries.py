@@ -16,8 +16,8 @@ from tests.llm.conftest import SF
 from tests.llm.test_minhash import expected as near_groups
 from tests.llm.test_mixing import check as check_mix
 
-TABLES = ("documents", "pages")
-NAMES = [f"op{n}_" for n in range(1, 11)]
+TABLES = ("documents", "embeddings", "pages")
+NAMES = [f"op{n}_" for n in range(1, 12)]
 
 
 @pytest.fixture(scope="module")
