@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from logcube.llm import bpe, html_extract, language_id
+from logcube.llm import bpe, html_extract, language_id, quality_crf
 from logcube.llm import fingerprint as fp
 from logcube.llm.common import table
 from logcube.llm.exact_dedup import exact_dedup
@@ -116,6 +116,13 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(table(spark, sf_dir, "embeddings"), is_anchor=F.col("vec_id") % 100 == 0, label=label)
 
 
+def op13_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    field = quality_crf.train(docs, table(spark, sf_dir, "labels"), learn=~held_out)
+    return quality_crf.judge(docs, field)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
@@ -129,6 +136,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_source_mix": op9_source_mix,
         "op10_language_id": op10_language_id,
         "op11_hard_negatives": op11_hard_negatives,
+        "op13_quality_lines": op13_quality_lines,
     }
 
 
