@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from logcube.llm import bpe, html_extract, language_id, quality_crf
 from logcube.llm import fingerprint as fp
+from logcube.llm.alignment import align_tokenizers
 from logcube.llm.common import table
 from logcube.llm.exact_dedup import exact_dedup
 from logcube.llm.hard_negatives import mine
@@ -116,6 +117,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(table(spark, sf_dir, "embeddings"), is_anchor=F.col("vec_id") % 100 == 0, label=label)
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path_a, path_b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_tokenizers(table(spark, sf_dir, "documents"), path_a, path_b)
+
+
 def op13_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -136,6 +142,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_source_mix": op9_source_mix,
         "op10_language_id": op10_language_id,
         "op11_hard_negatives": op11_hard_negatives,
+        "op12_tokenizer_alignment": op12_tokenizer_alignment,
         "op13_quality_lines": op13_quality_lines,
     }
 

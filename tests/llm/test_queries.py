@@ -17,7 +17,7 @@ from tests.llm.test_minhash import expected as near_groups
 from tests.llm.test_mixing import check as check_mix
 
 TABLES = ("documents", "embeddings", "pages")
-NAMES = [f"op{n}_" for n in (*range(1, 12), 13)]
+NAMES = [f"op{n}_" for n in range(1, 14)]
 
 
 @pytest.fixture(scope="module")
