@@ -1,10 +1,13 @@
 """Leaf blocks of an HTML page, in page order, with their tag paths.
 
 A block is the text between two block-level tags; inline tags do not split it,
-and a line break inside it is white space.  Scripts, styles, comments and the
-like have no blocks.  Missing and stray end tags are taken as browsers take
-them: a paragraph ends where the next block-level element starts, an end tag
-closes what is open inside its element, and one without a start is ignored.
+and a line break inside it is white space.  Scripts, styles, comments, text areas,
+titles and templates have no blocks; all other elements do, also drawings,
+formulas, frames and what stands for them, and a labeller may decide on them.
+Missing and stray end tags are taken as browsers take them: a paragraph ends where
+the next block-level element starts, which also ends a drawing or formula, an end
+tag closes what is open inside its element, and one without a start is ignored.
+An element that closes itself has no content, whatever it is.
 """
 
 from __future__ import annotations
@@ -13,8 +16,16 @@ import re
 from dataclasses import dataclass
 from html import unescape
 
-#: Elements without blocks: their content up to their end tag is skipped.
-SKIPPED = "script|style|noscript|template|title|svg|math|iframe|object|textarea"
+#: Elements whose content is no markup: it is skipped up to their end tag.
+SKIPPED = "script|style|title|textarea"
+#: Elements whose content is markup but never shown.
+UNSEEN = "template"
+#: Drawings and formulas, and the elements that stand inside a line of them.
+FOREIGN = frozenset(["svg", "math"])
+FOREIGN_INLINE = frozenset(
+    "svg g defs symbol use path circle ellipse line polygon polyline rect text tspan textpath image lineargradient radialgradient stop clippath mask desc metadata"
+    " math mi mo mn ms mtext mspace mrow mfrac msqrt mroot msup msub msubsup munder mover munderover mmultiscripts mprescripts mstyle merror mpadded mphantom menclose semantics annotation".split()
+)
 #: Elements that stand inside a line of text.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
@@ -25,7 +36,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPES = frozenset(["ul", "ol", "dl", "table", "select"])
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({SKIPPED})\b[^>]*+>.*?(?:</\1\b[^>]*+>|\Z)|<[!?][^>]*+>"
+    rf"<!--.*?(?:-->|\Z)|<({SKIPPED})\b[^>]*+(?<!/)>.*?(?:</\1\b[^>]*+>|\Z)|<[!?][^>]*+>"
     r"|<(/?)([a-z][a-z0-9:-]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>",
     re.S | re.I,
 )
@@ -57,11 +68,11 @@ def blocks(html: str) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     path: tuple[str, ...] | None = None
-    links = link_chars = 0
+    links = link_chars = unseen = foreign = 0
 
     def text(raw: str) -> None:
         nonlocal path, link_chars
-        if raw:
+        if raw and not unseen:
             parts.append(raw)
             if path is None and not raw.isspace():
                 path = tuple(name for _, names in stack for name in names)
@@ -79,8 +90,10 @@ def blocks(html: str) -> list[Block]:
         path, link_chars = None, 0
 
     def close(at: int) -> None:
-        nonlocal links
+        nonlocal links, unseen, foreign
         links -= sum(tag == "a" for tag, _ in stack[at:])
+        unseen -= sum(tag == UNSEEN for tag, _ in stack[at:])
+        foreign -= sum(tag in FOREIGN for tag, _ in stack[at:])
         del stack[at:]
 
     done = 0
@@ -94,7 +107,8 @@ def blocks(html: str) -> list[Block]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag not in INLINE:
+        inline = tag in INLINE or tag in FOREIGN_INLINE
+        if not inline:
             end_block()
         if m[2]:
             for at in range(len(stack) - 1, -1, -1):
@@ -104,7 +118,9 @@ def blocks(html: str) -> list[Block]:
             continue
         if tag in VOID or m[4].endswith("/"):
             continue
-        if tag not in INLINE:
+        if not inline:
+            if foreign:
+                close(next(at for at in range(len(stack)) if stack[at][0] in FOREIGN))
             for at in range(len(stack) - 1, -1, -1):
                 if stack[at][0] == "p" or stack[at][0] in CLOSES.get(tag, ()):
                     close(at)
@@ -112,6 +128,8 @@ def blocks(html: str) -> list[Block]:
                 if stack[at][0] in SCOPES or stack[at][0] not in INLINE and stack[at][0] not in ("td", "th"):
                     break
         links += tag == "a"
+        unseen += tag == UNSEEN
+        foreign += tag in FOREIGN
         stack.append((tag, _names(tag, m[4])))
     text(html[done:])
     end_block()

@@ -18,6 +18,9 @@ MAIN = [
 LINK_LISTS = ["<nav>", '<div class="menu">', '<ul class="nav navbar">', '<div id="navigation">', '<aside class="sidebar">', '<div class="sidebar widget">', '<div class="related-posts">', '<div class="share social">', '<div class="breadcrumb">', '<ol class="pagination">', "<aside>", '<div class="tags">']
 TEXTS = ["<nav>", '<div class="menu">', "<header>", '<div class="header banner">', "<footer>", '<div id="footer">', '<div class="ad">', '<div class="ads advert">', '<aside class="sponsored promo">', '<div class="cookie-notice">', '<div class="notice alert">', '<div class="newsletter subscribe">', '<div class="popup modal">', '<p class="copyright">', '<aside class="sidebar">', '<div class="advertisement">', '<section class="promo">', '<div class="consent">']
 COMMENTS = ['<div id="comments">', '<section class="comments">', '<ol class="commentlist">', '<div class="comment-thread reader-comments">', '<div class="discussion replies">', '<aside class="comments">']
+#: What embeds other content, or stands for it: main text or not by where it is.
+EMBEDDED = ["<noscript>{}</noscript>", "<noscript><p>{}</p></noscript>", '<object data="/x"><p>{}</p></object>', '<iframe src="/x">{}</iframe>']
+DRAWN = ['<svg class="icon"/>', '<svg viewBox="0 0 8 8"><path d="M0 0"/></svg>', '<svg class="chart"><g><text>{}</text></g></svg>', "<math><mi>{}</mi><mo>=</mo><mn>{}</mn></math>", '<iframe src="/x" />', '<svg class="i">']
 FORMS = ["<form>", '<form class="search">', '<form id="login">', '<div class="form contact"><form>']
 MARK = "\x02"  # before every word of the main text; never in a page
 
@@ -44,6 +47,9 @@ def _boilerplate(rng: random.Random) -> str:
         if rng.random() < 0.25:  # links in a line
             items = rng.choice([" ", " | ", ""]).join(re.findall("<a .*?</a>", items))
         return f"{tag}<ul>{items}</ul>{_ends(tag)}" if rng.random() < 0.7 and "<li>" in items else f"{tag}{items}{_ends(tag)}"
+    if kind < 0.41:
+        tag, body = rng.choice(TEXTS), rng.choice(EMBEDDED + DRAWN)
+        return f"{tag}{body.format(*[_words(rng, _length(rng)) for _ in range(2)])}<p>{_words(rng, _length(rng))}</p>{_ends(tag)}"
     if kind < 0.75:
         tag, body = rng.choice(TEXTS), _words(rng, _length(rng))
         return f"{tag}{body}{_ends(tag)}" if rng.random() < 0.6 else f"{tag}<p>{body}</p><p>{_words(rng, _length(rng))}</p>{_ends(tag)}"
@@ -63,6 +69,10 @@ def _main(rng: random.Random) -> str:
     out = [f"<h1>{text()}</h1>"] if rng.random() < 0.8 else []
     for _ in range(rng.choice([1, 1, 2, 3, 5, 8, 13, 25])):
         form = rng.choice(forms)
+        if rng.random() < 0.06:
+            form = rng.choice(EMBEDDED)
+        elif rng.random() < 0.06:
+            form = rng.choice(["<p>{} DRAWN {}</p>", "<p>DRAWN{}</p>", "<div>DRAWN</div><p>{}</p>", "DRAWN<p>{}</p>"]).replace("DRAWN", rng.choice(DRAWN))
         out.append(form.format(*[text() for _ in range(form.count("{}"))]))
         if rng.random() < 0.08:
             out.append(_boilerplate(rng))
