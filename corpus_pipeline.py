@@ -70,13 +70,14 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and sha256 of the ids (decimal, joined by a space)
     and of the bytes that they decode to."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).select(
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         "ids",
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    return bpe.decode(encoded, ranks).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 STAGES = [

@@ -9,14 +9,18 @@ overlap, they agree from there, and are stitched at that place.  The pieces
 between stitches are whole pre-tokens; each is encoded by itself, and a text's
 ids are its pieces' ids in order.  Decoding concatenates the bytes of the ids.
 
-A text of one chunk needs no stitch and never leaves its task.  A text with an
-overlap that has no common boundary (a run of letters or of white space longer
-than it) is encoded whole.
+A text of one chunk is the degenerate case: there is nothing to stitch, and it
+never leaves its task.  A text with an overlap that has no common boundary (a run
+of letters or of white space longer than it) is encoded whole.  Wherever a text is
+encoded, its long runs of white space are set apart first, by the rule that such a
+run, without its last character if another one follows, is one pre-token: the
+library would search the run backwards, and gives up on very long ones.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -32,6 +36,10 @@ OVERLAP_CHARS = 512
 #: A boundary counts only with so many more characters of its chunk behind it:
 #: the chunk's end may cut a contraction ('re, 've) or a run short.
 MARGIN = 8
+#: White space (Unicode's), and how many in a row are a long run.
+WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 1 << 16
+_LONG_RUNS = re.compile(f"[{WHITE_SPACE}]{{{LONG_RUN},}}+")
 
 
 @lru_cache(maxsize=4)
@@ -64,25 +72,56 @@ def boundaries(chunk: str, pattern: str) -> list[int]:
     return [m.end() for m in _compiled(pattern).finditer(chunk) if m.end() <= last and not chunk[m.end() - 1].isspace()]
 
 
-def _encode_pieces(ranks_path: str, pattern: str, keep: dict[str, pa.DataType]) -> tuple[Callable, pa.Schema]:
-    schema = pa.schema([*keep.items(), ("ids", pa.list_(pa.int32()))])
+def without_long_runs(text: str) -> list[tuple[str, bool]]:
+    """``text`` in pieces whose pre-tokens are the text's; with True, a piece is one
+    pre-token: a long run of white space up to the end, or but for its last
+    character before another."""
+    if len(text) < LONG_RUN:
+        return [(text, False)]
+    pieces, done = [], 0
+    for m in _LONG_RUNS.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        pieces += [(text[done : m.start()], False), (text[m.start() : end], True)]
+        done = end
+    return [*pieces, (text[done:], False)]
+
+
+def encode_text(text: str, ranks_path: str, pattern: str) -> np.ndarray:
+    """The ids of a text (int32)."""
+    encoding, ids = _encoding(ranks_path, pattern), []
+    for piece, is_pretoken in without_long_runs(text):
+        if is_pretoken:
+            ids.append(np.array(encoding._encode_single_piece(piece), np.int32))
+        else:
+            ids.append(encoding.encode_to_numpy(piece, disallowed_special=()).astype(np.int32))
+    return ids[0] if len(ids) == 1 else np.concatenate(ids)
+
+
+def decode_ids(ids: np.ndarray, ranks_path: str) -> bytes:
+    """The bytes of ids, in order."""
+    return b"".join(map(_id_bytes(ranks_path).__getitem__, ids.tolist()))
+
+
+def _encode_pieces(ranks_path: str, pattern: str, keep: dict[str, pa.DataType], decoded: bool) -> Callable:
+    schema = pa.schema([*keep.items(), ("ids", pa.list_(pa.int32())), *([("decoded", pa.binary())] if decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(ranks_path, pattern)
         for batch in batches:
             texts, done = batch.column("text"), 0
             while done < batch.num_rows:
                 ids, size, first = [], 0, done
                 while done < batch.num_rows and size < FLUSH_BYTES:
-                    ids.append(encoding.encode_to_numpy(texts[done].as_py(), disallowed_special=()).astype(np.int32))
+                    ids.append(encode_text(texts[done].as_py(), ranks_path, pattern))
                     size += ids[-1].nbytes
                     done += 1
                 ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+                out = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))]
+                if decoded:
+                    out.append(pa.array([decode_ids(i, ranks_path) for i in ids], pa.binary()))
                 kept = [batch.column(n).slice(first, done - first) for n in keep]
-                yield pa.RecordBatch.from_arrays([*kept, lists], schema=schema)
+                yield pa.RecordBatch.from_arrays([*kept, *out], schema=schema)
 
-    return run, schema
+    return run
 
 
 def _cut(chunk_chars: int, overlap_chars: int) -> tuple[Callable, pa.Schema]:
@@ -124,8 +163,11 @@ def encode(
     text_col: str = "text",
     chunk_chars: int = CHUNK_CHARS,
     overlap_chars: int = OVERLAP_CHARS,
+    decoded: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, ids (array<int>), without special tokens.
+    """One row per row of ``docs``: doc_id, ids (array<int>), without special
+    tokens; with ``decoded``, the bytes that the ids decode to as well, from the same
+    tasks (``decode`` does that for stored ids).
 
     NULL texts count as empty and have no ids; repeated rows are encoded each;
     other columns are not read; an empty table gives an empty result."""
@@ -151,18 +193,21 @@ def encode(
 
     piece = F.expr("substring(text, start + 1, if(last, length(text), stop - start))")
     pieces = chunks.join(stitches.where("not apart"), ["row_id", "chunk"]).select("row_id", "chunk", piece.alias("text"))
-    run, _ = _encode_pieces(ranks_path, pattern, {"row_id": pa.int64(), "chunk": pa.int32()})
-    pieces = map_batches(pieces, run, "row_id bigint, chunk int, ids array<int>")
-    joined = pieces.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("pieces"))  # one text's
-    joined = joined.select("row_id", F.flatten("pieces.ids").alias("ids"))
-    stitched = longer.select("row_id", "doc_id").join(joined, "row_id").select("doc_id", "ids")
+    found = ["ids", "decoded"] if decoded else ["ids"]
+    out = "ids array<int>" + (", decoded binary" if decoded else "")
+    run = _encode_pieces(ranks_path, pattern, {"row_id": pa.int64(), "chunk": pa.int32()}, decoded)
+    pieces = map_batches(pieces, run, f"row_id bigint, chunk int, {out}")
+    joined = pieces.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("chunk", *found))).alias("pieces"))  # one text's
+    whole_bytes = F.unhex(F.array_join(F.transform("pieces.decoded", F.hex), "")) if decoded else F.lit(None)
+    joined = joined.select("row_id", F.flatten("pieces.ids").alias("ids"), whole_bytes.alias("decoded"))
+    stitched = longer.select("row_id", "doc_id").join(joined, "row_id").select("doc_id", *found)
 
     # Not stitched: texts of one chunk, and those with an overlap that agrees nowhere.
     apart = stitches.where("apart and chunk = 0").select("row_id")
     rest = whole.unionByName(longer.join(apart, "row_id", "left_semi").select("doc_id", "text"))
     doc_type = pa.int64() if id_type == "bigint" else pa.int32() if id_type == "int" else pa.string()
-    run, _ = _encode_pieces(ranks_path, pattern, {"doc_id": doc_type})
-    return map_batches(rest, run, f"doc_id {id_type}, ids array<int>").unionByName(stitched)
+    run = _encode_pieces(ranks_path, pattern, {"doc_id": doc_type}, decoded)
+    return map_batches(rest, run, f"doc_id {id_type}, {out}").unionByName(stitched)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -172,14 +217,13 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*names).schema) + ", decoded binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _id_bytes(ranks_path)
         for batch in batches:
             lists, done = batch.column(ids_col), 0
             while done < batch.num_rows:
                 texts, size, first = [], 0, done
                 while done < batch.num_rows and size < FLUSH_BYTES:
                     ids = lists[done].values
-                    texts.append(b"".join(map(table.__getitem__, ids.to_numpy().tolist())) if ids is not None else b"")
+                    texts.append(decode_ids(ids.to_numpy(), ranks_path) if ids is not None else b"")
                     size += len(texts[-1])
                     done += 1
                 part = batch.slice(first, done - first)

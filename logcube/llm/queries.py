@@ -67,15 +67,13 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    encoded = encoded.select(
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id",
-        "ids",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    decoded = bpe.decode(encoded, ranks)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
