@@ -1,8 +1,11 @@
 import datetime as dt
+import random
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from logcube.operators.cube import rollup_counts
+from logcube.operators.cube import grouping_number, plan_lattice, rollup_counts
 from logcube.plans.specs import SPECS
 from tests.fixtures import D0, fact, facts_frame
 
@@ -81,3 +84,46 @@ def test_empty_input_gives_no_rows(spark):
     spec = SPECS["install_v2"]
     empty = frame(spark).where("false")
     assert rollup_counts(empty, spec.keys, spec.grouping_sets).count() == 0
+
+
+def test_lattice_is_planned_from_the_sets():
+    spec = SPECS["open_v2"]
+    top = ("source", "site", "fsk_catalog")
+    assert plan_lattice(spec.grouping_sets, spec.keys) == {top: [tuple(k for k in spec.keys if k in s) for s in spec.grouping_sets[1:]]}
+    assert plan_lattice([["a", "b", "c"], ["a", "b"], ["c"], ["b"], []], "abc") == {("a", "b"): [("a", "b"), ("b",)], ("c",): [("c",), ()]}
+    assert plan_lattice([["b", "a"], []], ["a", "b"]) == {(): [()]}
+    assert [grouping_number(s, "abc") for s in ("abc", "ab", "c", "")] == [0, 1, 6, 7]
+
+
+SETS = [
+    [["a", "b", "c"], ["a", "b"], ["b", "c"], ["a"], []],
+    [["a", "b"], ["c"], ["b"]],  # no detail, two tops
+    [["a", "b", "c"], []],
+    [[]],
+    [["a", "b", "c"]],
+]
+
+
+@pytest.mark.parametrize("sets", SETS)
+@pytest.mark.parametrize("weight", [None, "events"])
+def test_lattice_equals_the_expansion_and_plain_counting(spark, sets, weight):
+    rng = random.Random(len(sets))
+    users = [None, "bot", "bot", "bot", *[f"u{i}" for i in range(20)]]  # one user has many rows
+    rows = [(D0 - dt.timedelta(rng.randint(0, 2)), rng.choice([None, "x", "y"]), rng.choice([None, 0, 1]), rng.choice("pqr"), rng.choice(users), rng.randint(1, 3)) for _ in range(600)]
+    df = spark.createDataFrame(rows, "date date, a string, b int, c string, custom_uuid string, events int")
+    a, b = (rollup_counts(df, ["a", "b", "c"], sets, lattice=x, weight=weight) for x in (True, False))
+    assert a.dtypes == b.dtypes
+    got, expanded = (sorted(map(str, x.collect())) for x in (a, b))
+    want = []
+    for s in sets:
+        plays, seen = Counter(), {}
+        for day, x, y, z, user, n in rows:
+            values = {"a": x, "b": y, "c": z}
+            group = (day, *[values[k] if k in s else None for k in "abc"], grouping_number(s, "abc"))
+            seen.setdefault(group, set())
+            if user is not None:
+                plays[group] += n if weight else 1
+                seen[group].add(user)
+        want += [(*g, plays[g], len(u)) for g, u in seen.items()]
+    assert got == expanded
+    assert sorted(map(str, [tuple(r)[:-1] for r in a.collect()])) == sorted(map(str, want))

@@ -5,6 +5,10 @@ import datetime as dt
 import re
 import tempfile
 
+from pyspark.sql import functions as F
+
+from logcube.operators.cube import rollup_counts
+from logcube.operators.enrich import enrich
 from logcube.plans import daily, reports
 from logcube.plans.specs import SPECS
 from logcube.sources import bridge
@@ -24,7 +28,7 @@ def shuffles(plan: str) -> int:
 
 
 def test_growth_is_three_hash_shuffles_and_a_broadcast(spark):
-    df = reports.growth(bridge.facts(spark, SF), bridge.catalog(spark, SF), SPECS["open_v2"])
+    df = reports.growth(bridge.facts(spark, SF), bridge.catalog(spark, SF), SPECS["open_v1"])
     plan = plan_of(df)
     # distinct phase, final aggregate, window -- for any number of days
     assert shuffles(plan) == 3
@@ -32,6 +36,21 @@ def test_growth_is_three_hash_shuffles_and_a_broadcast(spark):
     assert "Window" in plan and "Expand" in plan
 
 
+def test_a_lattice_of_sets_shuffles_users_three_times(spark):
+    """However many sets: the detail tuples (one exchange for both that read
+    them), a top's tuples, and these by user; then counts per group."""
+    facts = bridge.facts(spark, SF).where(F.col("kind").isin("app_open", "game_open"))
+    rich = enrich(facts, bridge.catalog(spark, SF), "conditional", "fsk_catalog")
+    spec = SPECS["open_v2"]
+    out = rollup_counts(rich, spec.keys, spec.grouping_sets)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    own = "\n".join(line for line in plan.splitlines() if "ReusedExchange" not in line)
+    of_users = [e for e in re.findall(r"Exchange hashpartitioning\(([^)]*)", own) if "custom_uuid" in e]
+    assert len(of_users) == 3 and "Expand" not in plan and "ReusedExchange" in plan
+    assert sum(e.count("#") == 2 for e in of_users) == 1  # by (date, user) alone
+
+
 def test_one_day_report_reads_three_fact_partitions(spark, scratch):
     root = tempfile.mkdtemp(prefix="plogs-", dir=scratch)
     facts_root = tempfile.mkdtemp(prefix="pfacts-", dir=scratch)
