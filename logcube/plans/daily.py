@@ -13,22 +13,21 @@ import datetime as _dt
 from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logcube.operators.broadcast import DEFAULT_MAX_ROWS, fits
 from logcube.operators.enrich import DEFAULT_SALT_BUCKETS, enrich
-from logcube.operators.events import parse_events
 from logcube.operators.funnel import LIVE_STAGES, stage_rows
 from logcube.plans import reports
 from logcube.plans.backfill import run_days_to_report_days
 from logcube.plans.checkpoints import materialize
+from logcube.plans.ingest import write_lines
 from logcube.plans.specs import DOWNLOAD_V2, INSTALL_V2, OPEN_V2, GrowthSpec
 from logcube.schemas import EVENT_KINDS
-from logcube.sources.facts import read_facts, write_facts
-from logcube.sources.raw_logs import CORRUPT, DEFAULT_LAYOUT, bad_lines, read_raw_logs, require_input
+from logcube.sources.facts import Overtaken, day_runs, read_facts, replace_days
+from logcube.sources.raw_logs import DEFAULT_LAYOUT, read_raw_logs, require_input
 
 Sink = Callable[[str, DataFrame, list], None]
 
@@ -44,6 +43,8 @@ GROWTH_TARGETS = {
     "open_hybrid": "app_open_report_hybrid",
 }
 TRIAL = "_"
+#: An ingest that a stream has overtaken starts again, so many times.
+ATTEMPTS = 5
 
 
 def growth_targets(specs: Sequence[GrowthSpec], trial: bool = False) -> dict[str, str]:
@@ -73,41 +74,23 @@ def ingest_days(
     """S1, S2, P1-P7, K1 for a range of log days in one job.
 
     The days hold the rows of their present logs afterwards, and of no earlier
-    ingest.  Returns the number of lines, of ``corrupt`` and of ``undated`` ones
-    (counted while writing); if there are such, they are stored under
-    ``<fact_root>/bad_lines/run=<run>`` (log_date, log_file, reason, line)."""
-    days = list(days)
-    if not days:
-        return {"lines": 0, "corrupt": 0, "undated": 0}
-    files = require_input(spark, log_root, days, layout)
-    raw = read_raw_logs(spark, log_root, days, layout=layout, check_input=False)
-    seen = Observation()
-    run = write_facts(parse_events(raw.observe(seen, *_line_counts()), kinds, tz), fact_root, files, fmt=fmt)
-    counts = _observed(seen) or _counted(raw)
-    if counts["corrupt"] or counts["undated"]:
-        bad_lines(raw).write.parquet(f"{fact_root.rstrip('/')}/bad_lines/run={run}")
-    return counts
-
-
-def _line_counts() -> list[Column]:
-    undated = F.col(CORRUPT).isNull() & F.col("rectime").isNull()
-    return [F.count("*").alias("lines"), F.count(CORRUPT).alias("corrupt"), F.count_if(undated).alias("undated")]
-
-
-def _observed(seen: Observation) -> dict[str, int] | None:
-    """What was observed, or None: without any event, Spark cuts the whole
-    plan of the write short, and the observation with it."""
-    try:
-        return {k: int(v or 0) for k, v in seen.get.items()} or None
-    except Py4JJavaError as e:
-        if "AssertionError" not in str(e.java_exception):
-            raise
-        return None
-
-
-def _counted(raw: DataFrame) -> dict[str, int]:
-    # All fields are selected first, as Spark tells corrupt lines only then.
-    return {k: int(v or 0) for k, v in raw.select("data", "rectime", CORRUPT).agg(*_line_counts()).first().asDict().items()}
+    ingest; runs that a stream adds meanwhile stay (see ``sources.facts``).
+    Returns the number of lines, of ``corrupt`` and of ``undated`` ones (counted
+    while writing); if there are such, they are stored with the run
+    (``facts.read_bad_lines``: log_date, log_file, reason, line)."""
+    days = [str(d) for d in days]
+    total = {"lines": 0, "corrupt": 0, "undated": 0}
+    for _ in range(ATTEMPTS):
+        if not days:
+            return total
+        # First what is in force, then the logs: a run that comes in between is not lost.
+        found = {day: [r["run"] for r in runs] for day, runs in day_runs(spark, fact_root, days).items()}
+        files = require_input(spark, log_root, days, layout)
+        raw = read_raw_logs(spark, log_root, days, layout=layout, check_input=False)
+        run, counts = write_lines(raw, fact_root, files, kinds, tz, fmt)
+        total = {k: total[k] + counts[k] for k in total}
+        days = replace_days(spark, fact_root, run, files, found)  # those overtaken, once more
+    raise Overtaken(f"{days}: other writers were first {ATTEMPTS} times")
 
 
 def stage_facts(spark: SparkSession, fact_root: str, days: Iterable, event_days: Iterable | None = None, fmt: str = "orc") -> DataFrame:

@@ -15,13 +15,15 @@ import datetime as _dt
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logcube.schemas import RAW_LOG
 
 CORRUPT = "_corrupt_record"
+#: ``rectime``, which is read as text, as epoch milliseconds.
+EPOCH_MS = "try_cast(try_cast(trim(rectime) AS DECIMAL(38, 6)) AS BIGINT)"
 
 
 class NoInputError(RuntimeError):
@@ -98,31 +100,48 @@ def read_raw_logs(
     return with_log_columns(line_reader(spark.read, schema).json(paths))
 
 
+def line_schema(schema: T.StructType) -> T.StructType:
+    """``schema`` as lines are read: ``rectime`` as text, and the corrupt record."""
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "rectime" else f for f in schema.fields]
+    return T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+
+
 def line_reader(reader, schema: T.StructType):
     """``spark.read`` or ``spark.readStream`` set up for log lines."""
-    fields = [T.StructField(f.name, T.StringType()) if f.name == "rectime" else f for f in schema.fields]
-    full = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
-    return reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.schema(line_schema(schema)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
 
 
 def with_log_columns(lines: DataFrame) -> DataFrame:
-    """Lines with ``rectime`` as epoch milliseconds (NULL if it is no number),
-    its text as ``rectime_text``, and ``log_date`` and ``log_file`` of their file."""
+    """Lines with ``rectime`` as epoch milliseconds (NULL if it is no number)
+    and ``log_date`` and ``log_file`` of their file."""
     return lines.withColumns({
-        "rectime_text": F.col("rectime"),
-        "rectime": F.expr("try_cast(try_cast(trim(rectime) AS DECIMAL(38, 6)) AS BIGINT)"),
+        "rectime": F.expr(EPOCH_MS),
         "log_date": log_date_of_path(F.col("_metadata.file_path")),
         "log_file": F.col("_metadata.file_path"),
     })
 
 
-def bad_lines(lines: DataFrame) -> DataFrame:
-    """The lines that no dated report reads: log_date, log_file, reason and the
-    text.  ``corrupt``: no JSON of the schema; ``undated``: no number as rectime."""
+def parse_lines(lines: DataFrame, schema: T.StructType = RAW_LOG, text: Column | None = None) -> DataFrame:
+    """``lines`` (log_date, log_file, line) read like log files: the fields of
+    their JSON (of ``text``, an expression on ``line``, if given), with rectime as
+    epoch milliseconds, and ``reason``: why no dated report reads it, if so.
+    ``corrupt``: no JSON of the schema; ``undated``: no number as rectime."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    full = line_schema(schema)
+    parsed = lines.select("log_date", "log_file", "line", F.from_json(F.col("line") if text is None else text, full, options).alias("_json"))
+    fields = [F.col(f"_json.{f.name}").alias(f.name) for f in full.fields]
+    rows = parsed.select("log_date", "log_file", "line", *fields).withColumn("rectime", F.expr(EPOCH_MS))
     reason = F.when(F.col(CORRUPT).isNotNull(), "corrupt").when(F.col("rectime").isNull(), "undated")
-    # All fields are read, as Spark tells corrupt lines only then.
-    text = F.coalesce(F.col(CORRUPT), F.to_json(F.struct("custom_uuid", F.col("rectime_text").alias("rectime"), "site", "data")))
-    return lines.select("log_date", "log_file", reason.alias("reason"), text.alias("line")).where("reason is not null")
+    return rows.withColumn("reason", reason)
+
+
+def bad_lines(spark: SparkSession, files: Iterable[str], schema: T.StructType = RAW_LOG) -> DataFrame:
+    """The lines of log files that no dated report reads: log_date, log_file,
+    reason and the line as it is."""
+    file = F.col("_metadata.file_path")
+    lines = spark.read.text(sorted(files)).select(log_date_of_path(file).alias("log_date"), file.alias("log_file"), F.col("value").alias("line"))
+    parsed = parse_lines(lines.where(F.trim("line") != ""), schema)
+    return parsed.where("reason is not null").select("log_date", "log_file", "reason", "line")
 
 
 def log_date_of_path(path):

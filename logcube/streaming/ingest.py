@@ -7,7 +7,8 @@ processes everything new, then stops) or with a processing-time trigger.
 Exactly-once per log file: a micro-batch becomes a run of the fact table with
 the files that no run in force has parsed.  A batch replayed after a failure, a
 renewed checkpoint, a second stream, or files that the day ingest has parsed
-already therefore add nothing.  Progress lives in ``checkpoint`` (a shared
+already therefore add nothing, and both may run at the same time (see
+``sources.facts``).  Progress lives in ``checkpoint`` (a shared
 folder).
 """
 
@@ -20,9 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from logcube.operators.events import parse_events
+from logcube.plans.ingest import write_lines
 from logcube.schemas import EVENT_KINDS, RAW_LOG
-from logcube.sources.facts import day_runs, write_facts
+from logcube.sources.facts import add_days, day_runs, parsed_files
 from logcube.sources.raw_logs import line_reader, with_log_columns
 
 
@@ -42,22 +43,25 @@ def read_log_stream(
 
 def batch_writer(fact_root: str, kinds: Sequence[str], tz: str, fmt: str = "orc"):
     """foreachBatch function: parse the files of the batch that are new to the
-    fact table, and add them as one run."""
+    fact table, and add them as one run; their bad lines are stored with it."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        found: dict[str, list[str]] = {}
+        spark = batch.sparkSession
+        found: dict[str, set[str]] = {}
         for r in batch.select(F.col("log_date").cast("string").alias("day"), "log_file").distinct().collect():  # the batch's files
             if r.day is not None:  # files outside a day folder belong to no log day
-                found.setdefault(r.day, []).append(r.log_file)
-        known = {f for runs in day_runs(batch.sparkSession, fact_root, list(found)).values() for run in runs for f in run["files"]}
-        new = {day: [f for f in files if f not in known] for day, files in found.items()}
-        new = {day: files for day, files in new.items() if files}
-        if not new:
-            return
-        again = sorted(f for files in found.values() for f in files if f in known)
-        rows = batch.where("log_date is not null")
-        rows = rows.where(~F.col("log_file").isin(again)) if again else rows
-        write_facts(parse_events(rows, kinds, tz), fact_root, new, replace=False, fmt=fmt)
+                found.setdefault(r.day, set()).add(r.log_file)
+        new = {}
+        for day, files in found.items():
+            runs = day_runs(spark, fact_root, [day]).get(day, [])
+            new[day] = files - parsed_files(spark, fact_root, day, [r["run"] for r in runs])
+        # What another writer has parsed meanwhile is left out, and the rest tried again.
+        while new := {day: files for day, files in new.items() if files}:
+            rows, names = batch.where("log_date is not null"), [(f,) for files in new.values() for f in files]
+            if len(names) < sum(map(len, found.values())):  # a batch's file names, so broadcast
+                rows = rows.join(F.broadcast(spark.createDataFrame(names, "log_file string")), "log_file", "left_semi")
+            run, _ = write_lines(rows, fact_root, new, kinds, tz, fmt)
+            new = add_days(spark, fact_root, run, new)
 
     return write
 
