@@ -14,9 +14,11 @@ The test tables are mapped to the reference's log / catalog shape by
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 # The package sits next to this file; make it importable however the file is loaded.
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -33,18 +35,22 @@ from logcube.operators.funnel import DETAIL_STAGE, LIVE_STAGES
 from logcube.operators.growth import REPORT_MEASURES
 from logcube.plans import backfill, daily, reports, sql_reports
 from logcube.plans.checkpoints import scratch_dir
+from logcube.plans.ingest import replay_bad_lines, write_lines
 from logcube.plans.specs import SPECS, GrowthSpec
+from logcube.schemas import EVENT_KINDS
 from logcube.sources import bridge
-from logcube.sources.facts import read_facts
-from logcube.sources.sinks import write_report_files
+from logcube.sources.facts import add_days, compact, read_bad_lines, read_facts, replace_days
+from logcube.sources.raw_logs import NoInputError, read_raw_logs, require_input
+from logcube.sources.sinks import read_report_files, write_report_files
 from logcube.streaming.ingest import start_ingest
 
-try:  # the training-data operators and their pipeline are an optional part
+# The training-data operators and their pipeline are an optional part: without
+# them, or without a library that only they need, the reports remain.
+try:
     import corpus_pipeline
     from logcube.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "logcube.llm"):
-        raise
+except ImportError as missing:
+    logging.getLogger(__name__).warning("training-data operators left out: %s", missing)
     corpus_pipeline = llm = None
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
@@ -192,8 +198,8 @@ def _bridge_lines(spark, sf):
 
 
 def _write_logs(lines, logs: str) -> list[str]:
-    """Lines as gzip JSON day folders (``day=<yyyy-MM-dd>``); the days."""
-    lines.drop("event_id").write.partitionBy("day").option("compression", "gzip").json(logs)
+    """Lines as gzip JSON day folders (``day=<yyyy-MM-dd>``), beside what is there; the days."""
+    lines.drop("event_id").write.mode("append").partitionBy("day").option("compression", "gzip").json(logs)
     return sorted(r[0] for r in lines.select("day").distinct().collect())  # one row per calendar day
 
 
@@ -250,27 +256,122 @@ def q_funnel_folder_day(spark, sf):
     return reports.funnel(daily.stage_facts(spark, f"{root}/facts", days), days=days)
 
 
-def q_ingest_bad_lines(spark, sf):
-    """Every 40th line is cut short, every 41st has no number as rectime and
-    every 43rd has it quoted: the first two are counted and stored, the last is
-    read like the others."""
-    root = scratch_dir(spark, "bad")
+def _write_bad_logs(spark, sf, logs: str, undated: str) -> list[str]:
+    """Every 40th line is cut short, every 41st is ``undated`` (what stands
+    instead of "rectime":<number>) and every 43rd has its rectime quoted."""
     lines, n = _bridge_lines(spark, sf), F.col("event_id")
-    rectime = F.when(n % 41 == 0, "soon").when(n % 43 == 0, F.concat(F.lit('"'), F.col("rectime").cast("string"), F.lit('"')))
-    rectime = F.coalesce(rectime, F.col("rectime").cast("string"))
-    rectime = F.when(n % 41 == 0, F.concat(F.lit('"'), rectime, F.lit('"'))).otherwise(rectime)
+    number = F.col("rectime").cast("string")
+    rectime = F.when(n % 41 == 0, F.replace(F.lit(undated), F.lit("<number>"), number))
+    rectime = rectime.when(n % 43 == 0, F.concat(F.lit('"rectime":"'), number, F.lit('"'))).otherwise(F.concat(F.lit('"rectime":'), number))
     others = F.to_json(F.struct(*[c for c in lines.columns if c not in ("event_id", "day", "rectime")]))
-    text = F.concat(F.lit('{"rectime":'), rectime, F.lit(","), F.expr("substring(others, 2)"))
+    text = F.concat(F.lit("{"), rectime, F.lit(","), F.expr("substring(others, 2)"))
     lines = lines.select("event_id", "day", others.alias("others"), "rectime").select("event_id", "day", text.alias("value"))
     lines = lines.withColumn("value", F.when(n % 40 == 0, F.expr("left(value, length(value) - 3)")).otherwise(F.col("value")))
-    lines.select("day", "value").write.partitionBy("day").option("compression", "gzip").text(f"{root}/logs")
-    days = sorted(r[0] for r in lines.select("day").distinct().collect())
-    daily.ingest_days(spark, f"{root}/logs", f"{root}/facts", days, tz="UTC", layout="day={day}/*.gz")
-    bad = spark.read.parquet(f"{root}/facts/bad_lines").select("log_date", "reason")
-    good = read_facts(spark, f"{root}/facts").select("log_date", F.lit("fact").alias("reason")).where(F.col("log_date") == F.col("date"))
+    lines.select("day", "value").write.partitionBy("day").option("compression", "gzip").text(logs)
+    return sorted(r[0] for r in lines.select("day").distinct().collect())  # one row per calendar day
+
+
+def _good_and_bad(spark, facts_root: str):
+    """Events with a day and stored bad lines by log day."""
+    bad = read_bad_lines(spark, facts_root).select("log_date", "reason")
+    good = read_facts(spark, facts_root).select("log_date", F.lit("fact").alias("reason")).where(F.col("log_date") == F.col("date"))
     return bad.unionByName(good).groupBy("log_date", "reason").agg(F.count("*").alias("n"))
 
 
+def q_ingest_bad_lines(spark, sf):
+    """Lines cut short and lines without a number as rectime are counted and
+    stored; a quoted number is read like the others."""
+    root = scratch_dir(spark, "bad")
+    days = _write_bad_logs(spark, sf, f"{root}/logs", '"rectime":"soon"')
+    daily.ingest_days(spark, f"{root}/logs", f"{root}/facts", days, tz="UTC", layout=BRIDGE_LAYOUT)
+    return _good_and_bad(spark, f"{root}/facts")
+
+
+def q_stream_bad_lines(spark, sf):
+    """The same through the stream, and again with a new checkpoint."""
+    root = scratch_dir(spark, "streambad")
+    _write_bad_logs(spark, sf, f"{root}/logs", '"rectime":"soon"')
+    for n in range(2):
+        start_ingest(spark, f"{root}/logs", f"{root}/facts", f"{root}/checkpoint{n}", tz="UTC").awaitTermination()
+    return _good_and_bad(spark, f"{root}/facts")
+
+
+def q_replay_bad_lines(spark, sf):
+    """Lines with another name of rectime are stored by the stream; replayed twice
+    with that name mended they are events of their log day, once.  Lines cut short
+    stay stored."""
+    root = scratch_dir(spark, "replay")
+    days = _write_bad_logs(spark, sf, f"{root}/logs", '"rec_time":<number>')
+    start_ingest(spark, f"{root}/logs", f"{root}/facts", f"{root}/checkpoint", tz="UTC").awaitTermination()
+    for _ in range(2):
+        replay_bad_lines(spark, f"{root}/facts", days, tz="UTC", repair=lambda line: F.replace(line, F.lit('"rec_time"'), F.lit('"rectime"')))
+    return _good_and_bad(spark, f"{root}/facts")
+
+
+def q_facts_two_writers(spark, sf):
+    """A nightly ingest has parsed its logs when a stream commits these and later
+    ones; it finds itself overtaken and starts again.  Then the stream finds that
+    the next ingest has parsed what it has read.  Every event counts once."""
+    root = scratch_dir(spark, "writers")
+    lines, logs, facts = _bridge_lines(spark, sf), f"{root}/logs", f"{root}/facts"
+    days = _write_logs(lines.where("event_id % 3 = 0"), logs)
+    files = require_input(spark, logs, days, BRIDGE_LAYOUT)
+    run, _ = write_lines(read_raw_logs(spark, logs, days, layout=BRIDGE_LAYOUT), facts, files, EVENT_KINDS, "UTC")
+    _write_logs(lines.where("event_id % 3 = 1"), logs)
+    start_ingest(spark, logs, facts, f"{root}/checkpoint0", tz="UTC").awaitTermination()
+    overtaken = replace_days(spark, facts, run, files, {})
+    daily.ingest_days(spark, logs, facts, overtaken, tz="UTC", layout=BRIDGE_LAYOUT)
+    days = _write_logs(lines.where("event_id % 3 = 2"), logs)
+    files = require_input(spark, logs, days, BRIDGE_LAYOUT)
+    run, _ = write_lines(read_raw_logs(spark, logs, days, layout=BRIDGE_LAYOUT), facts, files, EVENT_KINDS, "UTC")
+    daily.ingest_days(spark, logs, facts, days, tz="UTC", layout=BRIDGE_LAYOUT)
+    left = add_days(spark, facts, run, files)  # what a batch would parse again: nothing
+    assert not any(left.values())
+    start_ingest(spark, logs, facts, f"{root}/checkpoint1", tz="UTC").awaitTermination()
+    return read_facts(spark, facts).select(*FACT_OUTPUT)
+
+
+def q_compact_facts(spark, sf):
+    """Days of many micro-batches, rewritten into a run each day, then a stream with
+    a new checkpoint, which adds nothing."""
+    root = scratch_dir(spark, "compact")
+    facts = f"{root}/facts"
+    days = _write_logs(_bridge_lines(spark, sf), f"{root}/logs")
+    n_files = sum(map(len, require_input(spark, f"{root}/logs", days, BRIDGE_LAYOUT).values()))
+    start_ingest(spark, f"{root}/logs", facts, f"{root}/checkpoint0", tz="UTC", max_files_per_trigger=-(-n_files // 6)).awaitTermination()
+    compact(spark, facts, days)
+    start_ingest(spark, f"{root}/logs", facts, f"{root}/checkpoint1", tz="UTC").awaitTermination()
+    return read_facts(spark, facts).select(*FACT_OUTPUT)
+
+
+def q_missing_log_day(spark, sf):
+    """The logs of the third day are missing; which day stops an ingest of the
+    whole range, and with which exit code."""
+    root = scratch_dir(spark, "missing")
+    lines = _bridge_lines(spark, sf)
+    days = sorted(r[0] for r in lines.select("day").distinct().collect())  # one row per calendar day
+    _write_logs(lines.where(F.col("day") != days[2]), f"{root}/logs")
+    try:
+        daily.ingest_days(spark, f"{root}/logs", f"{root}/facts", days, tz="UTC", layout=BRIDGE_LAYOUT)
+        stopped = []
+    except NoInputError as e:
+        stopped = [(e.day, e.exit_code)]
+    return spark.createDataFrame(stopped, "day string, exit_code int")
+
+
+NIGHTLY = ("device_app_download_report", "funnel_app_install_report", "funnel_app_install_report_macro", "funnel_app_install_report_micro")
+
+
+def q_nightly_reports(spark, sf):
+    """K4: the nightly job of the last day from fact files, whose reports share the
+    persisted join; rows and events of its device and funnel reports."""
+    root, days = _fact_files(spark, sf)
+    out = scratch_dir(spark, "nightly")
+    daily.report_days(spark, root, bridge.catalog(spark, sf), [days[-1]], lambda name, df, d: write_report_files(df, f"{out}/{name}", days=d))
+    found = [read_report_files(spark, f"{out}/{name}").select(F.lit(name).alias("report"), "totalPlayCount") for name in NIGHTLY]
+    return reduce(DataFrame.unionByName, found).groupBy("report").agg(F.count("*").alias("n"), F.sum("totalPlayCount").alias("events"))
+
+
 def q_report_files_replace(spark, sf):
     """K2 on files: the device report of all days, then a rerun of the last three
     after a device's events and a whole day's were withdrawn."""
@@ -281,7 +382,7 @@ def q_report_files_replace(spark, sf):
     days = [last - dt.timedelta(n) for n in range(3)]
     left = facts.where((F.col("date") != F.lit(days[1])) & (F.col("device_name") != "dev_0"))
     write_report_files(reports.devices(left, days=days), path, days=days)
-    return spark.read.parquet(path).select("date", "device_name", "totalPlayCount")
+    return read_report_files(spark, path).select("date", "device_name", "totalPlayCount")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -328,6 +429,12 @@ def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reingest_facts": q_reingest_facts,
         "funnel_folder_day": q_funnel_folder_day,
         "ingest_bad_lines": q_ingest_bad_lines,
+        "stream_bad_lines": q_stream_bad_lines,
+        "replay_bad_lines": q_replay_bad_lines,
+        "facts_two_writers": q_facts_two_writers,
+        "compact_facts": q_compact_facts,
+        "missing_log_day": q_missing_log_day,
+        "nightly_reports": q_nightly_reports,
         "report_files_replace": q_report_files_replace,
     }
 
@@ -458,6 +565,16 @@ stage_enriched AS (
 )"""
 
 
+_FACT_ROWS = _with() + """SELECT custom_uuid, date, date AS log_date, device_name, site, package_id, title, source, kind,
+       strftime(date, '%Y-%m-%d') AS dt
+FROM facts"""
+
+_BAD_LINES = _with() + """SELECT date AS log_date,
+       CASE WHEN event_id % 40 = 0 THEN 'corrupt' WHEN event_id % 41 = 0 THEN 'undated' ELSE 'fact' END AS reason,
+       count(*) AS n
+FROM facts GROUP BY 1, 2"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "explode_events": _with()
@@ -528,14 +645,8 @@ WHERE kind IN ('app_open', 'game_open', 'download_onclick', 'download_fin', 'ins
 GROUP BY 1, 2""",
         "backfill_install_growth": _growth_sql(SPECS["install_v2"])
         + "\nWHERE c.date BETWEEN (SELECT min(date) + 8 FROM facts) AND (SELECT max(date) - 2 FROM facts)",
-        "ingest_json_facts": _with()
-        + """SELECT custom_uuid, date, date AS log_date, device_name, site, package_id, title, source, kind,
-       strftime(date, '%Y-%m-%d') AS dt
-FROM facts""",
-        "stream_ingest_facts": _with()
-        + """SELECT custom_uuid, date, date AS log_date, device_name, site, package_id, title, source, kind,
-       strftime(date, '%Y-%m-%d') AS dt
-FROM facts""",
+        "ingest_json_facts": _FACT_ROWS,
+        "stream_ingest_facts": _FACT_ROWS,
         "growth_from_fact_files": _growth_sql(SPECS["install_v2"]),
         "reingest_facts": _with()
         + """SELECT custom_uuid, date, date AS log_date, device_name, site, package_id, title, source, kind,
@@ -551,11 +662,26 @@ FROM facts WHERE event_id % 3 <> 0""",
         )
         + f"""SELECT {_int_date('day')} AS date, kind AS featureName, count(custom_uuid) AS totalPlayCount
 FROM staged WHERE day IN (SELECT log_date FROM logged) GROUP BY day, kind""",
-        "ingest_bad_lines": _with()
-        + """SELECT date AS log_date,
-       CASE WHEN event_id % 40 = 0 THEN 'corrupt' WHEN event_id % 41 = 0 THEN 'undated' ELSE 'fact' END AS reason,
-       count(*) AS n
+        "ingest_bad_lines": _BAD_LINES,
+        "stream_bad_lines": _BAD_LINES,
+        "replay_bad_lines": _with()
+        + """SELECT date AS log_date, CASE WHEN event_id % 40 = 0 THEN 'corrupt' ELSE 'fact' END AS reason, count(*) AS n
 FROM facts GROUP BY 1, 2""",
+        "facts_two_writers": _FACT_ROWS,
+        "compact_facts": _FACT_ROWS,
+        "missing_log_day": _with()
+        + """SELECT strftime(date, '%Y-%m-%d') AS day, CAST(123 AS INTEGER) AS exit_code
+FROM (SELECT DISTINCT date FROM facts) ORDER BY date LIMIT 1 OFFSET 2""",
+        "nightly_reports": _with("last AS (SELECT max(date) AS day FROM facts)", _FUNNEL_STAGE_ROWS)
+        + """, own AS (SELECT * FROM stage_enriched, last WHERE date = day)
+SELECT 'device_app_download_report' AS report, count(*) AS n, CAST(sum(c) AS BIGINT) AS events
+FROM (SELECT count(custom_uuid) AS c FROM facts, last WHERE date = day AND kind = 'download_fin' GROUP BY device_name)
+UNION ALL SELECT 'funnel_app_install_report', count(*), CAST(sum(c) AS BIGINT)
+FROM (SELECT count(custom_uuid) AS c FROM stage_rows, last WHERE date = day GROUP BY featureName)
+UNION ALL SELECT 'funnel_app_install_report_macro', count(*), CAST(sum(c) AS BIGINT)
+FROM (SELECT count(custom_uuid) AS c FROM own GROUP BY GROUPING SETS ((featureName, site, fsk_catalog), (featureName, site), (featureName, fsk_catalog), (featureName)))
+UNION ALL SELECT 'funnel_app_install_report_micro', count(*), CAST(sum(c) AS BIGINT)
+FROM (SELECT count(custom_uuid) AS c FROM own GROUP BY package_id, title, featureName)""",
         "report_files_replace": _with("last AS (SELECT max(date) AS day FROM facts)")
         + f"""SELECT {_int_date('date')} AS date, device_name, count(custom_uuid) AS totalPlayCount
 FROM facts, last

@@ -66,9 +66,10 @@ def replay_bad_lines(
     or with their text mended by ``repair``; the days that were committed.
 
     What can be read now becomes a run of its log day, what cannot stays stored
-    under that run.  Both change with one commit of the day, which takes the old
-    lines out of force, so a line counts once however often this runs.  A day
-    whose bad lines another writer has replaced or replayed meanwhile is left."""
+    under that run.  One commit of the day puts both in the place of the old lines
+    and of the rows without a day that undated ones have, so a line counts once
+    however often this runs.  A day whose bad lines another writer has replaced or
+    replayed meanwhile is left as it is."""
     before = {}
     for day, runs in facts.day_runs(spark, fact_root, days).items():
         taken = {b for r in runs for b in r["bad"]}
@@ -78,7 +79,7 @@ def replay_bad_lines(
         return []
     stored = facts.read_bad_lines(spark, fact_root, log_days=list(before))
     rows = parse_lines(stored, schema, None if repair is None else repair(F.col("line")))
-    run = facts.write_run(parse_events(rows.where("reason is null"), kinds, tz), fact_root, fmt)
+    run = facts.write_run(parse_events(rows.where("reason is null or reason = 'undated'"), kinds, tz), fact_root, fmt)
     facts.write_bad_lines(rows.where("reason is not null").select("log_date", "log_file", "reason", "line"), fact_root, run)
     facts.put_files(spark, fact_root, run, {day: [] for day in before})
     done = []
@@ -88,8 +89,10 @@ def replay_bad_lines(
             present = content["runs"] if content else []
             if not taken <= {b for r in present for b in r["bad"]}:
                 return None
-            kept = [r | {"bad": [b for b in r["bad"] if b not in taken]} for r in present]
-            return {"log_day": day, "runs": [*kept, run.entry(day)]}
+            for r in present:
+                if taken & set(r["bad"]):
+                    r |= {"bad": [b for b in r["bad"] if b not in taken], "parts": [p for p in r["parts"] if p["dt"] is not None]}
+            return {"log_day": day, "runs": [*present, run.entry(day)]}
 
         if store.update(spark, f"{fact_root.rstrip('/')}/_days", day, change):
             done.append(day)

@@ -6,15 +6,29 @@ table of their own, then the driver swaps the days in one database transaction
 (DELETE the days, INSERT the staged rows); a failed job leaves the target
 untouched.  Keep ``spark.speculation`` off for JDBC writes: a speculative task
 commits its rows too.
+
+Report files are snapshots::
+
+    <path>/_runs/run=<run>/<date>=<key>/    what a write has computed, once
+    <path>/_report/days.<version>.json      what counts: the run of every day
+    <path>/<date>=<key>/                    copies of the days that count
+
+A write computes the report once into a run folder, takes its days from the
+folders written, and commits all of them by one new version of the day list, so
+``read_report_files`` sees all of a write or nothing.  The plain folders are copied
+from it afterwards, day by day, for readers that know no list; a crash in between
+is made good by the next write or by ``export_days``.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from logcube.sources import store
 
@@ -28,20 +42,62 @@ def day_keys(days: Iterable | None) -> list[int] | None:
 
 def write_report_files(df: DataFrame, path: str, date_col: str = "date", fmt: str = "parquet", days: Iterable | None = None) -> None:
     """Write a report partitioned by day, replacing the days present and, of
-    ``days``, those that have no rows now."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(date_col)
-        .format(fmt)
-        .save(path)
-    )
-    keys = day_keys(days) or []
-    if keys:
-        present = {int(r[0]) for r in df.select(date_col).distinct().collect()}  # report days
-        for key in keys:
-            if key not in present:
-                store.delete(df.sparkSession, f"{path.rstrip('/')}/{date_col}={key}")
+    ``days``, those that have no rows now.  The report is executed once."""
+    spark, root, run = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex
+    where = f"{root}/_runs/run={run}"
+    df.write.partitionBy(date_col).format(fmt).save(where)
+    written = {n.split("=", 1)[1] for n in store.names(spark, where) if n.startswith(f"{date_col}=")}
+    changed = written | {str(k) for k in day_keys(days) or []}
+    commit_report(spark, root, run, written, changed, df.schema.json())
+    export_days(spark, root, date_col, fmt, sorted(changed))
+
+
+def commit_report(spark: SparkSession, root: str, run: str, written: set[str], changed: set[str], schema: str) -> None:
+    """Put the days ``written`` of a run in force, and of ``changed`` no others."""
+
+    def change(content: dict | None) -> dict:
+        kept = {day: r for day, r in (content["days"] if content else {}).items() if day not in changed}
+        return {"schema": schema, "days": kept | dict.fromkeys(sorted(written), run)}
+
+    store.update(spark, f"{root}/_report", "days", change)
+
+
+def _folders(content: dict, root: str, date_col: str, days: Iterable[str]) -> list[str]:
+    return [f"{root}/_runs/run={content['days'][day]}/{date_col}={day}" for day in days if day in content["days"]]
+
+
+def _read(spark: SparkSession, content: dict, root: str, fmt: str, folders: list[str]) -> DataFrame:
+    schema = T.StructType.fromJson(json.loads(content["schema"]))
+    if not folders:
+        return spark.createDataFrame([], schema)
+    found = spark.read.schema(T.StructType([*schema.fields, T.StructField("run", T.StringType())])).format(fmt)
+    return found.option("basePath", f"{root}/_runs").load(folders).select(*schema.names)
+
+
+def read_report_files(spark: SparkSession, path: str, date_col: str = "date", fmt: str = "parquet", days: Iterable | None = None) -> DataFrame:
+    """The report's days, or those of ``days``, as of one commit."""
+    root = path.rstrip("/")
+    _, content = store.current(spark, f"{root}/_report", "days")
+    if content is None:
+        raise FileNotFoundError(f"no report at {path}")
+    wanted = content["days"] if days is None else [str(k) for k in day_keys(days)]
+    return _read(spark, content, root, fmt, _folders(content, root, date_col, sorted(wanted)))
+
+
+def export_days(spark: SparkSession, path: str, date_col: str = "date", fmt: str = "parquet", days: Iterable[str] | None = None) -> None:
+    """Bring the plain folders of ``days`` (keys; default: all) to what counts."""
+    root = path.rstrip("/")
+    _, content = store.current(spark, f"{root}/_report", "days")
+    content = content or {"days": {}}
+    present = {n.split("=", 1)[1] for n in store.names(spark, root) if n.startswith(f"{date_col}=")}
+    wanted = sorted(present | content["days"].keys()) if days is None else list(days)
+    folders = _folders(content, root, date_col, wanted)
+    if folders:
+        rows = _read(spark, content, root, fmt, folders)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).format(fmt).save(root)
+    for day in wanted:
+        if day not in content["days"] and day in present:
+            store.delete(spark, f"{root}/{date_col}={day}")
 
 
 def _jdbc_writer(df: DataFrame, url: str, table: str, options: Mapping[str, str] | None):

@@ -43,6 +43,15 @@ def test_entry_works_without_the_training_data_operators(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
 
 
+def test_entry_works_without_a_library_of_the_operators():
+    import subprocess
+    import sys
+
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; assert set(e.queries()) == set(e.report_queries()) == set(e.oracle_sql())"
+    found = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(E.__file__), check=True, capture_output=True, text=True)
+    assert "xxhash" in found.stderr  # and says why
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
