@@ -3,6 +3,8 @@ tables in the cluster's shared folder, and a few text rules."""
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -56,11 +58,26 @@ def cells(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
             yield tuple(c[i].as_py() for c in columns)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker outlives its task, and keeps
+    what it once had while other stages run beside it."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+        if trim is not None:
+            trim(0)
+
+
 def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``df.mapInArrow(run, schema)``, with batches of BATCH_ROWS rows at most in
     this session: Spark's default of 10,000 is many MB of texts, which a worker
     and its executor each hold more than once."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= BATCH_ROWS:
         conf.set(key, str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)

@@ -4,7 +4,7 @@ A document's set holds its distinct word shingles.  Two collections of
 ``bands`` bands, each of ``rows`` minhashes, are computed per set; a table key is
 a pair of bands, one of each collection, so 2 * bands * rows minhashes serve
 bands ** 2 tables of 2 * rows hashes each.  Two sets meet in a table if they
-agree in a band of either collection: with similarity s the chance to miss is
+agree in a band of each collection: with similarity s the chance to miss is
 about 2 * (1 - s ** rows) ** bands (at 0.8 with 5 rows and 32 bands 6e-6).
 
 1. Equal sets are one node from here on.
@@ -40,9 +40,9 @@ BANDS, ROWS = 32, 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: A block of a cluster holds about so many sets and shingles at most.
-BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 20
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 19
 #: Shingles whose minhashes are computed at a time; columns of a count matrix.
-HASH_CHUNK, COUNT_COLUMNS = 1 << 15, 1 << 13
+HASH_CHUNK, COUNT_COLUMNS = 1 << 15, 1 << 11
 #: Word hashes that a worker remembers.
 KEPT_WORDS = 1 << 16
 
