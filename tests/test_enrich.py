@@ -116,3 +116,38 @@ def test_salted_shuffle_join_same_rows(spark):
         assert _salted_join(hot, prepare_catalog(catalog_frame(spark), "fsk_catalog"), 8).count() == 606
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_heavy_packages_alone_are_spread(spark):
+    """A package and the NULL package with a third of the rows each, a catalog above
+    the broadcast bound: the largest reducer is near the average."""
+    from pyspark.sql import functions as F
+
+    from logcube.operators.enrich import heavy_hitters, salt_ways
+
+    n = 30_000
+    package = F.when(F.col("id") % 3 == 0, "p1").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.concat(F.lit("q"), (F.col("id") % 2999).cast("string")))
+    columns = {"custom_uuid": F.col("id").cast("string"), "date": F.lit(None).cast("date"), "device_name": F.lit("d"), "site": F.lit("s"), "title": F.lit("t"), "kind": F.lit("download_fin"), "source": F.lit(1)}
+    many = spark.range(n).select(*[c.alias(k) for k, c in columns.items()], package.alias("package_id"))
+    shares = heavy_hitters(many, "package_id", 1 / 16)
+    assert {k: round(v, 3) for k, v in shares.items()} == {"p1": 0.333, None: 0.333}
+    assert heavy_hitters(many.where("package_id like 'q%'"), "package_id", 1 / 16) == {} == heavy_hitters(many.limit(0), "package_id", 0.1)
+    assert salt_ways({"a": 0.5, "b": 0.01, None: 0.9}, 100, 64) == {"a": 64, "b": 2, None: 64}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        cat = catalog_frame(spark).unionByName(catalog_frame(spark).withColumn("fsk_pid", F.lit(None).cast("string")).limit(1))
+        sizes = {}
+        for ways in (1, 1024):
+            joined = enrich(many, cat, "catalog", "fsk_catalog", broadcast=False, salt_buckets=ways)
+            by = joined.groupBy(F.spark_partition_id()).count().collect()
+            sizes[ways] = max(r["count"] for r in by), sum(r["count"] for r in by)
+        same = enrich(many, cat, "catalog", "fsk_catalog", broadcast=True)
+        assert rows(joined) == rows(same.select(*joined.columns))
+        assert sizes[1][1] == sizes[1024][1] and sizes[1][0] >= n // 3
+        assert sizes[1024][0] <= 6 * n / 64  # of 64 reducers
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
