@@ -33,7 +33,7 @@ from logcube.operators.enrich import enrich
 from logcube.operators.events import explode_kinds
 from logcube.operators.funnel import DETAIL_STAGE, LIVE_STAGES
 from logcube.operators.growth import REPORT_MEASURES
-from logcube.plans import backfill, daily, reports, sql_reports
+from logcube.plans import backfill, daily, day_states, refresh, reports, sql_reports
 from logcube.plans.checkpoints import scratch_dir
 from logcube.plans.ingest import replay_bad_lines, write_lines
 from logcube.plans.specs import SPECS, GrowthSpec
@@ -359,6 +359,50 @@ def q_missing_log_day(spark, sf):
     return spark.createDataFrame(stopped, "day string, exit_code int")
 
 
+def q_growth_from_day_states(spark, sf):
+    """States of all log days, then late events of the day before the last in the
+    last log folder, whose state alone is taken again; and a report with another
+    catalog before.  Growth of the last day from the states of three days."""
+    root = scratch_dir(spark, "states")
+    lines, logs, facts, states = _bridge_lines(spark, sf), f"{root}/logs", f"{root}/facts", f"{root}/states"
+    last = lines.agg(F.max("day")).first()[0]
+    late = (F.col("day") == str(dt.date.fromisoformat(last) - dt.timedelta(1))) & (F.col("event_id") % 3 == 0)
+    days = _write_logs(lines.where(~late), logs)
+    daily.ingest_days(spark, logs, facts, days, tz="UTC", layout=BRIDGE_LAYOUT)
+    day_states.update_states(spark, facts, states, days)
+    catalog, spec = bridge.catalog(spark, sf), SPECS["open_v2"]
+    day_states.growth_from_states(spark, states, catalog.where("fsk_catalog <> 'ECONOMY'"), spec, [last]).write.format("noop").mode("overwrite").save()
+    _write_logs(lines.where(late).withColumn("day", F.lit(last)), logs)
+    daily.ingest_day(spark, logs, facts, last, tz="UTC", layout=BRIDGE_LAYOUT)
+    day_states.update_states(spark, facts, states, [last])
+    return day_states.growth_from_states(spark, states, catalog, spec, [last])
+
+
+def _refreshed(spark, sf):
+    """Reports of all days, then every third event of the tenth day withdrawn from
+    its logs, and the reports refreshed; their folder and the days rebuilt."""
+    root = scratch_dir(spark, "refresh")
+    lines, facts, out = _bridge_lines(spark, sf), f"{root}/facts", f"{root}/reports"
+    days = _write_logs(lines, f"{root}/logs")
+    daily.ingest_days(spark, f"{root}/logs", facts, days, tz="UTC", layout=BRIDGE_LAYOUT)
+    catalog, specs = bridge.catalog(spark, sf), [SPECS["install_v2"]]
+    refresh.refresh_reports(spark, facts, catalog, out, days[0], days[-1], specs)
+    _write_logs(lines.where((F.col("day") == days[9]) & (F.col("event_id") % 3 != 0)), f"{root}/corrected")
+    daily.ingest_day(spark, f"{root}/corrected", facts, days[9], tz="UTC", layout=BRIDGE_LAYOUT)
+    return out, refresh.refresh_reports(spark, facts, catalog, out, days[0], days[-1], specs)
+
+
+def q_refresh_changed_day(spark, sf):
+    """The whole growth report after it was refreshed for one changed log day."""
+    return read_report_files(spark, f"{_refreshed(spark, sf)[0]}/app_install_report")
+
+
+def q_refresh_rebuilt_days(spark, sf):
+    """The report days that the refresh has rebuilt."""
+    _, rebuilt = _refreshed(spark, sf)
+    return spark.createDataFrame([(name, day) for name, own in rebuilt.items() for day in own], "report string, day date")
+
+
 NIGHTLY = ("device_app_download_report", "funnel_app_install_report", "funnel_app_install_report_macro", "funnel_app_install_report_micro")
 
 
@@ -435,6 +479,9 @@ def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "compact_facts": q_compact_facts,
         "missing_log_day": q_missing_log_day,
         "nightly_reports": q_nightly_reports,
+        "growth_from_day_states": q_growth_from_day_states,
+        "refresh_changed_day": q_refresh_changed_day,
+        "refresh_rebuilt_days": q_refresh_rebuilt_days,
         "report_files_replace": q_report_files_replace,
     }
 
@@ -672,6 +719,13 @@ FROM facts GROUP BY 1, 2""",
         "missing_log_day": _with()
         + """SELECT strftime(date, '%Y-%m-%d') AS day, CAST(123 AS INTEGER) AS exit_code
 FROM (SELECT DISTINCT date FROM facts) ORDER BY date LIMIT 1 OFFSET 2""",
+        "growth_from_day_states": _growth_sql(SPECS["open_v2"]) + "\nWHERE c.date = (SELECT max(date) FROM facts)",
+        "refresh_changed_day": _growth_sql(SPECS["install_v2"]).replace(
+            "  FROM app_log\n),", "  FROM app_log WHERE event_id % 3 <> 0 OR date <> (SELECT min(date) + 9 FROM app_log)\n),"
+        ),
+        "refresh_rebuilt_days": _with("tenth AS (SELECT min(date) + 9 AS day FROM facts)")
+        + """SELECT report, day + n AS day FROM tenth, (VALUES ('app_install_report', 0), ('app_install_report', 1),
+  ('app_install_report', 7), ('device_app_download_report', 0), ('funnel_app_install_report', 0)) AS t(report, n)""",
         "nightly_reports": _with("last AS (SELECT max(date) AS day FROM facts)", _FUNNEL_STAGE_ROWS)
         + """, own AS (SELECT * FROM stage_enriched, last WHERE date = day)
 SELECT 'device_app_download_report' AS report, count(*) AS n, CAST(sum(c) AS BIGINT) AS events

@@ -102,8 +102,8 @@ def _runs(content: dict | None) -> list[dict]:
 
 
 def day_runs(spark: SparkSession, path: str, days: Iterable) -> dict[str, list[dict]]:
-    """The runs in force of each given log day: run, parts and bad (the runs
-    whose bad lines still count)."""
+    """The runs in force of each given log day: run, parts, bad (the runs whose bad
+    lines still count) and, of a compacted run, the runs that it stands for (of)."""
     found, last = {}, store.versions(spark, _days_folder(path))
     for day in map(_day, days):
         if last.get(day):
@@ -225,13 +225,14 @@ def compact(spark: SparkSession, path: str, days: Iterable, fmt: str = "orc", le
     for day, runs in before.items():
         old = [r["run"] for r in runs]
         bad = sorted({b for r in runs for b in r["bad"]})
+        of = sorted({name for r in runs for name in r.get("of") or [r["run"]]})
 
-        def change(content: dict | None, day=day, old=old, bad=bad) -> dict | None:
+        def change(content: dict | None, day=day, old=old, bad=bad, of=of) -> dict | None:
             present = [r["run"] for r in _runs(content)]
             if not set(old) <= set(present):
                 return None
             kept = [r for r in _runs(content) if r["run"] not in old]
-            return {"log_day": day, "runs": [run.entry(day) | {"bad": bad}, *kept]}
+            return {"log_day": day, "runs": [run.entry(day) | {"bad": bad, "of": of}, *kept]}
 
         if store.update(spark, _days_folder(path), day, change):
             done.append(day)

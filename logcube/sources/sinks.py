@@ -40,16 +40,25 @@ def day_keys(days: Iterable | None) -> list[int] | None:
     return sorted(int((d.isoformat() if isinstance(d, _dt.date) else str(d)).replace("-", "")) for d in days)
 
 
-def write_report_files(df: DataFrame, path: str, date_col: str = "date", fmt: str = "parquet", days: Iterable | None = None) -> None:
+def write_report_files(df: DataFrame, path: str, date_col: str = "date", fmt: str = "parquet", days: Iterable | None = None, plain: bool = True) -> None:
     """Write a report partitioned by day, replacing the days present and, of
-    ``days``, those that have no rows now.  The report is executed once."""
+    ``days``, those that have no rows now.  The report is executed once.
+    ``plain`` brings the plain folders up to date, too."""
     spark, root, run = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex
     where = f"{root}/_runs/run={run}"
     df.write.partitionBy(date_col).format(fmt).save(where)
     written = {n.split("=", 1)[1] for n in store.names(spark, where) if n.startswith(f"{date_col}=")}
-    changed = written | {str(k) for k in day_keys(days) or []}
+    changed = written | _names_of(df.schema[date_col].dataType, days)
     commit_report(spark, root, run, written, changed, df.schema.json())
-    export_days(spark, root, date_col, fmt, sorted(changed))
+    if plain:
+        export_days(spark, root, date_col, fmt, sorted(changed))
+
+
+def _names_of(kind: T.DataType, days: Iterable | None) -> set[str]:
+    """Folder names of days: keys (yyyymmdd) in a column of numbers, else as they are."""
+    if isinstance(kind, T.StringType | T.DateType):
+        return {str(d) for d in days or []}
+    return {str(k) for k in day_keys(days) or []}
 
 
 def commit_report(spark: SparkSession, root: str, run: str, written: set[str], changed: set[str], schema: str) -> None:
@@ -80,7 +89,8 @@ def read_report_files(spark: SparkSession, path: str, date_col: str = "date", fm
     _, content = store.current(spark, f"{root}/_report", "days")
     if content is None:
         raise FileNotFoundError(f"no report at {path}")
-    wanted = content["days"] if days is None else [str(k) for k in day_keys(days)]
+    kind = T.StructType.fromJson(json.loads(content["schema"]))[date_col].dataType
+    wanted = content["days"] if days is None else _names_of(kind, days)
     return _read(spark, content, root, fmt, _folders(content, root, date_col, sorted(wanted)))
 
 
