@@ -21,6 +21,7 @@ from logcube.llm.common import stored, text_or_empty
 
 #: Lanes of a fingerprint, a signed bigint each.
 WIDTH = 96
+#: A lane is one bigint: its sums are exact modulo this power, at this place of it.
 MODULUS = 1 << 64
 SHIFTS = (0,)
 #: While parts are summed, three lanes of bytes lie in one bigint, 21 bits apart;
@@ -28,6 +29,8 @@ SHIFTS = (0,)
 PACKED = (0, 21, 42)
 RUN = ((1 << 21) - 1) // 255
 BYTES = sum(0xFF << s for s in PACKED)
+#: The start of a text up to the end of its last whole line or sentence.
+HEAD = r"(?s)^(.*(?:\n|[\p{P}\p{S}] +(?=[^ ])))"
 #: Paragraphs are cut at line ends and at spaces after a punctuation mark or symbol.
 PARAGRAPH_END = r"\n+|(?<=[\p{P}\p{S}]) +"
 #: A paragraph of more characters is cut into parts of 1 to ``PART_ATOMS`` atoms:
@@ -138,6 +141,78 @@ def successors(keys: DataFrame, columns: list[str]) -> DataFrame:
     return led.join(F.broadcast(firsts), "part").select(*columns, F.coalesce("led", "following").alias("next"))
 
 
+def _with_tails(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(key, text, tail), one row per row of ``docs``, and (of, key) of every
+    document and its next one.  A key is the doc_id and a hash of the text."""
+    text = text_or_empty(text_col)
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    order = successors(texts.select("doc_id", "text_hash", F.length("text").alias("n_chars")), ["doc_id", "text_hash", "n_chars"])
+    key = F.struct("doc_id", "text_hash")
+    texts = texts.select(key.alias("key"), "text")
+    order = order.select(key.alias("of"), F.struct("next.doc_id", "next.text_hash").alias("key"), F.floor(F.col("n_chars") / 4).cast("int").alias("cut"))
+    # One row per document and its next: repeated rows of the next are alike.
+    after = order.join(texts, "key").groupBy("of").agg(F.first(F.expr("left(text, cut)")).alias("tail"))
+    return texts.join(after.withColumnRenamed("of", "key"), "key"), order.select("of", "key")
+
+
+def _kept() -> Column:
+    return F.expr("left(text, length(text) - cast(floor(length(text) / 4) as int))")
+
+
+def fingerprints_of_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """As ``fingerprints_with_edits``, but with key and edited_sha256 instead of
+    the edited text.
+
+    The hash's own algebra spares the edited text: up to the last whole line or
+    sentence before the cut both texts have the same parts, which are hashed once
+    and count for both.  Parts become rows, and a text's lanes sums over its rows."""
+    rows, order = _with_tails(docs, id_col, text_col)
+    rows = rows.withColumn("kept", _kept())
+    rows = rows.withColumn("start", F.length(F.regexp_extract("kept", HEAD, 1)))
+    edited = F.concat("kept", "tail")
+
+    def tagged(text: Column, in_text: bool, in_edited: bool) -> Column:
+        tag = F.lit(int(in_text) + 2 * int(in_edited)).alias("tag")
+        return F.transform(parts(text), lambda p: F.struct(F.xxhash64(p).alias("digest"), tag))
+
+    # In runs whose sums fit a packed bigint.
+    digests = F.concat(
+        tagged(F.expr("left(text, start)"), True, True),
+        tagged(F.expr("substring(text, start + 1)"), True, False),
+        tagged(F.expr("concat(substring(kept, start + 1), tail)"), False, True),
+    )
+    rows = rows.select(
+        F.monotonically_increasing_id().alias("row"), "key", F.length("text").cast("bigint").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"), digests.alias("digests")
+    )
+    one_by_one = rows.select("row", "key", "n_chars", "edited_sha256", F.posexplode_outer("digests").alias("place", "part"))
+    names = ["row", "key", "n_chars", "edited_sha256"]
+    hashes = [F.xxhash64(F.lit(i), "part.digest").bitwiseAND(F.lit(BYTES)) for i in range(width // len(PACKED))]
+    of = {"text": F.col("part.tag").bitwiseAND(F.lit(1)) > 0, "edited": F.col("part.tag").bitwiseAND(F.lit(2)) > 0}
+    sums = [F.sum(F.when(has, h).otherwise(0)).alias(f"{name}{i}") for name, has in of.items() for i, h in enumerate(hashes)]
+    counts = [F.sum(F.when(has, 1).otherwise(0)).cast("bigint").alias(f"n_{name}") for name, has in of.items()]
+    summed = one_by_one.groupBy(*names, F.floor(F.col("place") / RUN).alias("run")).agg(*counts, *sums)
+
+    def lanes(name: str) -> Column:
+        found = [F.shiftright(f"{name}{i}", s).bitwiseAND(F.lit((1 << 21) - 1)) * 2 - F.col(f"n_{name}") * 255 for i in range(width // len(PACKED)) for s in PACKED]
+        return F.array(*found)
+
+    summed = summed.select("row", "key", "n_chars", "edited_sha256", "run", lanes("text").alias("fingerprint"), lanes("edited").alias("edited_fingerprint"))
+    summed = stored(summed, "lanes")
+    # Texts of several runs: few, and long.
+    several = summed.where("run > 0").select("row").distinct()
+    runs = summed.join(several, "row", "left_semi").groupBy("row", "key", "n_chars", "edited_sha256").agg(
+        F.collect_list(F.struct("fingerprint", "edited_fingerprint")).alias("runs")  # one entry per RUN parts
+    )
+
+    def total(name: str) -> Column:
+        return F.aggregate(F.col(f"runs.{name}"), F.array_repeat(F.lit(0).cast("bigint"), width), add).alias(name)
+
+    whole = summed.join(several, "row", "left_anti").drop("run").unionByName(runs.select(*names, total("fingerprint"), total("edited_fingerprint")))
+    following = order.join(whole.select("key", "fingerprint"), "key").groupBy("of").agg(F.first("fingerprint").alias("next_fingerprint"))
+    whole = whole.join(following.withColumnRenamed("of", "key"), "key")
+    return whole.select("key", F.col("key.doc_id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "next_fingerprint")
+
+
 def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, edited_text, fingerprint,
     edited_fingerprint, next_fingerprint (array<bigint>).
@@ -148,24 +223,7 @@ def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: s
     document comes the first.  Repeated rows have one next document, the next
     different one; a lone document is its own.  NULL texts count as empty;
     other columns are not read; an empty table gives an empty result."""
-    text = text_or_empty(text_col)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    order = successors(texts.select("doc_id", "text_hash", F.length("text").alias("n_chars")), ["doc_id", "text_hash", "n_chars"])
-    key = F.struct("doc_id", "text_hash")
-    texts = texts.select(key.alias("key"), "text", fingerprint(F.col("text"), width).alias("fingerprint"))
-    order = order.select(key.alias("of"), F.struct("next.doc_id", "next.text_hash").alias("key"), F.floor(F.col("n_chars") / 4).cast("int").alias("cut"))
-    # One row per document and its next: repeated rows of the next are alike.
-    after = order.join(texts, "key").groupBy("of").agg(
-        F.first(F.expr("left(text, cut)")).alias("tail"), F.first("fingerprint").alias("next_fingerprint")
-    )
-    after = after.withColumnRenamed("of", "key")
-    n_chars = F.length("text")
-    edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 4) as int))"), F.col("tail"))
-    rows = texts.join(after, "key").select(
-        F.col("key.doc_id").alias("doc_id"),
-        n_chars.cast("bigint").alias("n_chars"),
-        edited.alias("edited_text"),
-        "fingerprint",
-        "next_fingerprint",
-    )
-    return rows.withColumn("edited_fingerprint", fingerprint(F.col("edited_text"), width))
+    rows, _ = _with_tails(docs, id_col, text_col)
+    found = fingerprints_of_edits(docs, id_col, text_col, width).dropDuplicates(["key"])
+    columns = ["doc_id", "n_chars", "edited_text", "fingerprint", "next_fingerprint", "edited_fingerprint"]
+    return rows.select("key", F.concat(_kept(), "tail").alias("edited_text")).join(found, "key").select(*columns)

@@ -53,11 +53,11 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fp.fingerprints_with_edits(table(spark, sf_dir, "documents"))
+    rows = fp.fingerprints_of_edits(table(spark, sf_dir, "documents"))
     return rows.select(
         "doc_id",
         "n_chars",
-        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        "edited_sha256",
         fp.to_hex(F.col("fingerprint")).alias("fingerprint"),
         fp.to_hex(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         fp.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),

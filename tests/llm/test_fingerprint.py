@@ -1,4 +1,7 @@
 import hashlib
+import math
+import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -73,8 +76,6 @@ def test_a_lone_document_is_its_own_next(spark):
 
 
 def one_line_texts():
-    import random
-
     rng = random.Random(4)
     words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) for _ in range(4000)]
     return {
@@ -116,3 +117,41 @@ def test_lanes_do_not_wrap_in_long_texts(spark):
         for r in got.collect():
             assert r.many == [n * x for x in r.once] and all(x % 2 and -255 <= x <= 255 for x in r.once)
             assert n == 1 or r.like > 0.999999, n
+
+
+def cosine(a, b):
+    a, b = Counter(a), Counter(b)
+    norms = math.sqrt(sum(n * n for n in a.values()) * sum(n * n for n in b.values()))
+    return sum(n * b[p] for p, n in a.items()) / norms if norms else 0.0
+
+
+def test_likeness_is_the_cosine_of_the_multisets_of_parts(spark):
+    """Brute force: the exact cosine of the parts, which the fingerprints' estimate
+    with an error of about 1 / sqrt(lanes)."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    parts = {r.doc_id: r.parts for r in docs.select("doc_id", fp.parts(F.coalesce("text", F.lit(""))).alias("parts")).collect()}
+    edited = fp.fingerprints_with_edits(docs).select("doc_id", fp.parts(F.col("edited_text")).alias("parts"))
+    edited, ids = {r.doc_id: r.parts for r in edited.collect()}, sorted(parts)
+    errors = []
+    for r in op4_fingerprints(spark, SF).collect():
+        following = ids[(ids.index(r.doc_id) + 1) % len(ids)]
+        for got, other in ((r.near_edited, edited[r.doc_id]), (r.near_next, parts[following])):
+            errors.append(got - max(0.0, cosine(parts[r.doc_id], other)))
+    spread = math.sqrt(sum(e * e for e in errors) / len(errors))
+    assert spread < 1 / math.sqrt(fp.WIDTH) and max(map(abs, errors)) < 5 / math.sqrt(fp.WIDTH)
+
+
+def test_shared_parts_count_for_both_texts(spark, monkeypatch):
+    """What the algebra gives is what hashing both whole texts gives."""
+    rng = random.Random(6)
+    pieces = ["\n", "\n\n", ". ", ".  ", "! ", " ", "  ", "a", "word", ". \n", "\n  ", "?", "é", "漢字", "“ ", "long words in a row that are cut by their own hashes "]
+    rows = [(i, "".join(rng.choices(pieces, k=rng.randint(0, 60)))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for run in (fp.RUN, 7):
+        monkeypatch.setattr(fp, "RUN", run)
+        got = fp.fingerprints_with_edits(docs)
+        same = [(fp.fingerprint(F.col("edited_text")) == F.col("edited_fingerprint")).alias("edited"), "doc_id", "fingerprint"]
+        got = {r.doc_id: r for r in got.select(*same).collect()}
+        want = {r.doc_id: r.fp for r in docs.select("doc_id", fp.fingerprint(F.col("text")).alias("fp")).collect()}
+        assert len(got) == 400 and all(r.edited for r in got.values())
+        assert {k: r.fingerprint for k, r in got.items()} == want
