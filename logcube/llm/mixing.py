@@ -11,8 +11,10 @@
    once a round, and in part where the last block ends within it.
 
 Only the light (document, source, size) table is shuffled.  A source is cut
-into up to ``max_shards`` shards, so that a hot source is spread over tasks;
-what grows with the number of sources or shards never holds documents.
+into up to ``max_shards`` shards, so that a hot source is spread over tasks.
+Sources, of which there may be millions (hosts, say), are a table like any other:
+their order, the filling and the seats follow from range partitions, of which
+only the totals meet (``running``).
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ WEIGHTS = (3, 1, 2)
 BROADCAST_SOURCES = 100_000
 #: Halvings of the quotient's interval: beyond the precision of a double.
 HALVINGS = 80
+#: Quotients that are tried in one pass over the sources, passes at most, and seats
+#: per source between two quotients that are few enough to be ranked.
+TRIED, PASSES, RANKED = 32, 24, 2
 
 
 def apportion(weights: Column, seats: Column) -> Column:
@@ -77,29 +82,80 @@ def _with_rest(weights: Column, left: Column, counts: Column) -> Column:
     return _once(both, lambda b: F.zip_with(counts, b["order"], lambda n, o: n + F.when(o <= b["last"], 1).otherwise(0)))
 
 
+def running(rows: DataFrame, order: Sequence[Column], sums: dict[str, Column], name: str) -> DataFrame:
+    """``rows`` with ``rank`` (from 0) in ``order``, which tells all of them apart,
+    and of each of ``sums`` the sum over the rows before.
+
+    Rows are dealt into range partitions; the totals of each, one row, meet in a
+    window, and within a partition the rows are added up."""
+    keyed = rows.withColumn("_sums", F.struct(*[c.alias(k) for k, c in sums.items()], F.lit(1).cast("bigint").alias("rank")))
+    ranged = stored(keyed.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), name)
+    names = [*sums, "rank"]
+    totals = ranged.groupBy("_part").agg(*[F.sum(f"_sums.{k}").alias(k) for k in names])
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = totals.select("_part", F.struct(*[F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(k) for k in names]).alias("_from"))
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = {k: F.coalesce(F.sum(f"_sums.{k}").over(within), F.lit(0)) + F.col(f"_from.{k}") for k in names}
+    return ranged.join(F.broadcast(offsets), "_part").withColumns(before).drop("_part", "_sums", "_from")
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, max_repeats: int = 2) -> DataFrame:
     """(source, source_size) -> + ordinal, target.  Sources stand by code
     point, NULL last, and ``weights`` repeat along them.  One row per source."""
-    everything = Window.partitionBy()
-    ordered = Window.orderBy(F.col("source").asc_nulls_last())
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    rows = sizes.withColumn("ordinal", F.row_number().over(ordered) - 1)
-    rows = rows.withColumns({
-        "weight": F.get(cycle, F.col("ordinal") % len(weights)),
-        "cap": F.col("source_size").cast("double") * max_repeats,
-        "wanted": F.sum("source_size").over(everything).cast("double") * share,
-    })
+    rows = running(sizes, [F.col("source").asc_nulls_last()], {}, "sources-in-order").withColumnRenamed("rank", "ordinal")
+    rows = rows.withColumns({"weight": F.get(cycle, F.col("ordinal") % len(weights)), "cap": F.col("source_size").cast("double") * max_repeats})
     # Full sources first: with the first k - 1 at their caps, the others share by weight.
     rows = rows.withColumn("full_at", F.col("cap") / F.col("weight"))
-    upward = Window.orderBy("full_at", "ordinal")
-    before = F.coalesce(F.sum("cap").over(upward.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    onward = F.sum("weight").over(upward.rowsBetween(0, Window.unboundedFollowing))
-    rows = rows.withColumn("level", (F.col("wanted") - before) / onward)
-    level = F.max(F.when(F.col("level") <= F.col("full_at"), F.col("level"))).over(everything)
-    target = F.least(F.col("cap"), F.coalesce(level * F.col("weight"), F.col("cap")))
+    rows = running(rows, [F.col("full_at"), F.col("ordinal")], {"full": F.col("cap"), "lighter": F.col("weight")}, "sources-filling").drop("rank")
+    total = rows.agg(F.sum("source_size").cast("double").alias("size"), F.sum("weight").alias("weight")).first()
+    wanted, all_weights = (total["size"] or 0.0) * share, total["weight"] or 0.0
+    level = (F.lit(wanted) - F.col("full")) / (F.lit(all_weights) - F.col("lighter"))
+    found = rows.withColumn("level", level).agg(F.max(F.when(F.col("level") <= F.col("full_at"), F.col("level")))).first()[0]
+    target = F.col("cap") if found is None else F.least(F.col("cap"), F.lit(found) * F.col("weight"))
     return rows.select("source", "source_size", "ordinal", target.alias("target"))
 
 
+def seats_of(sources: DataFrame, blocks: int) -> DataFrame:
+    """(ordinal, target) -> + seats: ``blocks`` Sainte-Lague seats for any number
+    of sources.
+
+    A few quotients at a time are tried with one sum over the sources each, until
+    not many more seats than sources lie between two of them; only those are
+    written out and ranked, by quotient, the earlier source on a tie."""
+    totals = sources.agg(F.sum("target").alias("target"), F.count("*").alias("n"), F.max("target").alias("top")).first()
+    if not blocks or not totals["target"]:
+        return sources.withColumn("seats", F.lit(0).cast("bigint"))
+
+    def at(quotient: float) -> Column:
+        return F.floor((F.col("target") / F.lit(quotient) + 1) / 2).cast("bigint")
+
+    # All seats are above ``low``, as the largest source alone has that many there; none above ``high``.
+    low, high, below, above = totals["top"] / (2 * blocks + 1), 2.0 * totals["top"], None, 0
+    for _ in range(PASSES):
+        if below is not None and below - above <= RANKED * totals["n"] + 1000:
+            break
+        tried = [low * (high / low) ** (i / TRIED) for i in range(TRIED)]
+        seats = list(sources.agg(*[F.sum(at(q)) for q in tried]).first())
+        fits = [i for i, n in enumerate(seats) if n <= blocks]
+        first = min(fits, default=TRIED)  # seats fall as quotients rise
+        if first < TRIED:
+            high, above = tried[first], seats[first]
+        if first > 0:
+            low, below = tried[first - 1], seats[first - 1]
+        else:
+            below = seats[0]
+            break  # exactly those seats are above ``low``
+    # One seat less and one more at the ends, where a quotient may be rounded to either side.
+    sure = sources.withColumn("sure", F.greatest(at(high) - 1, F.lit(0).cast("bigint")))
+    left = blocks - sure.agg(F.sum("sure")).first()[0]
+    open_seats = sure.select("ordinal", F.explode(F.sequence(F.col("sure"), at(low) + 1)).alias("seat"), "target")
+    open_seats = open_seats.select("ordinal", "seat", (F.col("target") / (2 * F.col("seat") + 1)).alias("quotient"))
+    ranked = running(open_seats, [F.col("quotient").desc(), F.col("ordinal"), F.col("seat")], {}, "seats")
+    won = ranked.where(F.col("rank") < left).groupBy("ordinal").agg(F.count("*").alias("won"))
+    return sure.join(won, "ordinal", "left").withColumn("seats", F.col("sure") + F.coalesce("won", F.lit(0))).drop("sure", "won")
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -155,15 +211,11 @@ def mix(
 
 def _quotas(numbered: DataFrame, sources: DataFrame, block_words: int) -> DataFrame:
     """(ordinal, shard, shard_size, quota): blocks per shard."""
-    whole = sources.agg(
-        F.sort_array(F.collect_list(F.struct("ordinal", "target"))).alias("of"),  # one entry per source
-        F.round(F.sum("target") / block_words).cast("bigint").alias("blocks"),
-    )
-    whole = whole.where("size(of) > 0").withColumn("seats", apportion(F.col("of.target"), F.col("blocks")))
-    whole = whole.select(F.explode(F.arrays_zip(F.col("of.ordinal").alias("ordinal"), F.col("seats").alias("seats"))).alias("s"))
+    blocks = sources.agg(F.round(F.sum("target") / block_words).cast("bigint")).first()[0] or 0
+    whole = seats_of(sources.select("ordinal", "target"), blocks).select("ordinal", F.col("seats").alias("blocks"))
     shards = numbered.groupBy("ordinal", "shard").agg(F.sum("size").alias("shard_size"))
     by_source = shards.groupBy("ordinal").agg(F.sort_array(F.collect_list(F.struct("shard", "shard_size"))).alias("of"))  # at most max_shards
-    by_source = by_source.join(whole.select("s.ordinal", F.col("s.seats").alias("blocks")), "ordinal")
+    by_source = by_source.join(whole, "ordinal")
     seats = apportion(F.transform("of", lambda s: s["shard_size"].cast("double")), F.col("blocks"))
     rows = by_source.withColumn("seats", seats)
     rows = rows.select("ordinal", F.posexplode("of").alias("k", "of"), "seats")

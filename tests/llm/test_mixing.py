@@ -1,10 +1,11 @@
+import heapq
 import random
 import re
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from logcube.llm.mixing import apportion, mix
+from logcube.llm.mixing import apportion, mix, running, seats_of
 from tests.llm.conftest import SF
 
 
@@ -79,3 +80,44 @@ def test_awkward_rows(spark, awkward, empty):
     assert mix(empty).count() == 0
     wordless = spark.createDataFrame([(1, None, None), (2, " ", "s")], "doc_id bigint, text string, source string")
     assert [(r.size, r.taken, r.target) for r in mix(wordless).collect()] == [(0, 0, 0.0)] * 2
+
+
+def by_heap(weights, seats):
+    heap, got = [(-w, i) for i, w in enumerate(weights) if w > 0], [0] * len(weights)
+    heapq.heapify(heap)
+    for _ in range(seats if heap else 0):
+        _, i = heap[0]
+        got[i] += 1
+        heapq.heapreplace(heap, (-weights[i] / (2 * got[i] + 1), i))
+    return got
+
+
+def test_seats_of_many_sources(spark):
+    rng = random.Random(8)
+    cases = [([1.0], 7), ([3.0] * 3, 4), ([5.0, 0.0, 5.0], 3), ([1e9, 1.0, 2.0], 50), ([1.0, 2.0], 0), ([0.0, 0.0], 5)]
+    cases += [([float(int(rng.paretovariate(0.7))) for _ in range(3000)], n) for n in (10, 2999, 50_000)]
+    cases += [([64.0] * 5000, 12_345), ([rng.random() * 1e6 for _ in range(40)], 100_000)]  # ties; few and many
+    for weights, seats in cases:
+        sources = spark.createDataFrame(list(enumerate(weights)), "ordinal int, target double")
+        got = {r.ordinal: r.seats for r in seats_of(sources, seats).collect()}
+        assert [got[i] for i in range(len(weights))] == by_heap(weights, seats), (weights[:5], seats)
+
+
+def test_running_sums_over_partitions(spark):
+    rng = random.Random(9)
+    rows = [(i, rng.choice([None, "a", "b", "c"]), rng.randint(0, 9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, k string, n int").repartition(7)
+    order = sorted(rows, key=lambda r: (r[1] is None, r[1] or "", -r[0]))
+    want, total = {}, 0
+    for place, (i, _, n) in enumerate(order):
+        want[i] = (place, total)
+        total += n
+    got = running(df, [F.col("k").asc_nulls_last(), F.col("id").desc()], {"before": F.col("n")}, "t")
+    assert {r.id: (r["rank"], r.before) for r in got.collect()} == want
+    assert sorted(got.columns) == ["before", "id", "k", "n", "rank"] and running(df.limit(0), [F.col("id")], {}, "t").count() == 0
+
+
+def test_as_many_sources_as_documents(spark):
+    rows = [(i, "w " * (i % 13), f"host{i}") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    check(mix(docs, block_words=8).collect(), rows, 8)
