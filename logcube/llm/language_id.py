@@ -14,8 +14,11 @@ the accepted texts have at most ``MAX_ERROR`` wrong languages.
 The softmax only compares the learnt languages, and is sure of one for noise or
 another language as well.  A text is therefore also rejected if its subwords are
 too rare in the likeliest language: their mean log-likelihood lies further below
-that of held-back texts, in deviations for as many different subwords, than all
-but ``MAX_ODD`` of those.
+that of held-back texts, in deviations for as many different subwords, than the
+limit.  The limit comes from the held-back texts alone: each is also measured in
+every other language, as a text of one that was never learnt would be, and the
+limit is in the middle between the median of these and what all but ``MAX_ODD`` of
+the texts reach in their own language.
 
 Prediction reads whole texts.  The mean and the linear layer commute, so the
 table is multiplied with the layer once, and a text costs one row of scores per
@@ -25,7 +28,7 @@ subword.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +45,10 @@ STEPS, BATCH, RATE = 500, 64, 4.0
 #: One in so many sampled documents is held back for the calibration.
 CALIBRATION = 5
 MAX_ERROR = 0.01
-#: Share of held-back texts whose subwords may count as too rare, and the least
-#: deviations below the mean that do.
-MAX_ODD, MIN_DEVIATIONS = 0.002, 6.0
+#: Share of held-back texts below which the limit of rare subwords lies.
+MAX_ODD = 0.002
+#: The limit where only one language is learnt.
+ONE_LANGUAGE = -8.0
 #: Added to every count of subwords.  Languages with fewer held-back texts than
 #: this share the mean of all.
 SMOOTHING, MIN_TEXTS = 0.5, 20
@@ -205,7 +209,16 @@ def _typical(rows: np.ndarray, y: np.ndarray, held: np.ndarray, held_y: np.ndarr
     inside = max(float(within.mean()), 1e-6)
     between = max(0.0, float(((mean - of[held_y]) ** 2 - inside / different).mean()))
     deviations = (mean - of[held_y]) / np.sqrt(between + inside / different)
-    return Typical(likely, of, between, inside, min(-MIN_DEVIATIONS, float(np.quantile(deviations, MAX_ODD))))
+    found = Typical(likely, of, between, inside, 0.0)
+    others = [found.deviations(r, k) for r, own in zip(held, held_y, strict=True) for k in range(n) if k != own]
+    return replace(found, lowest=_limit(deviations, np.array(others)))
+
+
+def _limit(own: np.ndarray, others: np.ndarray) -> float:
+    """Deviations below which a text is rejected, from those of texts in their
+    own language and in others."""
+    lowest = float(np.quantile(own, MAX_ODD))
+    return min(lowest, (lowest + float(np.median(others))) / 2 if len(others) else ONE_LANGUAGE)
 
 
 def _calibrated(logits: np.ndarray, y: np.ndarray, max_error: float) -> tuple[float, float]:

@@ -74,3 +74,13 @@ def test_unlearnt_languages_and_noise_are_rejected(spark):
         learnt = [r.rejected for r in rows if r.lang != left_out]
         assert sum(unlearnt) >= 0.9 * len(unlearnt) > 0, left_out
         assert sum(learnt) <= 0.02 * len(learnt), left_out
+
+
+def test_limit_of_rare_subwords():
+    import numpy as np
+
+    own, others = np.array([-3.0, 0.0, 1.0]), np.array([-20.0, -11.0, -9.0])
+    lowest = np.quantile(own, li.MAX_ODD)
+    assert abs(li._limit(own, others) - (lowest - 11) / 2) < 1e-12
+    assert li._limit(own, np.array([2.0])) == lowest  # no text is odd in another language
+    assert li._limit(own, np.array([])) == li.ONE_LANGUAGE and li._limit(np.array([-11.0]), np.array([])) == -11.0
