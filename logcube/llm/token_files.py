@@ -193,21 +193,25 @@ class FileReader:
         width = self.id_type.itemsize
         return np.frombuffer(self.source.read_at((end - start) * width, start * width), self.id_type)
 
-    def numbers(self) -> list[int | None]:
-        return [None] * self.unnumbered + [self.first + int(x) for x in self._numbers.all()]
+    def number(self, i: int) -> int | None:
+        """Document number of document ``i``."""
+        return self.first + self._numbers.select(i - self.unnumbered) if i >= self.unnumbered else None
 
     def documents(self, read_bytes: int = 8 << 20) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """(number, offset, ids) of all documents, reading ahead in larger parts."""
-        ends = [0, *self.ends.all().astype(np.int64).tolist()]
-        numbers, width, first = self.numbers(), self.id_type.itemsize, 0
-        while first < len(numbers):
-            last = first + 1
-            while last < len(numbers) and (ends[last + 1] - ends[first]) * width <= read_bytes:
-                last += 1
-            part = np.frombuffer(self.source.read_at((ends[last] - ends[first]) * width, ends[first] * width), self.id_type)
-            for i in range(first, last):
-                yield numbers[i], ends[i], part[ends[i] - ends[first] : ends[i + 1] - ends[first]]
-            first = last
+        """(number, offset, ids) of all documents, reading ahead in larger parts.
+        Numbers and offsets are selected one by one, so nothing is unpacked whole."""
+        width, first = self.id_type.itemsize, 0
+        while first < len(self):
+            places = [self.offset(first)]
+            while first + len(places) <= len(self):
+                places.append(self.offset(first + len(places)))
+                if (places[-1] - places[0]) * width > read_bytes and len(places) > 2:
+                    places.pop()  # of the next part
+                    break
+            part = np.frombuffer(self.source.read_at((places[-1] - places[0]) * width, places[0] * width), self.id_type)
+            for k, (start, end) in enumerate(zip(places[:-1], places[1:], strict=True)):
+                yield self.number(first + k), start, part[start - places[0] : end - places[0]]
+            first += len(places) - 1
 
 
 # ------------------------------------------------------------------ encoding
