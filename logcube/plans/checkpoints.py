@@ -9,6 +9,9 @@ read from the session; when the cluster names none, the frame is persisted
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +45,24 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+#: Folders of the open scopes, innermost last.
+_scopes: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables that are made inside go into one folder, which is
+    deleted at the end.  Write or collect the result inside: it reads them."""
+    folder = scratch_dir(spark, "scope")
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, under the cluster's shared
     checkpoint folder.  Only a local-mode session without one (tests, local
@@ -50,7 +71,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     import tempfile
     import uuid
 
-    base = checkpoint_dir(spark)
+    base = _scopes[-1] if _scopes else checkpoint_dir(spark)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for intermediate tables")

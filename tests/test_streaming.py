@@ -44,3 +44,16 @@ def test_replayed_batch_adds_nothing(spark, scratch):
     write(read_raw_logs(spark, root, [D0]), 9)  # an old and a new file: the new one counts
     got = read_facts(spark, facts, fmt="parquet")
     assert got.count() == 3 and got.select("run").distinct().count() == 2
+
+
+def test_a_scope_deletes_its_intermediate_tables(spark):
+    import os
+
+    from logcube.plans.checkpoints import scratch_dir, scratch_scope
+
+    with scratch_scope(spark) as folder:
+        for name in ("a", "b"):
+            spark.range(3).write.parquet(scratch_dir(spark, name))
+        inside = folder.removeprefix("file:")
+        assert len(os.listdir(inside)) == 2 and spark.read.parquet(*[f"{folder}/{n}" for n in os.listdir(inside)]).count() == 6
+    assert not os.path.exists(inside) and not scratch_dir(spark, "c").startswith(folder)
