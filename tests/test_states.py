@@ -1,0 +1,120 @@
+"""Stored day states and the refresh of changed days."""
+
+import datetime as dt
+import random
+import tempfile
+
+from pyspark.sql import functions as F
+
+from logcube.operators.cube import rollup_counts
+from logcube.plans import daily, day_states, refresh, reports
+from logcube.plans.specs import SPECS
+from logcube.sources import facts, sinks, store
+from tests.fixtures import D0, catalog_frame
+from tests.test_io import ev, line, write_gz
+
+KINDS = ("download_fin", "install_fin", "app_open", "game_open", "download_onclick")
+
+
+def folders(scratch, n):
+    return [tempfile.mkdtemp(prefix="states-", dir=scratch) for _ in range(n)]
+
+
+def write_logs(root, days, seed, name="a"):
+    rng = random.Random(seed)
+    for day in days:
+        lines = []
+        for _ in range(25):
+            user, site = rng.choice([None, "bot", "bot", *[f"u{i}" for i in range(9)]]), rng.choice(["ALI", "IQIYI", None])
+            events = {k: [ev(rng.choice([None, "p1", "p2", "p3", "p9"]), rng.choice(["T", "U"])) for _ in range(rng.randint(1, 3))] for k in rng.sample(KINDS, 2)}
+            lines.append(line(user, day - dt.timedelta(rng.choice([0, 0, 0, 1, 7])), site=site, **events))
+        write_gz(f"{root}/{day}/h/{name}.gz", lines)
+
+
+def same(a, b):
+    assert a.columns == b.columns
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_growth_from_states_is_growth_from_facts(spark, scratch):
+    root, fact_root, state_root = folders(scratch, 3)
+    days = [D0 - dt.timedelta(n) for n in range(9)]
+    write_logs(root, days, 1)
+    daily.ingest_days(spark, root, fact_root, days, tz="UTC", fmt="parquet")
+    day_states.update_states(spark, fact_root, state_root, days, fmt="parquet")
+    rows = facts.read_facts(spark, fact_root, fmt="parquet")
+    for name in ("install_v2", "open_v2", "open_v1", "download_v1"):
+        spec = SPECS[name]
+        rich = reports.enriched_for(rows, catalog_frame(spark), spec)
+        same(day_states.cube_of_states(day_states.read_states(spark, state_root), catalog_frame(spark), spec), rollup_counts(rich, spec.keys, spec.grouping_sets))
+        same(day_states.growth_from_states(spark, state_root, catalog_frame(spark), spec, [D0]), reports.growth(rows, catalog_frame(spark), spec, days=[D0]))
+    # late rows in one log day, another catalog: that day's state alone is taken again
+    write_logs(root, [D0], 2, name="late")
+    daily.ingest_day(spark, root, fact_root, D0, tz="UTC", fmt="parquet")
+    before = store.current(spark, f"{state_root}/states/_report", "days")[1]["days"]
+    day_states.update_states(spark, fact_root, state_root, [D0], fmt="parquet")
+    after = store.current(spark, f"{state_root}/states/_report", "days")[1]["days"]
+    assert {d for d in after if after[d] != before[d]} == {str(D0)}
+    other = catalog_frame(spark).withColumn("fsk_catalog", F.lit("one"))
+    rows = facts.read_facts(spark, fact_root, fmt="parquet")
+    same(day_states.growth_from_states(spark, state_root, other, SPECS["open_v2"], [D0]), reports.growth(rows, other, SPECS["open_v2"], days=[D0]))
+    empty = day_states.read_states(spark, state_root, days=["2030-01-01"], kinds=["app_open"])
+    assert empty.count() == 0
+
+
+def test_users_are_numbered_without_gaps_and_once(spark, scratch, monkeypatch):
+    (root,) = folders(scratch, 1)
+
+    def rows(*users):
+        return spark.createDataFrame([(u,) for u in users], "custom_uuid string").repartition(3)
+
+    first = {r.custom_uuid: r.user_no for r in day_states.number_users(rows("a", "b", None, "a", "c"), root).collect()}
+    assert sorted(first) == ["a", "b", "c"] and sorted(first.values()) == [0, 1, 2]
+    assert day_states.number_users(rows("b", "a"), root).count() == 3
+    real, done = store.put_new, []
+
+    def overtaken(*args):  # another writer numbers d and e first
+        if not done:
+            done.append(1)
+            day_states.number_users(rows("d", "e"), root)
+        return real(*args)
+
+    monkeypatch.setattr(store, "put_new", overtaken)
+    found = {r.custom_uuid: r.user_no for r in day_states.number_users(rows("e", "f"), root).collect()}
+    assert sorted(found) == list("abcdef") and sorted(found.values()) == list(range(6))
+    assert {u: found[u] for u in first} == first
+
+
+def test_only_dependent_days_are_rebuilt(spark, scratch):
+    root, fact_root, out, whole = folders(scratch, 4)
+    days = sorted(D0 - dt.timedelta(n) for n in range(12))
+    write_logs(root, days, 3)
+    daily.ingest_days(spark, root, fact_root, days, tz="UTC", fmt="parquet")
+    specs, cat = [SPECS["install_v2"], SPECS["open_v1"]], catalog_frame(spark)
+
+    def run(where):
+        return refresh.refresh_reports(spark, fact_root, cat, where, days[0], days[-1], specs, fmt="parquet")
+
+    built = run(out)
+    assert all(own == days for own in built.values())
+    assert not any(run(out).values())  # nothing changed
+    changed = days[3]
+    write_gz(f"{root}/{changed}/h/a.gz", [line("u1", changed, install_fin=[ev("p1")], download_onclick=[ev("p1")])])
+    write_gz(f"{root}/{changed}/h/b.gz", [line("u2", changed, app_open=[ev("p1")])])
+    before = {(p["kind"], p["dt"]) for r in facts.day_runs(spark, fact_root, [changed])[str(changed)] for p in r["parts"]}
+    daily.ingest_day(spark, root, fact_root, changed, tz="UTC", fmt="parquet")
+    rebuilt = run(out)
+    touched = {dt.date.fromisoformat(d) for k, d in before if k == "install_fin"}
+    assert rebuilt["app_install_report"] == sorted({t + dt.timedelta(n) for t in touched for n in (0, 1, 7)} & set(days))
+    assert len(rebuilt["app_install_report"]) < len(days) and changed in rebuilt["funnel_app_install_report"]
+    run(whole)  # all days at once
+    for name in rebuilt:
+        same(sinks.read_report_files(spark, f"{out}/{name}"), sinks.read_report_files(spark, f"{whole}/{name}"))
+    # compaction changes no report
+    from tests.test_writers import stream_batch  # a run of D0 more
+
+    write_logs(root, [D0], 4, name="z")
+    stream_batch(spark, root, fact_root)
+    assert any(run(out).values())
+    assert facts.compact(spark, fact_root, [D0], fmt="parquet") == [str(D0)]
+    assert not any(run(out).values())
