@@ -141,18 +141,24 @@ def successors(keys: DataFrame, columns: list[str]) -> DataFrame:
     return led.join(F.broadcast(firsts), "part").select(*columns, F.coalesce("led", "following").alias("next"))
 
 
-def _with_tails(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(key, text, tail), one row per row of ``docs``, and (of, key) of every
-    document and its next one.  A key is the doc_id and a hash of the text."""
+def _with_tails(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(key, next, text, tail, n_rows), one row per document and key of the next
+    one; repeated rows are one of n_rows.  A key is the doc_id and a hash of the text."""
     text = text_or_empty(text_col)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     order = successors(texts.select("doc_id", "text_hash", F.length("text").alias("n_chars")), ["doc_id", "text_hash", "n_chars"])
-    key = F.struct("doc_id", "text_hash")
-    texts = texts.select(key.alias("key"), "text")
-    order = order.select(key.alias("of"), F.struct("next.doc_id", "next.text_hash").alias("key"), F.floor(F.col("n_chars") / 4).cast("int").alias("cut"))
-    # One row per document and its next: repeated rows of the next are alike.
-    after = order.join(texts, "key").groupBy("of").agg(F.first(F.expr("left(text, cut)")).alias("tail"))
-    return texts.join(after.withColumnRenamed("of", "key"), "key"), order.select("of", "key")
+
+    def key(of: str = "") -> Column:
+        # Never NULL, as in ``texts``: so both sides of a join are dealt out by the same expression.
+        return F.struct(F.col(f"{of}doc_id").alias("doc_id"), F.coalesce(F.col(f"{of}text_hash"), F.lit(0).cast("bigint")).alias("text_hash"))
+
+    # Combined on the map side, so that a row that is repeated without end is one.
+    texts = texts.groupBy(F.struct("doc_id", "text_hash").alias("key")).agg(F.first("text").alias("text"), F.count("*").alias("n_rows"))
+    order = order.select(key().alias("of"), key("next.").alias("key"), F.floor(F.col("n_chars") / 4).cast("int").alias("cut"))
+    # With all columns of ``texts``, so that both joins read one exchange of them.
+    tail = F.when(F.col("n_rows") > 0, F.expr("left(text, cut)"))
+    after = order.join(texts, "key").select(F.col("of").alias("key"), F.col("key").alias("next"), tail.alias("tail"))
+    return texts.join(after, "key")
 
 
 def _kept() -> Column:
@@ -166,8 +172,7 @@ def fingerprints_of_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str
     The hash's own algebra spares the edited text: up to the last whole line or
     sentence before the cut both texts have the same parts, which are hashed once
     and count for both.  Parts become rows, and a text's lanes sums over its rows."""
-    rows, order = _with_tails(docs, id_col, text_col)
-    rows = rows.withColumn("kept", _kept())
+    rows = _with_tails(docs, id_col, text_col).withColumn("kept", _kept())
     rows = rows.withColumn("start", F.length(F.regexp_extract("kept", HEAD, 1)))
     edited = F.concat("kept", "tail")
 
@@ -181,11 +186,11 @@ def fingerprints_of_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str
         tagged(F.expr("substring(text, start + 1)"), True, False),
         tagged(F.expr("concat(substring(kept, start + 1), tail)"), False, True),
     )
-    rows = rows.select(
-        F.monotonically_increasing_id().alias("row"), "key", F.length("text").cast("bigint").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"), digests.alias("digests")
-    )
-    one_by_one = rows.select("row", "key", "n_chars", "edited_sha256", F.posexplode_outer("digests").alias("place", "part"))
-    names = ["row", "key", "n_chars", "edited_sha256"]
+    n_chars, sha256 = F.length("text").cast("bigint"), F.sha2(edited.cast("binary"), 256)
+    rows = rows.select("key", "next", "n_rows", n_chars.alias("n_chars"), sha256.alias("edited_sha256"), digests.alias("digests"))
+    rows = rows.withColumn("n_runs", F.ceil(F.size("digests") / RUN))
+    names = ["key", "next", "n_rows", "n_chars", "edited_sha256", "n_runs"]
+    one_by_one = rows.select(*names, F.posexplode_outer("digests").alias("place", "part"))
     hashes = [F.xxhash64(F.lit(i), "part.digest").bitwiseAND(F.lit(BYTES)) for i in range(width // len(PACKED))]
     of = {"text": F.col("part.tag").bitwiseAND(F.lit(1)) > 0, "edited": F.col("part.tag").bitwiseAND(F.lit(2)) > 0}
     sums = [F.sum(F.when(has, h).otherwise(0)).alias(f"{name}{i}") for name, has in of.items() for i, h in enumerate(hashes)]
@@ -196,20 +201,19 @@ def fingerprints_of_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str
         found = [F.shiftright(f"{name}{i}", s).bitwiseAND(F.lit((1 << 21) - 1)) * 2 - F.col(f"n_{name}") * 255 for i in range(width // len(PACKED)) for s in PACKED]
         return F.array(*found)
 
-    summed = summed.select("row", "key", "n_chars", "edited_sha256", "run", lanes("text").alias("fingerprint"), lanes("edited").alias("edited_fingerprint"))
+    summed = summed.select(*names, lanes("text").alias("fingerprint"), lanes("edited").alias("edited_fingerprint"))
     summed = stored(summed, "lanes")
-    # Texts of several runs: few, and long.
-    several = summed.where("run > 0").select("row").distinct()
-    runs = summed.join(several, "row", "left_semi").groupBy("row", "key", "n_chars", "edited_sha256").agg(
+    # Texts of several runs are few, and long.
+    runs = summed.where("n_runs > 1").groupBy(*names).agg(
         F.collect_list(F.struct("fingerprint", "edited_fingerprint")).alias("runs")  # one entry per RUN parts
     )
 
     def total(name: str) -> Column:
         return F.aggregate(F.col(f"runs.{name}"), F.array_repeat(F.lit(0).cast("bigint"), width), add).alias(name)
 
-    whole = summed.join(several, "row", "left_anti").drop("run").unionByName(runs.select(*names, total("fingerprint"), total("edited_fingerprint")))
-    following = order.join(whole.select("key", "fingerprint"), "key").groupBy("of").agg(F.first("fingerprint").alias("next_fingerprint"))
-    whole = whole.join(following.withColumnRenamed("of", "key"), "key")
+    whole = summed.where("n_runs <= 1").unionByName(runs.select(*names, total("fingerprint"), total("edited_fingerprint")))
+    following = whole.select(F.col("key").alias("next"), F.col("fingerprint").alias("next_fingerprint"))
+    whole = whole.join(following, "next").withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_rows"))))
     return whole.select("key", F.col("key.doc_id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "next_fingerprint")
 
 
@@ -223,7 +227,7 @@ def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: s
     document comes the first.  Repeated rows have one next document, the next
     different one; a lone document is its own.  NULL texts count as empty;
     other columns are not read; an empty table gives an empty result."""
-    rows, _ = _with_tails(docs, id_col, text_col)
-    found = fingerprints_of_edits(docs, id_col, text_col, width).dropDuplicates(["key"])
+    edited = _with_tails(docs, id_col, text_col).select("key", F.concat(_kept(), "tail").alias("edited_text"))
+    found = fingerprints_of_edits(docs, id_col, text_col, width)
     columns = ["doc_id", "n_chars", "edited_text", "fingerprint", "next_fingerprint", "edited_fingerprint"]
-    return rows.select("key", F.concat(_kept(), "tail").alias("edited_text")).join(found, "key").select(*columns)
+    return edited.join(found, "key").select(*columns)
