@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -32,8 +33,8 @@ from logcube.llm.token_files import PretokenEncoder
 
 #: Every so many ends, one gallops from the start of its text.
 STRIDE = 16
-#: Tokens that are aligned at a time.
-STEP_TOKENS = 1 << 18
+#: Characters that are encoded and aligned at a time, and texts.
+STEP_CHARS, STEP_DOCS = 1 << 19, 1 << 12
 #: A batch is closed with so many (document, pair) entries, or documents.
 BATCH_ENTRIES, BATCH_DOCS = 1 << 21, 1 << 14
 #: Larger groups are counted by their distinct ids.
@@ -87,18 +88,26 @@ class Pieces:
         self.stretches = re.compile(" +[^ ]*").findall
         self.known: dict[str, bytes] = {}
 
-    def _stretch(self, stretch: str) -> bytes:
-        found = self.known.get(stretch)
-        if found is None:
-            found = self.space if stretch == " " else np.array(self.model.encode(stretch[1:], num_threads=1), "<u4").tobytes()
-            if len(stretch) <= KEPT_CHARS and len(self.known) < KEPT_STRETCHES:
-                self.known[stretch] = found
-        return found
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; the stretches that are not remembered are encoded
+        together, every one once."""
+        if not self.apart:
+            return [np.array(ids, np.int64) for ids in self.model.encode(texts, num_threads=1)]
+        parts = [self.stretches(" " + text) for text in texts]
+        new = [s for s in {s for p in parts for s in p} if s not in self.known]
+        for stretch, ids in zip(new, self.model.encode([s[1:] for s in new], num_threads=1), strict=True):
+            self.known[stretch] = array("I", ids).tobytes() if stretch != " " else self.space
+        out = [np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4").astype(np.int64) for p in parts]
+        kept = len(self.known) - len(new)
+        for stretch in new:
+            if kept >= KEPT_STRETCHES or len(stretch) > KEPT_CHARS:
+                del self.known[stretch]
+            else:
+                kept += 1
+        return out
 
     def ids(self, text: str) -> np.ndarray:
-        if not self.apart:
-            return np.array(self.model.encode(text, num_threads=1), np.int64)
-        return np.frombuffer(b"".join(map(self._stretch, self.stretches(" " + text))), "<u4").astype(np.int64)
+        return self.ids_of([text])[0]
 
 
 @dataclass(frozen=True)
@@ -114,17 +123,17 @@ class Both:
     def size(self) -> int:
         return max(len(self.lengths_a), len(self.lengths_b))
 
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of either tokenizer; none if one of them does not give the text back."""
-        none = np.zeros(0, np.int64)
-        if not text:
-            return none, none
-        whole = (" " + text).encode()
-        a, b = self.a.ids(" " + text), self.b.ids(text)
-        for ids, table in ((b, self.b.bytes), (a, self.a.bytes)):
-            if b"".join(map(table.__getitem__, ids.tolist())) != whole:
-                return none, none
-        return a, b
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of either tokenizer for each text; none if one of them does not give
+        the text back."""
+        none, out = np.zeros(0, np.int64), []
+        for text, b in zip(texts, self.b.ids_of(texts), strict=True):
+            whole = (" " + text).encode() if text else b""
+            found = (self.a.ids(" " + text), b) if text else (none, none)
+            sides = zip(found, (self.a.bytes, self.b.bytes), strict=True)
+            fine = all(b"".join(map(table.__getitem__, ids.tolist())) == whole for ids, table in sides)
+            out.append(found if fine else (none, none))
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -295,19 +304,23 @@ def _align_all(path_a: str, path_b: str) -> Callable:
         base = (context.partitionId() if context else 0) << 32
         n_batches, steps, entries, docs = 0, [], 0, 0
         ids, texts, size = [], [], 0
+
+        def step() -> tuple[list, Aligned]:
+            return ids, align(tools.tokens(texts), tools)
+
         for doc_id, text in cells(batches, "doc_id", "text"):
             ids.append(doc_id)
-            texts.append(tools.tokens(text))
-            size += len(texts[-1][0]) + len(texts[-1][1])
-            if size >= STEP_TOKENS or len(ids) >= 1 << 12:
-                steps.append((ids, align(texts, tools)))
+            texts.append(text)
+            size += len(text)
+            if size >= STEP_CHARS or len(ids) >= STEP_DOCS:
+                steps.append(step())
                 entries, docs = entries + len(steps[-1][1].pair), docs + len(ids)
                 ids, texts, size = [], [], 0
                 if entries >= BATCH_ENTRIES or docs >= BATCH_DOCS:
                     yield from _batch(base + n_batches, steps)
                     n_batches, steps, entries, docs = n_batches + 1, [], 0, 0
         if ids:
-            steps.append((ids, align(texts, tools)))
+            steps.append(step())
         if steps:
             yield from _batch(base + n_batches, steps)
 

@@ -87,7 +87,7 @@ def test_query_equals_brute_force(spark, libraries):
 @pytest.mark.parametrize("small", [False, True])
 def test_awkward_rows(spark, awkward, libraries, monkeypatch, small):
     if small:
-        for name, value in {"STRIDE": 2, "STEP_TOKENS": 40, "BATCH_ENTRIES": 60, "BATCH_DOCS": 3, "LARGE_GROUP": 2, "PAIRS_A_ROW": 7, "KEPT_STRETCHES": 5}.items():
+        for name, value in {"STRIDE": 2, "STEP_CHARS": 60, "BATCH_ENTRIES": 60, "BATCH_DOCS": 3, "LARGE_GROUP": 2, "PAIRS_A_ROW": 7, "KEPT_STRETCHES": 5}.items():
             monkeypatch.setattr(al, name, value)
     more = spark.createDataFrame([(100 + i, t) for i, t in enumerate(ODD)], "doc_id bigint, text string")
     docs = awkward.select("doc_id", "text", "ids", "size").withColumnsRenamed({"ids": "pairs", "size": "batch"}).unionByName(more, allowMissingColumns=True)
@@ -95,7 +95,7 @@ def test_awkward_rows(spark, awkward, libraries, monkeypatch, small):
     # Python workers are told of the sizes with the function, so the steps are also run here.
     assert found(al.align_tokenizers(docs.coalesce(1), *PATHS)) == brute_force(rows, libraries)
     tools = al.both(*PATHS)
-    texts = [tools.tokens(t or "") for _, t in rows]
+    texts = tools.tokens([t or "" for _, t in rows])
     whole, parts = al.align(texts, tools), [al.align(texts[i : i + 3], tools) for i in range(0, len(texts), 3)]
     assert whole.digests == [d for p in parts for d in p.digests]
     assert whole.links.sum() == whole.n_links.sum() == sum(p.links.sum() for p in parts)
