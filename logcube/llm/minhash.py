@@ -12,10 +12,14 @@ about 2 * (1 - s ** rows) ** bands (at 0.8 with 5 rows and 32 bands 6e-6).
    members of a table are tied to its smallest one, and the connected parts of
    these ties are clusters.  A cluster holds every group that the tables can
    find, and no pair of a table is ever written out.
-3. Links are confirmed on the full sets, cluster by cluster.  A large cluster
-   is cut into blocks, by size first (linked sets differ by less than a fifth),
-   and every two blocks that can hold a link meet in a task of bounded size,
-   which returns the links that connect its sets, not all of them.
+3. Links are confirmed on the full sets, cluster by cluster, in tasks of bounded
+   size, which return the links that connect their sets, not all of them.  A large
+   cluster is cut into blocks, by size first (linked sets differ by less than a
+   fifth).  Some of its sets, the pivots, meet all its blocks.  The sets that the
+   pivot with most links reaches, directly or by another pivot that shares a set
+   with it, are connected from here on and need not meet each other; only the
+   others meet all blocks.  A cluster of n near copies thus costs about n
+   comparisons per pivot, and only sets that these do not reach meet all others.
 4. Connected components of the confirmed links are the groups.
 """
 
@@ -23,12 +27,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logcube.llm.common import cells, in_batches, map_batches, stored, text_or_empty
@@ -39,6 +43,8 @@ SHINGLE = 5
 BANDS, ROWS = 32, 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 80
+#: Sets of a cluster and size step that meet all others.
+PIVOTS = 16
 #: A block of a cluster holds about so many sets and shingles at most.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 19
 #: Shingles whose minhashes are computed at a time; columns of a count matrix.
@@ -160,63 +166,49 @@ def clusters(nodes: DataFrame) -> DataFrame:
     return components(ties)
 
 
-def _blocks(members: DataFrame, percent: int) -> DataFrame:
-    """``members`` (root, node, n_shingles, ...) with ``task``: every two members
-    of a root that may be linked meet in a task, whose size is bounded."""
-    # Linked sets' sizes differ by less than one step of this scale.
-    step = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
-
-    def n_blocks(total, sets):
-        return F.greatest(F.ceil(F.sum(total) / BLOCK_SHINGLES), F.ceil(sets / BLOCK_SETS)).cast("int")
-
-    whole = members.groupBy("root").agg(n_blocks("n_shingles", F.count("*")).alias("root_blocks"))
-    small = members.join(stored(whole, "cluster-sizes"), "root")
-    once = small.where("root_blocks = 1").withColumn("task", F.xxhash64("root")).drop("root_blocks")
-    large = small.where("root_blocks > 1").drop("root_blocks").withColumn("step", step)
-    counts = stored(large.groupBy("root", "step").agg(n_blocks("n_shingles", F.count("*")).alias("n")), "block-counts")
-    upper = counts.select("root", (F.col("step") - 1).alias("step"), F.col("n").alias("above"))
-    lower = counts.select("root", (F.col("step") + 1).alias("step"), F.col("n").alias("below"))
-    counts = counts.join(upper, ["root", "step"], "left").join(lower, ["root", "step"], "left").na.fill(0)
-    large = large.join(counts, ["root", "step"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
-
-    def task(step, x, next_step, y):
-        return F.xxhash64("root", step, x, next_step, y)
-
-    def upto(n):  # 0 .. n - 1
-        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-
-    own, here = F.col("own"), F.col("step")
-    same = F.transform(upto(F.col("n")), lambda y: task(here, F.least(own, y), here, F.greatest(own, y)))
-    with_upper = F.transform(upto(F.col("above")), lambda y: task(here, own, here + 1, y))
-    with_lower = F.transform(upto(F.col("below")), lambda y: task(here - 1, y, here, own))
-    large = large.withColumn("task", F.explode(F.concat(same, with_upper, with_lower)))
-    return once.unionByName(large.select(*once.columns))
-
-
 def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect the same sets as all pairs with 100 * intersection >=
     ``percent`` * union do."""
-    n = len(sets)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(n), sizes)
-    _, column, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    keep = df[column] > 1
-    owner, column = owner[keep], column[keep]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    common = np.zeros((n, n), np.float32)  # exact: counts stay below 2 ** 24
-    _, column = np.unique(column, return_inverse=True)
-    width = int(column[-1]) + 1 if len(column) else 0
-    edges = np.searchsorted(column, np.arange(0, width + COUNT_COLUMNS, COUNT_COLUMNS))
-    for k in range(len(edges) - 1):
-        lo, hi = edges[k], edges[k + 1]
-        has = np.zeros((n, COUNT_COLUMNS), np.float32)
-        has[owner[lo:hi], column[lo:hi] - k * COUNT_COLUMNS] = 1
-        common += has @ has.T
-    common = common.astype(np.int64)
-    linked = 100 * common >= percent * (sizes[:, None] + sizes[None] - common)
-    out, seen = [], np.zeros(n, bool)
-    for root in range(n):
+    return _connecting(_linked(sets, sets, percent))
+
+
+def links_between(lefts: list[np.ndarray], rights: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """The same of the pairs of a left and a right set only; right ones are
+    numbered behind the left ones."""
+    n = len(lefts)
+    linked = np.zeros((n + len(rights),) * 2, bool)
+    linked[:n, n:] = _linked(lefts, rights, percent)
+    return _connecting(linked | linked.T)
+
+
+def _linked(lefts: list[np.ndarray], rights: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which left sets are linked with which right ones."""
+    sizes = [np.array([len(s) for s in side], np.int64) for side in (lefts, rights)]
+    shingles = np.unique(np.concatenate(lefts))
+    common = np.zeros((len(lefts), len(rights)), np.float32)  # exact: counts stay below 2 ** 24
+    owners, columns = [], []
+    for side, n in zip((lefts, rights), sizes, strict=True):
+        values, owner = np.concatenate(side), np.repeat(np.arange(len(side)), n)
+        column = np.searchsorted(shingles, values)
+        known = column < len(shingles)
+        known[known] = shingles[column[known]] == values[known]
+        order = np.argsort(column[known], kind="stable")
+        owners.append(owner[known][order])
+        columns.append(column[known][order])
+    for start in range(0, len(shingles), COUNT_COLUMNS):
+        has = []
+        for owner, column, side in zip(owners, columns, (lefts, rights), strict=True):
+            low, high = np.searchsorted(column, [start, start + COUNT_COLUMNS])
+            has.append(np.zeros((len(side), COUNT_COLUMNS), np.float32))
+            has[-1][owner[low:high], column[low:high] - start] = 1
+        common += has[0] @ has[1].T
+    return (100 + percent) * common.astype(np.float64) >= percent * (sizes[0][:, None] + sizes[1]).astype(np.float64)
+
+
+def _connecting(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a symmetric matrix that connect what all of them do."""
+    out, seen = [], np.zeros(len(linked), bool)
+    for root in range(len(linked)):
         if seen[root]:
             continue
         seen[root], queue = True, [root]
@@ -229,29 +221,94 @@ def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def _confirm(shingle: int, percent: int):
+def _confirm(percent: int, every: bool):
+    """Links of each task's sets: of all its pairs, or if it has right sets, of
+    those of a left and a right one; those that connect what all do, or ``every``."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            task, nodes, sets = None, [], []
-            for key, node, data in cells(batches, "task", "node", "data"):
+            task, nodes, sides = None, [], ([], [])
+            for key, right, node, data in cells(batches, "task", "right", "node", "data"):
                 if key != task:
-                    yield from pairs(nodes, sets)
-                    task, nodes, sets = key, [], []
+                    yield from pairs(nodes, *sides)
+                    task, nodes, sides = key, [], ([], [])
                 nodes.append(node)
-                sets.append(np.frombuffer(data, "<u8"))
-            yield from pairs(nodes, sets)
-
-        def pairs(nodes, sets):
-            if len(nodes) > 1:
-                yield from ((64, {"a": nodes[x], "b": nodes[y]}) for x, y in links(sets, percent))
+                sides[right].append(np.frombuffer(data, "<u8"))
+            yield from pairs(nodes, *sides)
+
+        def pairs(nodes, lefts, rights):
+            if not lefts or len(nodes) < 2:
+                return
+            if every:
+                found = [(x, len(lefts) + y) for x, y in np.argwhere(_linked(lefts, rights, percent)).tolist()] if rights else []
+            else:
+                found = links_between(lefts, rights, percent) if rights else links(lefts, percent)
+            yield from ((64, {"a": nodes[x], "b": nodes[y]}) for x, y in found)
 
         yield from in_batches(rows(), schema)
 
     return run
 
 
+def _in_tasks(rows: DataFrame, percent: int, name: str, every: bool = False) -> DataFrame:
+    """Confirmed links (a, b) of rows (task, right, node, data)."""
+    rows = rows.repartition("task").sortWithinPartitions("task", "right")
+    return stored(map_batches(rows, _confirm(percent, every), "a binary, b binary"), name)
+
+
+def _upto(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def confirmed_links(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect the same ``members`` (root, node, n_shingles,
+    data) of a cluster as all its links do."""
+
+    def n_blocks() -> Column:
+        return F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).cast("int")
+
+    # Linked sets' sizes differ by less than one step of this scale.
+    step = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
+    sizes = stored(members.groupBy("root").agg(n_blocks().alias("root_blocks")), "cluster-sizes")
+    small = members.join(sizes.where("root_blocks = 1"), "root")
+    found = [_in_tasks(small.select(F.xxhash64("root").alias("task"), F.lit(0).alias("right"), "node", "data"), percent, "links")]
+    large = members.join(sizes.where("root_blocks > 1"), "root").select("root", "node", "n_shingles", step.alias("step"), "data")
+    large = stored(large, "large-clusters")
+    if large.isEmpty():
+        return found[0]
+    blocks = stored(large.groupBy("root", "step").agg(n_blocks().alias("n")), "block-counts")
+    light = large.select("root", "node", "n_shingles", "step")
+    near = F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1))
+    place = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
+    data = large.select("node", "data")
+
+    def meeting(lefts: DataFrame) -> DataFrame:
+        """``lefts`` (root, node, step, part) for every block of a near step: + at, block."""
+        to = lefts.withColumn("at", near).join(blocks.withColumnRenamed("step", "at"), ["root", "at"])
+        return to.withColumn("block", F.explode(_upto(F.col("n")))).drop("n")
+
+    placed = large.join(blocks, ["root", "step"]).withColumn("block", place).drop("n")
+    by_hash = Window.partitionBy("root", "step").orderBy(F.xxhash64("node"))
+    pivots = light.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= PIVOTS)
+    pivots = meeting(pivots.select("root", "node", "step")).join(data, "node")
+    lefts = pivots.select(F.xxhash64("root", "at", "block").alias("task"), F.lit(0).alias("right"), "node", "data")
+    rights = placed.select(F.xxhash64("root", "step", "block").alias("task"), F.lit(1).alias("right"), "node", "data")
+    found.append(_in_tasks(lefts.unionByName(rights), percent, "pivot-links", every=True))  # PIVOTS a set and near step at most
+    outside = stored(light.join(_reached(found[1], light), "node", "left_anti"), "outside")
+    # Those that the pivots do not connect meet all sets of their cluster that may be linked.
+    open_blocks = stored(outside.groupBy("root", "step").agg(n_blocks().alias("n")), "open-counts")
+    lefts = outside.join(open_blocks, ["root", "step"]).withColumn("part", place).select("root", "node", "step", "part")
+    lefts = meeting(lefts).join(data, "node")
+    task = [F.xxhash64("root", "step", "part", "at", "block").alias("task")]
+    lefts = lefts.select(*task, F.lit(0).alias("right"), "node", "data")
+    rights = placed.withColumnRenamed("step", "at").withColumn("step", F.explode(F.array(F.col("at") - 1, F.col("at"), F.col("at") + 1)))
+    rights = rights.join(open_blocks, ["root", "step"]).withColumn("part", F.explode(_upto(F.col("n"))))
+    rights = rights.select(*task, F.lit(1).alias("right"), "node", "data")
+    found.append(_in_tasks(lefts.unionByName(rights), percent, "other-links"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _sets(shingle: int):
     schema = pa.schema([("node", pa.binary()), ("root", pa.binary()), ("n_shingles", pa.int64()), ("data", pa.binary())])
 
@@ -267,6 +324,16 @@ def _sets(shingle: int):
     return run
 
 
+def _reached(pivot_links: DataFrame, light: DataFrame) -> DataFrame:
+    """The nodes of each cluster that are connected with its best pivot (of most
+    links) by one or two pivots: of the links (a: pivot, b: node)."""
+    counts = pivot_links.groupBy("a").agg(F.count("*").alias("size")).join(light.select(F.col("node").alias("a"), "root"), "a")
+    best = counts.groupBy("root").agg(F.max_by("a", F.struct("size", "a")).alias("a")).select("a")
+    shared = pivot_links.join(best, "a", "left_semi").select("b")  # of one pivot each, so distinct
+    near = pivot_links.join(shared, "b", "left_semi").select("a").distinct()
+    return pivot_links.join(near, "a", "left_semi").select(F.col("b").alias("node")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -299,9 +366,7 @@ def near_duplicates(
     texts = texts.join(bounded_broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("of"))).select("node", "root", "text")
     members = map_batches(texts, _sets(shingle), "node binary, root binary, n_shingles bigint, data binary")
     members = stored(members, "sets")
-    tasks = _blocks(members.dropDuplicates(["node"]), percent).select("task", "node", "data")
-    confirmed = map_batches(tasks.repartition("task").sortWithinPartitions("task"), _confirm(shingle, percent), "a binary, b binary")
-    reached = components(stored(confirmed, "links"))
+    reached = components(confirmed_links(members.dropDuplicates(["node"]), percent))
 
     roots = classes.join(reached, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -100,6 +100,51 @@ def test_links_connect_what_all_pairs_connect():
     assert len(set(label)) == len(set(found)) and len(set(zip(label, found))) == len(set(label))
 
 
+def test_links_between_two_sides():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 60, 80, np.uint64)
+    for trial in range(20):
+        sets = [np.unique(np.concatenate([base[rng.random(80) > rng.choice([0.02, 0.1, 0.2])], rng.integers(0, 1 << 60, 3, np.uint64)])) for _ in range(30)]
+        n, label, found = int(rng.integers(1, 29)), list(range(30)), list(range(30))
+        for a, b in itertools.product(range(n), range(n, 30)):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                label = [label[a] if x == label[b] else x for x in label]
+        for a, b in minhash.links_between(sets[:n], sets[n:], 80):
+            assert a < n <= b or b < n <= a
+            found = [found[a] if x == found[b] else x for x in found]
+        assert len(set(label)) == len(set(found)) == len(set(zip(label, found, strict=True)))
+
+
+@pytest.mark.parametrize("pivots", [1, 4, 16])
+def test_chains_of_near_copies_are_one_group(spark, monkeypatch, pivots):
+    """Copies that drift: a set is linked with its neighbours only, so pivots connect
+    little, and every link counts.  Beside them a star and loose sets."""
+    for name, value in (("BLOCK_SETS", 8), ("PIVOTS", pivots)):
+        monkeypatch.setattr(minhash, name, value)
+    words = [f"c{i}" for i in range(400)]
+    chain = [" ".join(words[3 * i : 3 * i + 120]) for i in range(60)]
+    chain += [" ".join(words[3 * i : 3 * i + 120 + i]) for i in range(0, 60, 3)]  # other sizes
+    rng = random.Random(7)
+    star = [edited(rng, [f"s{i}" for i in range(150)], 0.02) for _ in range(60)]
+    far = [edited(rng, [f"s{i}" for i in range(150)], 0.25) for _ in range(20)]
+    rows = list(enumerate(rng.sample(chain + star + far, 160)))
+    check(spark.createDataFrame(rows, "doc_id bigint, text string"), 4)
+    # The same with all in one cluster, whatever the tables say.
+    sets = [minhash.shingles(t, 4) for _, t in rows]
+    members = [(b"r", minhash.node_of(x), len(x), x.astype("<u8").tobytes()) for x in sets]
+    df = spark.createDataFrame(members, "root binary, node binary, n_shingles bigint, data binary").dropDuplicates(["node"])
+    found = {bytes(r.node): bytes(r.root) for r in components(minhash.confirmed_links(df, 80)).collect()}
+    want = {}
+    for (_, _, component), x in zip(expected(rows, 4), sets, strict=True):
+        want.setdefault(component, set()).add(minhash.node_of(x))
+    got = {}
+    for group in want.values():
+        for node in group:
+            got.setdefault(found.get(node, node), set()).add(node)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
 def test_bands_agree_as_often_as_sets_are_alike():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 1 << 60, 4000, np.uint64)
