@@ -12,6 +12,7 @@ REBALANCE then spreads.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -111,6 +112,12 @@ def line_reader(reader, schema: T.StructType):
     return reader.schema(line_schema(schema)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
 
 
+def read_log_files(spark: SparkSession, paths: Iterable[str], schema: T.StructType = RAW_LOG) -> DataFrame:
+    """The lines of the given files as ``read_raw_logs`` gives them."""
+    literal = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]  # names, not patterns
+    return with_log_columns(line_reader(spark.read, schema).json(literal))
+
+
 def with_log_columns(lines: DataFrame) -> DataFrame:
     """Lines with ``rectime`` as epoch milliseconds (NULL if it is no number)
     and ``log_date`` and ``log_file`` of their file."""
@@ -146,6 +153,8 @@ def bad_lines(spark: SparkSession, files: Iterable[str], schema: T.StructType =
 
 def log_date_of_path(path):
     """The last ``yyyy-MM-dd`` folder name (optionally ``name=yyyy-MM-dd``)
-    in a file path."""
-    day = F.regexp_extract(path, r"^.*/(?:[^/=]+=)?(\d{4}-\d{2}-\d{2})/(?:[^/]*/)*[^/]+$", 1)
-    return F.to_date(F.when(day != "", day))
+    in a file path.  It is taken for every line, so the pattern runs once, and
+    on a file name of one character, which leaves it few places to try."""
+    short = F.substring(path, F.lit(1), F.length(path) - F.length(F.substring_index(path, "/", -1)) + 1)
+    day = F.regexp_extract(short, r"^.*/(?:[^/=]+=)?(\d{4}-\d{2}-\d{2})/(?:[^/]*/)*[^/]+$", 1)
+    return F.to_date(F.nullif(day, F.lit("")))

@@ -24,43 +24,53 @@ from pyspark.sql.streaming import StreamingQuery
 from logcube.plans.ingest import write_lines
 from logcube.schemas import EVENT_KINDS, RAW_LOG
 from logcube.sources.facts import add_days, day_runs, parsed_files
-from logcube.sources.raw_logs import line_reader, with_log_columns
+from logcube.sources.raw_logs import log_date_of_path, read_log_files
 
 
-def read_log_stream(
-    spark: SparkSession,
-    log_root: str,
-    schema: T.StructType = RAW_LOG,
-    max_files_per_trigger: int | None = None,
-) -> DataFrame:
-    """Streaming frame of log lines under ``<root>/<yyyy-MM-dd>/<sub>/*.gz``,
-    with ``log_date`` taken from the directory."""
-    reader = line_reader(spark.readStream, schema).option("pathGlobFilter", "*.gz")
+#: What a stream of files gives of each; ``content`` is never selected, so never read.
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def read_file_stream(spark: SparkSession, log_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming frame of the log files under ``<root>/<yyyy-MM-dd>/<sub>/*.gz``
+    (path, log_file), with ``log_date`` taken from the directory.  A batch reads
+    the lines of those files only that are new to the fact table."""
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.gz")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return with_log_columns(reader.json(f"{log_root.rstrip('/')}/*/*"))
+    file = F.col("_metadata.file_path")
+    return reader.load(f"{log_root.rstrip('/')}/*/*").select("path", log_date_of_path(file).alias("log_date"), file.alias("log_file"))
 
 
-def batch_writer(fact_root: str, kinds: Sequence[str], tz: str, fmt: str = "orc"):
+def batch_writer(fact_root: str, kinds: Sequence[str], tz: str, fmt: str = "orc", schema: T.StructType = RAW_LOG):
     """foreachBatch function: parse the files of the batch that are new to the
-    fact table, and add them as one run; their bad lines are stored with it."""
+    fact table, and add them as one run; their bad lines are stored with it.
+
+    A batch has the files (``read_file_stream``) or, without ``path``, their lines."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, by_file = batch.sparkSession, "path" in batch.columns
         found: dict[str, set[str]] = {}
-        for r in batch.select(F.col("log_date").cast("string").alias("day"), "log_file").distinct().collect():  # the batch's files
+        paths: dict[str, str] = {}
+        columns = [F.col("log_date").cast("string").alias("day"), "log_file", F.col("path") if by_file else F.lit(None).alias("path")]
+        for r in batch.select(*columns).distinct().collect():  # the batch's files
             if r.day is not None:  # files outside a day folder belong to no log day
                 found.setdefault(r.day, set()).add(r.log_file)
+                paths[r.log_file] = r.path
         new = {}
         for day, files in found.items():
             runs = day_runs(spark, fact_root, [day]).get(day, [])
             new[day] = files - parsed_files(spark, fact_root, day, [r["run"] for r in runs])
         # What another writer has parsed meanwhile is left out, and the rest tried again.
         while new := {day: files for day, files in new.items() if files}:
-            rows, names = batch.where("log_date is not null"), [(f,) for files in new.values() for f in files]
-            if len(names) < sum(map(len, found.values())):  # a batch's file names, so broadcast
-                rows = rows.join(F.broadcast(spark.createDataFrame(names, "log_file string")), "log_file", "left_semi")
-            run, _ = write_lines(rows, fact_root, new, kinds, tz, fmt)
+            names = [f for files in new.values() for f in files]
+            if by_file:
+                rows = read_log_files(spark, [paths[f] for f in sorted(names)], schema)
+            else:
+                rows = batch.where("log_date is not null")
+                if len(names) < sum(map(len, found.values())):  # a batch's file names, so broadcast
+                    rows = rows.join(F.broadcast(spark.createDataFrame([(f,) for f in names], "log_file string")), "log_file", "left_semi")
+            run, _ = write_lines(rows, fact_root, new, kinds, tz, fmt, schema)
             new = add_days(spark, fact_root, run, new)
 
     return write
@@ -79,7 +89,7 @@ def start_ingest(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the ingest stream; returns the running query."""
-    stream = read_log_stream(spark, log_root, max_files_per_trigger=max_files_per_trigger)
+    stream = read_file_stream(spark, log_root, max_files_per_trigger=max_files_per_trigger)
     writer = (
         stream.writeStream.foreachBatch(batch_writer(fact_root, kinds, tz, fmt))
         .option("checkpointLocation", checkpoint)

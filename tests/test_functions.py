@@ -84,3 +84,14 @@ def test_log_date_of_path_takes_last_day_folder(spark):
     )
     got = [r[0] for r in df.select(log_date_of_path(F.col("p")).cast("string")).collect()]
     assert got == ["2024-01-01", "2024-01-02", "2024-01-03", None]
+
+
+def test_log_date_of_path_has_one_short_pattern(spark):
+    """It is taken for every line: one search, and none through the file name."""
+    from logcube.sources.raw_logs import log_date_of_path
+
+    paths = ["/d/2024-01-01/2024-01-02", "/2024-01-01//x", "/d/a=b=2024-01-01/x", "/d/=2024-01-01/x", "2024-01-01/x", "/d/2024-01-01x/y", "/d/2024-01-01/", "x", "", None]
+    df = spark.createDataFrame([(p,) for p in paths], "p string").select(log_date_of_path(F.col("p")).cast("string").alias("d"))
+    assert [r.d for r in df.collect()] == ["2024-01-01", "2024-01-01"] + [None] * 8
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 1 and "regexp_extract(p#" not in plan

@@ -57,3 +57,31 @@ def test_a_scope_deletes_its_intermediate_tables(spark):
         inside = folder.removeprefix("file:")
         assert len(os.listdir(inside)) == 2 and spark.read.parquet(*[f"{folder}/{n}" for n in os.listdir(inside)]).count() == 6
     assert not os.path.exists(inside) and not scratch_dir(spark, "c").startswith(folder)
+
+
+def test_a_stream_reads_the_lines_of_new_files_only_and_once(spark, scratch, monkeypatch):
+    """Files that the fact table knows are not opened: theirs cannot be read any more.
+    Names with glob characters are names."""
+    from logcube.plans import daily
+    from logcube.streaming import ingest
+
+    root, facts = (tempfile.mkdtemp(prefix="nlogs-", dir=scratch) for _ in range(2))
+    write_gz(f"{root}/{D0}/h/a.gz", [line("u1", D0, download_fin=[ev("p1")])])
+    daily.ingest_day(spark, root, facts, D0, tz="UTC", fmt="parquet")
+    with open(f"{root}/{D0}/h/a.gz", "wb") as fh:
+        fh.write(b"no gzip file")
+    write_gz(f"{root}/{D0}/h/b[1]{{x}}.gz", [line("u2", D0, download_fin=[ev("p1")])])
+    read, real = [], ingest.write_lines
+
+    def counted(rows, *args, **kw):
+        run, counts = real(rows, *args, **kw)
+        read.append(counts["lines"])
+        return run, counts
+
+    monkeypatch.setattr(ingest, "write_lines", counted)
+    for _ in range(2):  # the second one has a new checkpoint: all files are known
+        checkpoint = tempfile.mkdtemp(prefix="nckpt-", dir=scratch)
+        start_ingest(spark, root, facts, checkpoint, tz="UTC", fmt="parquet").awaitTermination(120)
+    assert read == [1]
+    got = read_facts(spark, facts, fmt="parquet").select("custom_uuid", "log_date").collect()
+    assert sorted(map(tuple, got)) == [("u1", D0), ("u2", D0)]
